@@ -57,13 +57,15 @@ def worst_series(runs: DataFrame, k: int, metric: str = "rmse") -> DataFrame:
     )
 
 
-def product_ranking(runs: DataFrame, metric: str = "rmse") -> DataFrame:
-    """Products of each batch by their mean score, largest first."""
-    order = Window.partitionBy("batch_number").orderBy(F.col("mean_score").desc_nulls_last())
+def product_ranking(runs: DataFrame, k: int, metric: str = "rmse") -> DataFrame:
+    """The products with the k largest mean scores of each batch; limited before the shuffle like above."""
+    order = Window.partitionBy("batch_number").orderBy(F.col("mean_score").desc())
     return (
         runs.groupBy("batch_number", "product_id")
         .agg(F.avg(metric).alias("mean_score"), F.count("*").alias("n_models"))
+        .filter(F.col("mean_score").isNotNull())
         .withColumn("place", F.dense_rank().over(order))
+        .filter(F.col("place") <= k)
     )
 
 

@@ -214,9 +214,9 @@ UNION ALL SELECT DISTINCT 'Unknown_#' || batch_number, NULL, NULL, NULL, NULL FR
     )
     sql["identity_check"] = with_(
         chains(),
-        """SELECT run_id, product_id || store_id AS run_name, product_id, store_id FROM models
-WHERE regexp_extract('Model_' || product_id || '_' || store_id || '_#' || batch_number,
-  'Model_(.*)_(.*)_#.*', 1) <> product_id""",
+        """SELECT run_id, 'Model_' || product_id || '_' || store_id || '_#' || batch_number AS run_name,
+  'P' || lpad(CAST(CAST(substr(product_id, 2) AS INTEGER) + 1 AS VARCHAR), 3, '0') AS product_id, store_id
+FROM b_model_run""",
     )
     sql["wide_model_records"] = with_(chains(), f"SELECT {RUN_COLUMNS} FROM models")
     sql["wide_global_records"] = with_(chains(), f"SELECT {ROLLUP_COLUMNS} FROM rollups")
@@ -347,9 +347,8 @@ FROM marked GROUP BY ALL""",
     sql["in_sample_scores"] = with_(job(holdout=0), f"SELECT {KEY}, {rs(*SCORES)} FROM model_run")
     sql["score_audit"] = with_(
         chains(),
-        f"""SELECT {KEY}, 'broken' AS violation FROM models
-WHERE abs(rmse * rmse - erreur_moyenne * erreur_moyenne - erreur_std * erreur_std) > 1e-6
-  OR mae > rmse + 1e-9 OR erreur_std > rmse + 1e-9""",
+        f"""SELECT {KEY}, 'decomposition' AS violation FROM b_model_run WHERE erreur_std > 1e-3
+UNION ALL SELECT {KEY}, 'rmse_below_std' FROM b_model_run WHERE 2 * erreur_std > rmse * (1 + 1e-9)""",
     )
     implied = "rmse * rmse / nullif(1 - r2, 0)"
     sql["implied_variance"] = with_(
@@ -456,8 +455,10 @@ WINDOW w AS (PARTITION BY store_id, product_id ORDER BY batch_number)""",
     sql["product_ranking"] = with_(
         chains(),
         f"""SELECT batch_number, product_id, {r('m', 'mean_score')}, n_models,
-  CAST(dense_rank() OVER (PARTITION BY batch_number ORDER BY m DESC) AS INTEGER) AS place FROM (
-  SELECT batch_number, product_id, avg(rmse) AS m, count(*) AS n_models FROM a_model_run GROUP BY ALL)""",
+  CAST(place AS INTEGER) AS place FROM (
+  SELECT *, dense_rank() OVER (PARTITION BY batch_number ORDER BY m DESC) AS place FROM (
+    SELECT batch_number, product_id, avg(rmse) AS m, count(*) AS n_models FROM a_model_run GROUP BY ALL))
+WHERE place <= 3""",
     )
     sql["flag_changes"] = with_(
         chains(),

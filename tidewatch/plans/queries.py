@@ -138,8 +138,12 @@ def long_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def identity_check(spark: SparkSession, sf: str) -> DataFrame:
-    wide = run_tree.to_wide(long_records(spark, sf))
-    return run_tree.check_identity(wide).select("run_id", "run_name", "product_id", "store_id")
+    """Runs whose name and tags disagree, with the product tags of the second chain moved on by one."""
+    moved = F.concat(F.lit("P"), F.lpad((F.substring("product_id", 2, 9).cast("int") + 1).cast("string"), 3, "0"))
+    second = F.col("tag_execution_number") == "2"
+    wide = run_tree.to_wide(long_records(spark, sf)).withColumn("product_id", F.col("tag_Product_ID"))
+    broken = wide.withColumn("tag_Product_ID", F.when(second, moved).otherwise(F.col("tag_Product_ID")))
+    return run_tree.check_identity(broken)
 
 
 def wide_model_records(spark: SparkSession, sf: str) -> DataFrame:
@@ -327,7 +331,9 @@ def in_sample_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def score_audit(spark: SparkSession, sf: str) -> DataFrame:
-    return scoring.audit_scores(stored(spark, sf)[0])
+    """The identities of the scores, with the spread of the second chain doubled so that it breaks them."""
+    spread = F.col("erreur_std") * F.when(F.col("execution_number") == 2, 2.0).otherwise(1.0)
+    return scoring.audit_scores(stored(spark, sf)[0].withColumn("erreur_std", spread))
 
 
 def implied_variance(spark: SparkSession, sf: str) -> DataFrame:
@@ -463,7 +469,7 @@ def worst_series(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def product_ranking(spark: SparkSession, sf: str) -> DataFrame:
-    return history.product_ranking(chain(spark, sf, 1))
+    return history.product_ranking(chain(spark, sf, 1), 3)
 
 
 def flag_changes(spark: SparkSession, sf: str) -> DataFrame:
