@@ -138,14 +138,17 @@ def fourier(df: DataFrame, period: float, order: int, prefix: str = "season") ->
 class AdditiveSpec:
     """Shape of the grouped fit. Changepoints are spread over the first 80 % of the training span.
 
-    A season is fitted only where the training span holds two of its periods.
+    A season is fitted only where the training span holds two of its periods. The scales are those of
+    normal priors on the coefficients of y / max(abs(y)): the ridge of a coefficient is the variance of the
+    noise over the square of its scale, so a clean series bends freely and a noisy one hardly.
     """
 
     changepoints: int = 8
     yearly_order: int = 3
     weekly_order: int = 3
-    ridge: float = 1e-3
-    changepoint_ridge: float = 10.0
+    trend_scale: float = 5.0
+    changepoint_scale: float = 0.05
+    season_scale: float = 10.0
 
 
 MODEL_SCHEMA = (
@@ -171,11 +174,15 @@ def _fit_one(t: np.ndarray, y: np.ndarray, spec: AdditiveSpec) -> dict:
     knots = np.linspace(0.0, 0.8, count + 2)[1:-1] if count else np.empty(0)
     x = _design(t, start, span, knots, spec)
     scale = float(np.abs(y).max()) or 1.0
-    penalty = np.full(x.shape[1], spec.ridge)
-    penalty[0] = 1e-9
-    penalty[1] = spec.ridge if len(t) > 2 else 1e-9
-    penalty[2 : 2 + count] = spec.changepoint_ridge
-    beta = np.linalg.solve(x.T @ x + np.diag(penalty), x.T @ (y / scale))
+    width = np.full(x.shape[1], spec.season_scale)
+    width[0] = width[1] = spec.trend_scale
+    width[2 : 2 + count] = spec.changepoint_scale
+    gram, moment = x.T @ x, x.T @ (y / scale)
+    # First with almost no penalty, to measure the noise; the columns of an unseen season are all zero.
+    free = np.linalg.solve(gram + 1e-8 * np.eye(len(width)), moment)
+    spare = len(t) - np.count_nonzero(gram.diagonal())
+    noise = float(((y / scale - x @ free) ** 2).sum()) / spare if spare > 0 else 1.0
+    beta = np.linalg.solve(gram + np.diag(np.maximum(noise / width**2, 1e-8)), moment)
     return {
         "n_train": len(t), "t_start": start, "t_span": span, "y_scale": scale,
         "knots": knots.tolist(), "beta": beta.tolist(),
