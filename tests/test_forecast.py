@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidewatch.operators import forecast as C
 from tidewatch.operators import panel as P
 from tidewatch.operators import scoring as S
-from tidewatch.plans.monitor import MonitorConfig, fit_predict_additive, marked_windows, model_run, monitor
+from tidewatch.plans.monitor import MonitorConfig, marked_windows, model_run, monitor
 
 OFFSETS = [0.0, 3.0, -2.0, 1.0, 4.0, -5.0, -1.0]
 
@@ -46,14 +46,25 @@ def test_additive_fit_recovers_trend_changes_and_seasons(make_panel):
     t = np.arange(365)
     y = 200 + 0.3 * t + 0.5 * np.maximum(t - 120, 0) + 8 * np.sin(2 * np.pi * t / 7)
     panel = batched(make_panel(list(y)), 365)
-    run = model_run(panel, MonitorConfig(batch_days=365), fit_predict_additive).first()
+    run = model_run(panel, MonitorConfig(batch_days=365), C.fit_predict_additive).first()
     assert run.r2 > 0.95
     plain = model_run(panel, MonitorConfig(batch_days=365)).first()
     assert run.rmse < plain.rmse
 
 
+def test_one_pass_fit_equals_stored_coefficients(make_panel):
+    rng = np.random.default_rng(11)
+    marked = marked_windows(batched(make_panel(list(rng.integers(1, 90, 200)))))
+    key = ["store_id", "product_id", "batch_number", "day"]
+    stored = C.predict_additive(C.fit_series(marked), marked.filter("is_scored").select(*key, "y"))
+    one = C.fit_predict_additive(marked).select(*key, F.col("yhat").alias("other"))
+    both = stored.join(one, key)
+    assert both.count() == marked.filter("is_scored").count() == one.count()
+    assert both.filter(F.abs(F.col("yhat") - F.col("other")) > 1e-6).count() == 0
+
+
 def test_additive_fit_of_a_short_series(make_panel):
-    run = model_run(batched(make_panel([3.0, 4.0])), MonitorConfig(), fit_predict_additive).first()
+    run = model_run(batched(make_panel([3.0, 4.0])), MonitorConfig(), C.fit_predict_additive).first()
     assert run.data_points == 2 and run.rmse is not None
 
 

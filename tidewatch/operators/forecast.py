@@ -189,6 +189,12 @@ def _fit_one(t: np.ndarray, y: np.ndarray, spec: AdditiveSpec) -> dict:
     }
 
 
+def _by_batch(batch: np.ndarray) -> list[tuple[int, slice]]:
+    """The rows of each batch in an array sorted by batch."""
+    edges = [0, *(np.flatnonzero(np.diff(batch)) + 1), len(batch)]
+    return [(int(batch[lo]), slice(lo, hi)) for lo, hi in zip(edges, edges[1:])]
+
+
 def fit_series(marked: DataFrame, spec: AdditiveSpec = AdditiveSpec()) -> DataFrame:
     """One model per (series, batch), all in one grouped job; see MODEL_SCHEMA.
 
@@ -198,13 +204,12 @@ def fit_series(marked: DataFrame, spec: AdditiveSpec = AdditiveSpec()) -> DataFr
 
     def fit_all(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["batch_number", "t"], kind="stable")
-        batch = pdf["batch_number"].to_numpy()
         t = pdf["t"].to_numpy(dtype=float)
         y = pdf["y"].to_numpy(dtype=float)
-        edges = np.flatnonzero(np.diff(batch)) + 1
-        rows = []
-        for lo, hi in zip([0, *edges], [*edges, len(batch)]):
-            rows.append({"batch_number": int(batch[lo]), **_fit_one(t[lo:hi], y[lo:hi], spec)})
+        rows = [
+            {"batch_number": number, **_fit_one(t[part], y[part], spec)}
+            for number, part in _by_batch(pdf["batch_number"].to_numpy())
+        ]
         fitted = pd.DataFrame(rows)
         fitted.insert(0, "product_id", pdf["product_id"].iat[0])
         fitted.insert(0, "store_id", pdf["store_id"].iat[0])
@@ -216,6 +221,42 @@ def fit_series(marked: DataFrame, spec: AdditiveSpec = AdditiveSpec()) -> DataFr
     return train.groupBy("store_id", "product_id").applyInPandas(fit_all, MODEL_SCHEMA)
 
 
+SCORED_SCHEMA = (
+    "store_id string, product_id string, batch_number int, day date, y double, yhat double,"
+    " is_scored boolean, data_points bigint, training_period_days int, has_concept_drift boolean"
+)
+
+
+def fit_predict_additive(marked: DataFrame, spec: AdditiveSpec = AdditiveSpec()) -> DataFrame:
+    """`fit_series` and `predict_additive` on the scored rows in one pass; used by the monitoring plan.
+
+    The windows are computed once and only the scored rows come back from Python; no join is needed.
+    """
+
+    def fit_and_predict(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["batch_number", "t"], kind="stable").reset_index(drop=True)
+        t = pdf["t"].to_numpy(dtype=float)
+        y = pdf["y"].to_numpy(dtype=float)
+        train = pdf["is_train"].to_numpy(dtype=bool)
+        yhat = np.full(len(pdf), np.nan)
+        for _, part in _by_batch(pdf["batch_number"].to_numpy()):
+            at, used = t[part], train[part]
+            if used.any():
+                model = _fit_one(at[used], y[part][used], spec)
+                x = _design(at, model["t_start"], model["t_span"], np.array(model["knots"]), spec)
+                yhat[part] = x @ np.array(model["beta"]) * model["y_scale"]
+        scored = pdf.assign(yhat=yhat)[pdf["is_scored"].astype(bool)]
+        return scored[[field.split()[0] for field in SCORED_SCHEMA.split(", ")]]
+
+    rows = marked.filter("y is not null").select(
+        *RUN_KEY, "day", "y", "is_scored", "is_train",
+        "data_points", "training_period_days", "has_concept_drift",
+        day_number(F.col("day")).alias("t"),
+    )
+    predicted = rows.groupBy("store_id", "product_id").applyInPandas(fit_and_predict, SCORED_SCHEMA)
+    return predicted.withColumn("yhat", F.nullif("yhat", F.lit(float("nan"))))
+
+
 def predict_additive(
     model: DataFrame, days: DataFrame, spec: AdditiveSpec = AdditiveSpec(), keys: list[str] = RUN_KEY
 ) -> DataFrame:

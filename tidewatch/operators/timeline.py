@@ -38,13 +38,11 @@ def next_mark(
     """
     keys = list(keys)
     mark_ts = f"mark_{ts}"
-    times = (
-        points.select(*keys, ts, F.lit(None).cast(marks.schema[mark_id].dataType).alias("_id"))
-        .unionByName(marks.select(*keys, ts, F.col(mark_id).alias("_id")))
-        .filter(F.col(ts).isNotNull())
-        .groupBy(*keys, ts)
-        .agg(F.min("_id").alias("_id"))
-        .withColumn("_slice", _slice(F.col(ts), slice_seconds))
+    # Distinct times of either side: both are reduced first and already lie in the same partitions.
+    reduced = points.filter(F.col(ts).isNotNull()).select(*keys, ts).distinct()
+    marked = marks.filter(F.col(ts).isNotNull()).groupBy(*keys, ts).agg(F.min(mark_id).alias("_id"))
+    times = reduced.join(marked, [*keys, ts], "full").withColumn(
+        "_slice", _slice(F.col(ts), slice_seconds)
     )
     found = F.when(F.col("_id").isNotNull(), F.struct(F.col(ts).alias("t"), F.col("_id").alias("id")))
     inside = Window.partitionBy(*keys, "_slice").orderBy(F.col(ts).desc())

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators.drift import DriftRule, training_windows
-from tidewatch.operators.forecast import AdditiveSpec, fit_predict, fit_series, predict_additive, split
+from tidewatch.operators.forecast import fit_predict, split
 from tidewatch.operators.panel import assign_batch, daily_panel, dedup_rows, first_day
 from tidewatch.operators.rollup import batch_rollup
 from tidewatch.operators.scoring import model_records
@@ -47,11 +47,6 @@ def marked_windows(panel: DataFrame, config: MonitorConfig = MonitorConfig()) ->
     return split(windows, config.holdout_percent)
 
 
-def fit_predict_additive(marked: DataFrame, spec: AdditiveSpec = AdditiveSpec()) -> DataFrame:
-    """The grouped fit in place of the built-in one; scored rows only."""
-    return predict_additive(fit_series(marked, spec), marked.filter("is_scored"), spec)
-
-
 def model_run(
     panel: DataFrame,
     config: MonitorConfig = MonitorConfig(),

@@ -13,7 +13,6 @@ from tidewatch.operators import drift, forecast, history, panel, rollup, scoring
 from tidewatch.plans.monitor import (
     MonitorConfig,
     batched_panel,
-    fit_predict_additive,
     marked_windows,
     model_run,
     monitor,
@@ -314,8 +313,15 @@ def additive_models(spark: SparkSession, sf: str) -> DataFrame:
     return forecast.fit_series(marked(spark, sf))
 
 
+def additive_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Scored days predicted in the JVM from the stored coefficients of the grouped fit."""
+    rows = marked(spark, sf)
+    days = rows.filter("is_scored").select(*RUN_KEY, "day", "y")
+    return forecast.predict_additive(forecast.fit_series(rows), days)
+
+
 def additive_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return tidy(model_run(batched(spark, sf), DEFAULT, fit_predict_additive))
+    return tidy(model_run(batched(spark, sf), DEFAULT, forecast.fit_predict_additive))
 
 
 # --- scores --------------------------------------------------------------------------------------
@@ -604,7 +610,7 @@ QUERIES: list[Query] = [
     daily, dedup_panel, dedup_by_key, doubled_target, batch_assignment, history_asof, history_profile,
     long_window, short_window, rows_not_days, window_profile, gap_list, missing_series, dense_calendar,
     trend_fit, weekly_fit, fourier_columns, predicted_days, scoring_split,
-    additive_models, additive_scores,
+    additive_models, additive_predictions, additive_scores,
     model_scores, in_sample_scores, score_audit, implied_variance,
     drift_flags, train_windows, window_sizes, window_recovery, drift_episodes,
     batch_rollup, batch_rollup_dedup, partial_batches, sample_std_rollup, dimension_rollup,
