@@ -56,6 +56,7 @@ def expected(spark, parts):
         [range(0, 30), range(30, 60), range(60, 90), range(90, 120)],  # whole batches in order
         [range(0, 45), range(45, 100), range(100, 120)],  # batches split over arrivals
         [range(60, 120), range(0, 60)],  # old days come last
+        [range(0, 50), range(50, 110), range(20, 30), range(110, 125)],  # late days in between
     ],
 )
 def test_monitor_stream_equals_batch(spark, tmp_path, cuts):
@@ -83,6 +84,20 @@ def test_repeated_arrival_changes_nothing(spark, tmp_path):
     assert tables(spark, out) == expected(spark, parts)[0]
 
 
+def test_in_order_arrivals_read_a_bounded_tail(spark, tmp_path):
+    out = arrivals.Outputs.below(str(tmp_path))
+    for n in range(6):
+        part = sales_rows(range(n * 30, n * 30 + 30), n)
+        arrivals.process_arrival(spark.createDataFrame(part, SALES), n, out, CONFIG)
+        if n < 5:
+            tail = arrivals._previous_tail(spark, out, n + 1)
+            # The newest batch, and 60 rows or three batches before it, for each of two series.
+            assert tail.count() <= 2 * (30 + 90)
+    assert spark.read.parquet(out.history).count() == 2 * 180
+    # An arrival whose predecessor left no tail falls back to the history.
+    assert arrivals._previous_tail(spark, out, 9) is None
+
+
 def test_stream_without_origin_is_refused(spark, tmp_path):
     with pytest.raises(ValueError):
         arrivals.monitor_stream(spark.createDataFrame([], SALES), str(tmp_path), MonitorConfig())

@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch.operators.forecast import fit_predict
 from tidewatch.operators.panel import assign_batch, daily_panel
 from tidewatch.operators.rollup import batch_rollup
 from tidewatch.plans.monitor import MonitorConfig, model_run
+from tidewatch.schema import SERIES
 from tidewatch.session import shared_dir
 from tidewatch.sources.tables import name_series, write_runs
 
@@ -22,15 +24,41 @@ HISTORY = (
 
 @dataclass(frozen=True)
 class Outputs:
-    """Folders of the three tables a replay keeps."""
+    """Folders of the tables a replay keeps."""
 
     history: str
+    tail: str
     model_runs: str
     global_runs: str
 
     @classmethod
     def below(cls, base: str) -> Outputs:
-        return cls(f"{base}/history", f"{base}/model_run", f"{base}/global_run")
+        return cls(f"{base}/history", f"{base}/tail", f"{base}/model_run", f"{base}/global_run")
+
+
+def _tail_rows(panel: DataFrame, newest: int, config: MonitorConfig) -> DataFrame:
+    """The rows that batches from `newest` on can still need.
+
+    Those are the reference batches of the drift test and the longest window before `newest`: bounded per
+    series, however long the history is.
+    """
+    by_day = Window.partitionBy(*SERIES).orderBy(F.col("day").desc())
+    older = panel.filter(F.col("batch_number") < newest)
+    kept = older.withColumn("_rn", F.row_number().over(by_day)).filter(
+        (F.col("_rn") <= config.long_rows)
+        | (F.col("batch_number") >= newest - config.drift.reference_batches)
+    )
+    return panel.filter(F.col("batch_number") >= newest).unionByName(kept.drop("_rn"))
+
+
+def _previous_tail(spark: SparkSession, out: Outputs, arrival: int) -> DataFrame | None:
+    """What the arrival before left behind; None if there is nothing of exactly that arrival."""
+    try:
+        tail = spark.read.schema(HISTORY).parquet(f"{out.tail}/{(arrival - 1) % 2}")
+    except AnalysisException:
+        return None
+    written_by = tail.select("arrival").first()
+    return tail.drop("arrival") if written_by and written_by[0] == arrival - 1 else None
 
 
 def process_arrival(
@@ -42,8 +70,10 @@ def process_arrival(
 ) -> None:
     """Add the sales of one micro-batch to the history and renew the batches it touches.
 
-    Safe to repeat: the daily sums go to a partition of their own per (batch, arrival), and the records
-    replace those of the same batch. A row that comes late renews its batch and all later ones.
+    Safe to repeat: the daily sums go to a partition of their own per arrival, the records replace those
+    of the same batch, and the tail alternates between two folders, so the one that is read is never the one
+    that is written. In order, an arrival reads the tail only. A row that comes late renews its batch and
+    all later ones from the full history.
     """
     spark = sales.sparkSession
     origin = F.lit(config.origin).cast("date")
@@ -55,11 +85,27 @@ def process_arrival(
         .partitionBy("arrival", "batch_number")
         .parquet(out.history)
     )
-    history = spark.read.schema(HISTORY).parquet(out.history)
-    oldest = history.filter(F.col("arrival") == arrival).agg(F.min("batch_number")).first()[0]
+    history = spark.read.schema(HISTORY).parquet(out.history).filter(F.col("arrival") <= arrival)
+    arrived = history.filter(F.col("arrival") == arrival)
+    oldest = arrived.agg(F.min("batch_number")).first()[0]
+    tail = _previous_tail(spark, out, arrival)
+    reached = tail.agg(F.max("batch_number")).first()[0] if tail is not None else None
+    if reached is not None and (oldest is None or oldest >= reached):
+        rows = tail.unionByName(arrived.drop("arrival"))
+    else:
+        rows = history.drop("arrival")
+    panel = rows.groupBy(*SERIES, "day", "batch_number").agg(F.sum("y").alias("y"))
+    newest = rows.agg(F.max("batch_number")).first()[0]
+    if newest is None:
+        return
+    (
+        _tail_rows(panel, newest, config)
+        .withColumn("arrival", F.lit(arrival).cast("bigint"))
+        .write.mode("overwrite")
+        .parquet(f"{out.tail}/{arrival % 2}")
+    )
     if oldest is None:
         return
-    panel = history.groupBy("store_id", "product_id", "day", "batch_number").agg(F.sum("y").alias("y"))
     renewed = model_run(panel, config, forecaster).filter(F.col("batch_number") >= oldest)
     write_runs(renewed, out.model_runs)
     stored = spark.read.parquet(out.model_runs).filter(F.col("batch_number") >= oldest)
