@@ -10,12 +10,12 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.calendar import day_number, fourier_terms
-from tidewatch.schema import RUN_KEY
+from tidewatch.schema import BOOKKEEPING, RUN_KEY
 
 
 def split(windows: DataFrame, holdout_percent: int = 20) -> DataFrame:
@@ -157,42 +157,75 @@ MODEL_SCHEMA = (
 )
 
 
-def _design(t: np.ndarray, start: float, span: float, knots: np.ndarray, spec: AdditiveSpec) -> np.ndarray:
-    u = (t - start) / span
-    columns = [np.ones_like(u), u, *[np.maximum(u - k, 0.0) for k in knots]]
+@dataclass(frozen=True)
+class _Fitted:
+    """Models of all batches of a series; arrays have one row per batch."""
+
+    numbers: np.ndarray
+    n_train: np.ndarray
+    start: np.ndarray
+    span: np.ndarray
+    scale: np.ndarray
+    knots: np.ndarray
+    beta: np.ndarray
+    yhat: np.ndarray
+
+
+def _fit_batches(batch: np.ndarray, t: np.ndarray, y: np.ndarray, train: np.ndarray, spec: AdditiveSpec) -> _Fitted:
+    """Fit every batch on its training rows and predict all rows.
+
+    Rows are sorted by batch and t, and every batch has a training row. The normal equations of all batches
+    are solved in one call.
+    """
+    numbers, of = np.unique(batch, return_inverse=True)
+    t_train, of_train = t[train], of[train]
+    lo = np.searchsorted(of_train, np.arange(len(numbers)))
+    n = np.bincount(of_train, minlength=len(numbers))
+    start = t_train[lo]
+    span = np.maximum(t_train[lo + n - 1] - start, 1.0)
+
+    # Unused knots sit at the end of the training span, where their hinge is zero.
+    used = np.minimum(spec.changepoints, n // 10)[:, None]
+    place = np.arange(1, spec.changepoints + 1)
+    knots = np.where(place <= used, 0.8 * place / (used + 1), 1.0)
+
+    u = (t - start[of]) / span[of]
+    columns = [np.ones_like(u)[:, None], u[:, None], np.maximum(u[:, None] - knots[of], 0.0)]
     for period, order in ((365.25, spec.yearly_order), (7.0, spec.weekly_order)):
-        for k in range(1, order + 1):
-            angle = 2.0 * np.pi * k * t / period
-            seen = float(span >= 2 * period)
-            columns += [seen * np.sin(angle), seen * np.cos(angle)]
-    return np.column_stack(columns)
-
-
-def _fit_one(t: np.ndarray, y: np.ndarray, spec: AdditiveSpec) -> dict:
-    start, span = float(t[0]), max(float(t[-1] - t[0]), 1.0)
-    count = min(spec.changepoints, max(len(t) // 10, 0))
-    knots = np.linspace(0.0, 0.8, count + 2)[1:-1] if count else np.empty(0)
-    x = _design(t, start, span, knots, spec)
-    scale = float(np.abs(y).max()) or 1.0
+        angle = 2.0 * np.pi * t[:, None] * np.arange(1, order + 1) / period
+        waves = np.stack([np.sin(angle), np.cos(angle)], axis=2).reshape(len(t), 2 * order)
+        columns.append(waves * (span >= 2 * period)[of][:, None])
+    x = np.hstack(columns)
+
+    x_train = x[train]
+    scale = np.maximum.reduceat(np.abs(y[train]), lo)
+    scale[scale == 0] = 1.0
+    target = y[train] / scale[of_train]
+    parts = [slice(a, a + k) for a, k in zip(lo, n)]
+    gram = np.stack([x_train[part].T @ x_train[part] for part in parts])
+    moment = np.stack([target[part] @ x_train[part] for part in parts])[:, :, None]
+
+    # First with almost no penalty, to measure the noise; then with the priors. Columns of an unused knot or
+    # an unseen season are all zero and get the coefficient 0.
+    unit = np.eye(x.shape[1])
+    free = np.linalg.solve(gram + 1e-8 * unit, moment)[:, :, 0]
+    squares = (target - (x_train * free[of_train]).sum(axis=1)) ** 2
+    spare = n - np.count_nonzero(np.diagonal(gram, axis1=1, axis2=2), axis=1)
+    noise = np.where(spare > 0, np.add.reduceat(squares, lo) / np.maximum(spare, 1), 1.0)
     width = np.full(x.shape[1], spec.season_scale)
-    width[0] = width[1] = spec.trend_scale
-    width[2 : 2 + count] = spec.changepoint_scale
-    gram, moment = x.T @ x, x.T @ (y / scale)
-    # First with almost no penalty, to measure the noise; the columns of an unseen season are all zero.
-    free = np.linalg.solve(gram + 1e-8 * np.eye(len(width)), moment)
-    spare = len(t) - np.count_nonzero(gram.diagonal())
-    noise = float(((y / scale - x @ free) ** 2).sum()) / spare if spare > 0 else 1.0
-    beta = np.linalg.solve(gram + np.diag(np.maximum(noise / width**2, 1e-8)), moment)
-    return {
-        "n_train": len(t), "t_start": start, "t_span": span, "y_scale": scale,
-        "knots": knots.tolist(), "beta": beta.tolist(),
-    }
-
-
-def _by_batch(batch: np.ndarray) -> list[tuple[int, slice]]:
-    """The rows of each batch in an array sorted by batch."""
-    edges = [0, *(np.flatnonzero(np.diff(batch)) + 1), len(batch)]
-    return [(int(batch[lo]), slice(lo, hi)) for lo, hi in zip(edges, edges[1:])]
+    width[:2] = spec.trend_scale
+    width[2 : 2 + spec.changepoints] = spec.changepoint_scale
+    penalty = np.maximum(noise[:, None] / width**2, 1e-8)
+    beta = np.linalg.solve(gram + penalty[:, :, None] * unit, moment)[:, :, 0]
+    yhat = (x * beta[of]).sum(axis=1) * scale[of]
+    return _Fitted(numbers, n, start, span, scale, knots, beta, yhat)
+
+
+def _arrays(table: pa.Table, *names: str) -> list[np.ndarray]:
+    """Columns as numpy arrays, with the rows sorted by batch and t."""
+    got = [table.column(name).to_numpy() for name in ("batch_number", "t", *names)]
+    order = np.lexsort((got[1], got[0]))
+    return [order, *[column[order] for column in got]]
 
 
 def fit_series(marked: DataFrame, spec: AdditiveSpec = AdditiveSpec()) -> DataFrame:
@@ -202,59 +235,58 @@ def fit_series(marked: DataFrame, spec: AdditiveSpec = AdditiveSpec()) -> DataFr
     `training_windows` is reused. A group is bounded by days times the batches a day serves.
     """
 
-    def fit_all(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["batch_number", "t"], kind="stable")
-        t = pdf["t"].to_numpy(dtype=float)
-        y = pdf["y"].to_numpy(dtype=float)
-        rows = [
-            {"batch_number": number, **_fit_one(t[part], y[part], spec)}
-            for number, part in _by_batch(pdf["batch_number"].to_numpy())
-        ]
-        fitted = pd.DataFrame(rows)
-        fitted.insert(0, "product_id", pdf["product_id"].iat[0])
-        fitted.insert(0, "store_id", pdf["store_id"].iat[0])
-        return fitted
+    def fit_all(table: pa.Table) -> pa.Table:
+        _, batch, t, y = _arrays(table, "y")
+        got = _fit_batches(batch, t.astype(float), y, np.ones(len(t), dtype=bool), spec)
+        many = len(got.numbers)
+        return pa.table(
+            {
+                "store_id": pa.repeat(table.column("store_id")[0], many),
+                "product_id": pa.repeat(table.column("product_id")[0], many),
+                "batch_number": pa.array(got.numbers, pa.int32()),
+                "n_train": pa.array(got.n_train, pa.int64()),
+                "t_start": got.start,
+                "t_span": got.span,
+                "y_scale": got.scale,
+                "knots": pa.array(list(got.knots), pa.list_(pa.float64())),
+                "beta": pa.array(list(got.beta), pa.list_(pa.float64())),
+            }
+        )
 
     train = marked.filter("is_train and y is not null").select(
         *RUN_KEY, day_number(F.col("day")).alias("t"), "y"
     )
-    return train.groupBy("store_id", "product_id").applyInPandas(fit_all, MODEL_SCHEMA)
+    return train.groupBy("store_id", "product_id").applyInArrow(fit_all, MODEL_SCHEMA)
 
 
+SCORED = [*RUN_KEY, "day", "y", "is_scored", *BOOKKEEPING]
 SCORED_SCHEMA = (
-    "store_id string, product_id string, batch_number int, day date, y double, yhat double,"
-    " is_scored boolean, data_points bigint, training_period_days int, has_concept_drift boolean"
+    "store_id string, product_id string, batch_number int, day date, y double, is_scored boolean,"
+    " data_points bigint, training_period_days int, has_concept_drift boolean, yhat double"
 )
 
 
 def fit_predict_additive(marked: DataFrame, spec: AdditiveSpec = AdditiveSpec()) -> DataFrame:
     """`fit_series` and `predict_additive` on the scored rows in one pass; used by the monitoring plan.
 
-    The windows are computed once and only the scored rows come back from Python; no join is needed.
+    The windows are computed once and only the scored rows come back from Python; no join is needed. A
+    window without a training row has no prediction.
     """
 
-    def fit_and_predict(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["batch_number", "t"], kind="stable").reset_index(drop=True)
-        t = pdf["t"].to_numpy(dtype=float)
-        y = pdf["y"].to_numpy(dtype=float)
-        train = pdf["is_train"].to_numpy(dtype=bool)
-        yhat = np.full(len(pdf), np.nan)
-        for _, part in _by_batch(pdf["batch_number"].to_numpy()):
-            at, used = t[part], train[part]
-            if used.any():
-                model = _fit_one(at[used], y[part][used], spec)
-                x = _design(at, model["t_start"], model["t_span"], np.array(model["knots"]), spec)
-                yhat[part] = x @ np.array(model["beta"]) * model["y_scale"]
-        scored = pdf.assign(yhat=yhat)[pdf["is_scored"].astype(bool)]
-        return scored[[field.split()[0] for field in SCORED_SCHEMA.split(", ")]]
+    def fit_and_predict(table: pa.Table) -> pa.Table:
+        order, batch, t, y, train, scored = _arrays(table, "y", "is_train", "is_scored")
+        yhat = np.full(len(t), np.nan)
+        fitted = np.isin(batch, batch[train])
+        if fitted.any():
+            got = _fit_batches(batch[fitted], t[fitted].astype(float), y[fitted], train[fitted], spec)
+            yhat[fitted] = got.yhat
+        rows = table.select(SCORED).take(order[scored])
+        return rows.append_column("yhat", pa.array(yhat[scored], from_pandas=True))
 
     rows = marked.filter("y is not null").select(
-        *RUN_KEY, "day", "y", "is_scored", "is_train",
-        "data_points", "training_period_days", "has_concept_drift",
-        day_number(F.col("day")).alias("t"),
-    )
-    predicted = rows.groupBy("store_id", "product_id").applyInPandas(fit_and_predict, SCORED_SCHEMA)
-    return predicted.withColumn("yhat", F.nullif("yhat", F.lit(float("nan"))))
+        *SCORED, "is_train", day_number(F.col("day")).alias("t")
+    )
+    return rows.groupBy("store_id", "product_id").applyInArrow(fit_and_predict, SCORED_SCHEMA)
 
 
 def predict_additive(
