@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.text import parse_metric_line, parse_run_name
 from tidewatch.operators import history
-from tidewatch.operators.rollup import batch_rollup
+from tidewatch.operators.rollup import audit_rollups, batch_rollup
 from tidewatch.sources import run_tree as R
 from tidewatch.sources.tables import read_batch, write_runs
 
@@ -126,6 +126,25 @@ def test_rollup_skips_missing_scores(wide):
     assert got.mae_global == pytest.approx(4.0)
 
 
+def test_rollup_audit(wide):
+    models, rollups = R.model_table(wide), R.global_table(wide)
+    got = {r.batch_number: r for r in audit_rollups(models, rollups).collect()}
+    assert (got[2].members, got[2].reported, got[2].agrees) == (3, 15, False)
+    same = rollups.withColumn("nombre_modeles", F.lit(3).cast("bigint"))
+    again = {r.batch_number: r for r in audit_rollups(models, same).collect()}
+    # Two of the three members still have their rmse, so the stored mean is not held against them.
+    assert again[2].agrees and again[2].members_in_drift == 1
+
+
+def test_records_without_a_batch_take_that_of_their_rollup(wide):
+    models, rollups = R.model_table(wide), R.global_table(wide)
+    got = {r.run_id: r for r in history.close_runs(models, rollups).collect()}
+    assert len(got) == 5
+    legacy = got["0" * 32]
+    assert legacy.rollup_id == "e" * 32 and legacy.batch_number == 2
+    assert got["c" * 32].rollup_id is None
+
+
 def test_long_form_round_trip(wide):
     runs = R.model_table(wide).filter("batch_number is not null and logged_at is not null")
     again = R.model_table(R.to_wide(R.model_long(runs)))

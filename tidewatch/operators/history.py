@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.operators.timeline import next_mark
 from tidewatch.schema import RUN_KEY, SERIES
 
 
@@ -18,6 +19,27 @@ def latest_runs(runs: DataFrame, keys: Sequence[str] = RUN_KEY) -> DataFrame:
     return runs.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn")
 
 
+def close_runs(runs: DataFrame, rollups: DataFrame, slice_seconds: int = 86_400) -> DataFrame:
+    """Each record with the roll-up that closes it, the next one in time: rollup_id, rollup_logged_at.
+
+    A record without a batch takes the batch of its roll-up, and every record takes the execution number of
+    its roll-up, so that a counter raised per record becomes one number per execution.
+    """
+    marks = rollups.select(
+        "logged_at",
+        F.struct(F.col("run_id").alias("id"), "batch_number", "execution_number").alias("_rollup"),
+    )
+    closed = next_mark(runs, marks, "logged_at", "_rollup", slice_seconds=slice_seconds)
+    number = F.coalesce(F.col("_rollup.execution_number"), F.col("execution_number"))
+    return closed.select(
+        *[c for c in runs.columns if c not in ("batch_number", "execution_number")],
+        F.coalesce("batch_number", "_rollup.batch_number").alias("batch_number"),
+        number.alias("execution_number"),
+        F.col("_rollup.id").alias("rollup_id"),
+        F.col("mark_logged_at").alias("rollup_logged_at"),
+    )
+
+
 def compare_chains(left: DataFrame, right: DataFrame, metrics: Sequence[str]) -> DataFrame:
     """Per (series, batch) of two chains: score deltas (right - left) and whether the flags agree.
 

@@ -52,3 +52,38 @@ def dimension_rollup(runs: DataFrame, sample_std: bool = False) -> DataFrame:
         "rmse_global", "mae_global", "r2_global", "rmse_std", "mae_std", "r2_std",
         "nombre_modeles", "modeles_avec_derive",
     )
+
+
+def audit_rollups(runs: DataFrame, rollups: DataFrame, tolerance: float = 1e-9) -> DataFrame:
+    """Stored roll-ups next to what their members give: counts, flags and the mean rmse.
+
+    `agrees` is NULL-safe: a value lost on either side is not held against the other, but a roll-up without
+    members, or members without a roll-up, do not agree.
+    """
+    found = runs.groupBy("batch_number", "execution_number").agg(
+        F.count("*").alias("members"),
+        F.count_if("has_concept_drift").alias("members_in_drift"),
+        F.count("rmse").alias("_scored"),
+        F.avg("rmse").alias("mean_rmse"),
+    )
+    f, r = found.alias("f"), rollups.alias("r")
+    match = (F.col("f.batch_number") == F.col("r.batch_number")) & F.col(
+        "f.execution_number"
+    ).eqNullSafe(F.col("r.execution_number"))
+    # A mean can only be compared where every member still has its score.
+    whole = F.col("_scored") == F.col("members")
+    distance = F.abs(F.col("mean_rmse") - F.col("r.rmse_global"))
+    agrees = (
+        F.coalesce(F.col("members") == F.col("r.nombre_modeles"), F.col("members").isNotNull())
+        & F.coalesce(F.col("members_in_drift") == F.col("r.modeles_avec_derive"), F.lit(True))
+        & F.coalesce(~whole | (distance <= tolerance * F.greatest(F.lit(1.0), F.col("mean_rmse"))), F.lit(True))
+    )
+    return f.join(r, match, "full").select(
+        F.coalesce("f.batch_number", "r.batch_number").alias("batch_number"),
+        F.coalesce("f.execution_number", "r.execution_number").alias("execution_number"),
+        "members",
+        F.col("r.nombre_modeles").alias("reported"),
+        "members_in_drift",
+        F.col("r.modeles_avec_derive").alias("reported_in_drift"),
+        F.coalesce(agrees & F.col("r.run_id").isNotNull(), F.lit(False)).alias("agrees"),
+    )

@@ -143,7 +143,7 @@ def with_(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
-RUN_COLUMNS = f"""run_id, {KEY}, execution_number, logged_at, {rs(*SCORES)},
+RUN_COLUMNS = f"""run_id, {KEY}, logged_at, {rs(*SCORES)},
   data_points, training_period_days, has_concept_drift"""
 ROLLUP_COLUMNS = f"""run_id, batch_number, logged_at, {rs(*MEASURE_NAMES)}, nombre_modeles, modeles_avec_derive"""
 
@@ -206,11 +206,11 @@ SELECT event_id, date_trunc('milliseconds', ts) AS ts, {r('value', 'value')}, CA
         batched(),
         """, keys AS (SELECT DISTINCT store_id, product_id, batch_number FROM batched)
 SELECT DISTINCT 'Model_' || product_id || '_' || store_id AS name, 'model' AS kind, product_id, store_id,
-  CAST(NULL AS INTEGER) AS n FROM keys
+  0 AS n FROM keys
 UNION ALL SELECT 'Model_' || product_id || '_' || store_id || '_#' || batch_number, 'model', product_id, store_id,
   batch_number FROM keys
 UNION ALL SELECT DISTINCT 'Global_Metrics_#' || batch_number, 'global', NULL, NULL, batch_number FROM keys
-UNION ALL SELECT DISTINCT 'Unknown_#' || batch_number, NULL, NULL, NULL, NULL FROM keys""",
+UNION ALL SELECT DISTINCT 'Unknown_#' || batch_number, NULL, NULL, NULL, 0 FROM keys""",
     )
     sql["identity_check"] = with_(
         chains(),
@@ -218,7 +218,7 @@ UNION ALL SELECT DISTINCT 'Unknown_#' || batch_number, NULL, NULL, NULL, NULL FR
   'P' || lpad(CAST(CAST(substr(product_id, 2) AS INTEGER) + 1 AS VARCHAR), 3, '0') AS product_id, store_id
 FROM b_model_run""",
     )
-    sql["wide_model_records"] = with_(chains(), f"SELECT {RUN_COLUMNS} FROM models")
+    sql["wide_model_records"] = with_(chains(), f"SELECT execution_number, {RUN_COLUMNS} FROM models")
     sql["wide_global_records"] = with_(chains(), f"SELECT {ROLLUP_COLUMNS} FROM rollups")
     sql["latest_metric_points"] = f"""
 SELECT CAST(user_id AS VARCHAR) AS run_id, event_type AS key, ts, {r('value', 'value')}, event_id AS step FROM (
@@ -390,7 +390,7 @@ WHERE was_drift AND NOT has_concept_drift""",
 
     rolled = with_(
         f"{job()},\n{global_run()}",
-        f"SELECT execution_number, {ROLLUP_COLUMNS} FROM global_run",
+        f"SELECT {ROLLUP_COLUMNS} FROM global_run",
     )
     sql["batch_rollup"] = rolled
     sql["batch_rollup_dedup"] = rolled.replace(
@@ -423,9 +423,18 @@ WHERE rn = 1""",
     )
     sql["closing_rollups"] = with_(
         chains(),
-        f""", marks AS (SELECT logged_at, min(run_id) AS rollup_id FROM rollups GROUP BY logged_at)
-SELECT m.run_id, {KEY}, execution_number, m.logged_at, rollup_id, k.logged_at AS mark_logged_at
-FROM models m ASOF LEFT JOIN marks k ON m.logged_at <= k.logged_at""",
+        """, marks AS (SELECT logged_at, min((run_id, batch_number, execution_number)) AS k FROM rollups GROUP BY logged_at)
+SELECT m.run_id, store_id, product_id, m.logged_at, k[2] AS batch_number, k[3] AS execution_number,
+  k[1] AS rollup_id, marks.logged_at AS rollup_logged_at
+FROM models m ASOF LEFT JOIN marks ON m.logged_at <= marks.logged_at""",
+    )
+    sql["rollup_audit"] = with_(
+        chains(),
+        """SELECT r.batch_number, r.execution_number, members, r.nombre_modeles AS reported, members_in_drift,
+  r.modeles_avec_derive AS reported_in_drift, members IS NOT NULL AS agrees
+FROM rollups r LEFT JOIN (
+  SELECT batch_number, execution_number, count(*) AS members, count(*) FILTER (has_concept_drift) AS members_in_drift
+  FROM a_model_run GROUP BY ALL) f USING (batch_number, execution_number)""",
     )
     for name, key in (("next_purchase", "user_id"), ("next_purchase_of_all", None)):
         columns = f"{key}, ts" if key else "ts"
@@ -520,7 +529,7 @@ FROM a_model_run WHERE rmse IS NOT NULL GROUP BY 1, 2""",
     sql["stream_pickup"] = f"SELECT event_id, ts, user_id, event_type, {rs('value')} FROM events"
     sql["stream_monitor"] = with_(
         f"{job(origin=STREAM_ORIGIN)},\n{global_run()}",
-        f"SELECT execution_number, {ROLLUP_COLUMNS} FROM global_run",
+        f"SELECT {ROLLUP_COLUMNS} FROM global_run",
     )
     sql["stream_dedup"] = f"SELECT event_id, user_id, {rs('value')} FROM events"
     sql["stream_daily"] = _event_totals(1, 1)

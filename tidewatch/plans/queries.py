@@ -127,7 +127,7 @@ def run_names(spark: SparkSession, sf: str) -> DataFrame:
         ).alias("name")
     ).distinct()
     return names.select("name", parse_run_name(F.col("name")).alias("p")).select(
-        "name", "p.kind", "p.product_id", "p.store_id", "p.n"
+        "name", "p.kind", "p.product_id", "p.store_id", F.coalesce("p.n", F.lit(0)).alias("n")
     )
 
 
@@ -328,7 +328,7 @@ def additive_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def model_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return runs(spark, sf)
+    return runs(spark, sf).drop("execution_number")
 
 
 def in_sample_scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -392,14 +392,14 @@ def drift_episodes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def batch_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    return monitor(sales(spark, sf))
+    return monitor(sales(spark, sf)).drop("execution_number")
 
 
 def batch_rollup_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """The whole job on order lines loaded twice, with repeats removed."""
     lines = read_table(spark, sf, "lineitem")
     once = sales_from_lineitem(panel.dedup_rows(lines.unionByName(lines)))
-    return monitor(once)
+    return monitor(once).drop("execution_number")
 
 
 def partial_batches(spark: SparkSession, sf: str) -> DataFrame:
@@ -425,6 +425,11 @@ def dimension_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return rollup.dimension_rollup(chain(spark, sf, 1))
 
 
+def rollup_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored roll-ups of both chains against the records of the first: those of the second find no members."""
+    return rollup.audit_rollups(chain(spark, sf, 1), stored(spark, sf)[1])
+
+
 # --- history -------------------------------------------------------------------------------------
 
 
@@ -437,9 +442,10 @@ def latest_runs(spark: SparkSession, sf: str) -> DataFrame:
 def closing_rollups(spark: SparkSession, sf: str) -> DataFrame:
     """Model records of both chains with the roll-up that closes them, found by time only."""
     models, rollups = stored(spark, sf)
-    marks = rollups.select(F.col("run_id").alias("rollup_id"), "logged_at")
-    points = models.select("run_id", *RUN_KEY, "execution_number", "logged_at")
-    return timeline.next_mark(points, marks, "logged_at", "rollup_id", slice_seconds=86_400)
+    bare = models.select("run_id", *SERIES, "logged_at").withColumns(
+        {"batch_number": F.lit(None).cast("int"), "execution_number": F.lit(None).cast("int")}
+    )
+    return history.close_runs(bare, rollups)
 
 
 def next_purchase(spark: SparkSession, sf: str) -> DataFrame:
@@ -565,7 +571,7 @@ def stream_monitor(spark: SparkSession, sf: str) -> DataFrame:
     schema = read_table(spark, sf, "lineitem").schema
     arriving = events.file_stream(spark, sf, schema, "lineitem.parquet")
     out = arrivals.replay(spark, sales_from_lineitem(arriving), MonitorConfig(origin=ORIGIN))
-    return spark.read.parquet(out.global_runs)
+    return spark.read.parquet(out.global_runs).drop("execution_number")
 
 
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -614,6 +620,7 @@ QUERIES: list[Query] = [
     model_scores, in_sample_scores, score_audit, implied_variance,
     drift_flags, train_windows, window_sizes, window_recovery, drift_episodes,
     batch_rollup, batch_rollup_dedup, partial_batches, sample_std_rollup, dimension_rollup,
+    rollup_audit,
     latest_runs, closing_rollups, next_purchase, next_purchase_of_all, compare_chains, score_change,
     worst_series, product_ranking, flag_changes, flag_transitions, coverage, model_executions,
     user_executions, event_executions, log_seconds, log_seconds_median, model_seconds,
