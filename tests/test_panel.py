@@ -89,3 +89,24 @@ def test_dense_calendar_fills_and_keeps(make_panel):
     assert [r.y for r in dense.orderBy("day").collect()] == [3, 0, 0, 4, 0, 5]
     assert dense.filter("filled").count() == 3
     assert "Join" not in plan_of(dense)
+
+
+def test_job_removes_repeats_by_row_key(spark):
+    """Two true sales of equal size on one day stay, the second load of each does not."""
+    from tidewatch.plans.monitor import MonitorConfig, batched_panel
+
+    data = [(1, "S001", "P001", START, 4.0), (2, "S001", "P001", START, 4.0), (3, "S001", "P001", START, 1.0)]
+    sales = spark.createDataFrame(data, "line int, store_id string, product_id string, day date, y double")
+    twice = sales.unionByName(sales)
+    total = lambda dedup: batched_panel(twice, MonitorConfig(dedup=dedup)).first().y
+    assert total(None) == 18.0
+    assert total([]) == 9.0
+    assert total(["line"]) == 9.0
+
+
+def test_numbered_series_get_codes_of_any_length(spark):
+    from tidewatch.sources.tables import name_series
+
+    df = spark.createDataFrame([(1, 12345), (10, None)], "store_id bigint, product_id bigint")
+    got = [tuple(r) for r in name_series(df).collect()]
+    assert got == [("S001", "P12345"), ("S010", None)]

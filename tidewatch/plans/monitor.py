@@ -21,8 +21,9 @@ from tidewatch.schema import LONG_WINDOW, SHORT_WINDOW
 class MonitorConfig:
     """Everything that is a choice. `origin` (a date) saves the scan that finds the first day.
 
-    `dedup`: None leaves repeated source rows in, [] removes rows equal in all columns, a list of
-    columns removes rows equal in those.
+    `dedup`: None leaves repeated source rows in, a list of columns removes rows equal in those, and []
+    removes rows equal in all columns. Two true sales may agree in series, day and y, so the sales have to
+    carry a row key for that.
     """
 
     batch_days: int = 90

@@ -394,7 +394,9 @@ WHERE was_drift AND NOT has_concept_drift""",
     )
     sql["batch_rollup"] = rolled
     sql["batch_rollup_dedup"] = rolled.replace(
-        "FROM lineitem GROUP BY", f"FROM (SELECT DISTINCT * FROM {LINES2}) GROUP BY"
+        "FROM lineitem GROUP BY",
+        f"""FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_quantity
+    FROM {LINES2}) GROUP BY""",
     )
     sql["partial_batches"] = with_(
         job(7),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.scores import rounded
@@ -17,7 +17,7 @@ from tidewatch.plans.monitor import (
     model_run,
     monitor,
 )
-from tidewatch.schema import GLOBAL_METRICS, RUN_KEY, SCORES, SERIES
+from tidewatch.schema import RUN_KEY, SCORES, SERIES
 from tidewatch.session import STATE_STORE, shared_dir
 from tidewatch.sources import run_tree
 from tidewatch.sources.tables import (
@@ -371,8 +371,6 @@ def window_sizes(spark: SparkSession, sf: str) -> DataFrame:
 
 def window_recovery(spark: SparkSession, sf: str) -> DataFrame:
     """Batches in which a series came back from the short to the long window."""
-    from pyspark.sql import Window
-
     order = Window.partitionBy(*SERIES).orderBy("batch_number")
     sizes = chain(spark, sf, 1).select(
         *RUN_KEY,
@@ -395,11 +393,15 @@ def batch_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return monitor(sales(spark, sf)).drop("execution_number")
 
 
+LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+
+
 def batch_rollup_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole job on order lines loaded twice, with repeats removed."""
+    """The whole job on order lines loaded twice, with repeats removed by the columns of a line."""
     lines = read_table(spark, sf, "lineitem")
-    once = sales_from_lineitem(panel.dedup_rows(lines.unionByName(lines)))
-    return monitor(once).drop("execution_number")
+    twice = sales_from_lineitem(lines.unionByName(lines), keep=LINE)
+    config = MonitorConfig(dedup=[*LINE, *SERIES, "day", "y"])
+    return monitor(twice, config).drop("execution_number")
 
 
 def partial_batches(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +27,15 @@ def name_series(panel: DataFrame) -> DataFrame:
     return panel
 
 
-def sales_from_lineitem(lineitem: DataFrame, stores: int = 10, products: int = 5) -> DataFrame:
-    """Order lines as sales of `products` x `stores` numbered series; other columns are not read."""
+def sales_from_lineitem(
+    lineitem: DataFrame, stores: int = 10, products: int = 5, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Order lines as sales of `products` x `stores` numbered series; other columns are not read.
+
+    `keep` names columns to carry along, such as the row key that `MonitorConfig.dedup` needs.
+    """
     return lineitem.select(
+        *keep,
         (F.col("l_suppkey") % stores + 1).alias("store_id"),
         (F.col("l_partkey") % products + 1).alias("product_id"),
         F.col("l_shipdate").cast("date").alias("day"),
