@@ -105,41 +105,36 @@ def training_windows(
     per batch here and those per weekday of the fit.
     """
     by_day = Window.partitionBy(*SERIES).orderBy("batch_number", "day")
+    whole = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+    def served_until(rows: int) -> Column:
+        """The newest batch that is complete `rows - 1` places further on, or the last of the series."""
+        there = F.lead("batch_number", rows - 1).over(by_day)
+        after = F.lead("batch_number", rows).over(by_day)
+        complete = F.when(after == there, there - 1).otherwise(there)
+        return F.coalesce(complete, F.max("batch_number").over(whole))
+
     placed = panel.select(
         *SERIES,
         "day",
         "y",
         "batch_number",
         F.row_number().over(by_day).alias("_rn"),
-        F.lead("batch_number").over(by_day).alias("_next"),
-    ).withColumn(
-        # The newest batch that is complete once this row has been seen.
-        "_closed",
-        F.when(F.col("_next") == F.col("batch_number"), F.col("batch_number") - 1).otherwise(
-            F.col("batch_number")
-        ),
+        served_until(long_rows).alias("_long_until"),
+        served_until(short_rows).alias("_short_until"),
     )
-    last = F.max("batch_number").over(Window.partitionBy(*SERIES))
-    reach = with_drift(
-        placed.select(
-            "*",
-            F.lead("_closed", long_rows - 1).over(by_day).alias("_reach_long"),
-            F.lead("_closed", short_rows - 1).over(by_day).alias("_reach_short"),
-        ),
-        rule,
-    ).withColumn("_last", last)
-    served = reach.select(
+    served = with_drift(placed, rule).select(
         *SERIES,
         "day",
         "y",
         "_rn",
-        F.coalesce("_reach_short", "_last").alias("_short_until"),
+        "_short_until",
         F.col("batch_number").alias("_own"),
         F.col("has_concept_drift").alias("_flag"),
         F.explode(
             F.when(
-                F.coalesce("_reach_long", "_last") >= F.col("batch_number"),
-                F.sequence("batch_number", F.coalesce("_reach_long", "_last")),
+                F.col("_long_until") >= F.col("batch_number"),
+                F.sequence("batch_number", "_long_until"),
             )
         ).alias("batch_number"),
         F.weekday("day").alias("weekday"),
