@@ -7,6 +7,8 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from tidewatch.plans.oracle import all_sql
+from tidewatch.plans.queries import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -24,15 +26,16 @@ def con():
 
 
 def test_every_query_but_the_iterative_fits_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == WITHOUT_SQL
+    assert set(all_queries()) - set(all_sql()) == WITHOUT_SQL
     assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(all_queries()) <= set(entry.queries())
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 28
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(all_queries()))
 def test_query_equals_sql(spark, con, name):
     df = entry.queries()[name](spark, FOLDER)
     got = check.table(df.columns, [tuple(r) for r in df.collect()])
