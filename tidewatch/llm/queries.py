@@ -6,18 +6,42 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, packing, token_counts
+from tidewatch.llm import bpe, packing, sharding, syncmers, token_counts
 from tidewatch.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Shards that the documents are taken to lie in before, by source and language.
+OLD_SHARDS = 12
+
+
+def op1_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents from 12 shards by source and language to 16 shards of equal bytes."""
+    old = F.pmod(F.xxhash64("source", "lang"), F.lit(OLD_SHARDS))
+    return sharding.shard_documents(documents(spark, sf), old).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("slot").cast("bigint").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op2_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Every text encoded and decoded again."""
     return bpe.encode_decode(documents(spark, sf), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_syncmers(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints of every text and its edited text."""
+    return syncmers.fingerprints(documents(spark, sf))
+
+
 def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
     """All documents end to end in sequences of 2048 ids."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,7 +53,7 @@ def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES: list[Query] = [op2_bpe, op5_packing, op6_token_counts]
+QUERIES: list[Query] = [op1_sharding, op2_bpe, op3_syncmers, op5_packing, op6_token_counts]
 
 
 def all_queries() -> dict[str, Query]:
