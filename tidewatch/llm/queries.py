@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, packing, sharding, syncmers, token_counts
+from tidewatch.llm import bpe, packing, quality, secret_scans, sharding, syncmers, token_counts
 from tidewatch.llm.common import documents
+from tidewatch.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,7 +54,24 @@ def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES: list[Query] = [op1_sharding, op2_bpe, op3_syncmers, op5_packing, op6_token_counts]
+def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with its evidence, the rates of its host and path, and the decision.
+
+    The source of a document is its host, the language under a source its path.
+    """
+    docs, labels = documents(spark, sf), read_table(spark, sf, "labels")
+    model, rows = quality.fit(docs, labels, F.col("source"), F.col("lang"))
+    return quality.judged(rows, model).select(
+        "doc_id", "host", "path", "evidence", "host_rate", "path_rate", "quality_prob", "rejected"
+    )
+
+
+def op9_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    """Every candidate of every text with the score of the forest."""
+    return secret_scans.scan(documents(spark, sf), F.col("source")).drop("text_key")
+
+
+QUERIES: list[Query] = [op1_sharding, op2_bpe, op3_syncmers, op5_packing, op6_token_counts, op7_quality, op9_secrets]
 
 
 def all_queries() -> dict[str, Query]:
