@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, packing, quality, secret_scans, sharding, syncmers, token_counts
+from tidewatch.llm import bagminhash, bpe, packing, quality, secret_scans, sharding, syncmers, token_counts
 from tidewatch.llm.common import documents
 from tidewatch.sources.tables import read_table
 
@@ -71,7 +71,12 @@ def op9_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secret_scans.scan(documents(spark, sf), F.col("source")).drop("text_key")
 
 
-QUERIES: list[Query] = [op1_sharding, op2_bpe, op3_syncmers, op5_packing, op6_token_counts, op7_quality, op9_secrets]
+def op10_bagminhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with its class of equal texts, its group of near-duplicates and whether it stays."""
+    return bagminhash.groups(documents(spark, sf)).drop("node")
+
+
+QUERIES: list[Query] = [op1_sharding, op2_bpe, op3_syncmers, op5_packing, op6_token_counts, op7_quality, op9_secrets, op10_bagminhash]
 
 
 def all_queries() -> dict[str, Query]:

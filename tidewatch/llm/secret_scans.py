@@ -67,10 +67,10 @@ def candidates(docs: DataFrame, path: Column) -> DataFrame:
         "doc_id", "text_key", "path", "word_no", word(0).alias("word"), word(-1).alias("before"), word(-2).alias("before2"),
         word(1).alias("after"),
     )
-    inner = F.regexp_replace("word", "^[\"'`(\\[{<]+|[\"'`)\\]}>,;.!?]+$", "")
+    inner = F.regexp_replace("word", "^[^\\p{L}\\p{N}+]+|[^\\p{L}\\p{N}=_-]+$", "")
     named = f"^(?i:[\\w.-]*(?:{KEYWORD})[\\w.-]*)[\"']?[=:]+[\"'`]*(.+)$"
     value = F.when(inner.rlike(named), F.regexp_extract(inner, named, 1)).otherwise(inner)
-    return found.withColumn("value", F.regexp_replace(value, "^[\"'`]+|[\"'`]+$", "")).filter("value <> ''")
+    return found.withColumn("value", F.regexp_replace(value, "^[\"'`]+", "")).filter("value <> ''")
 
 
 def dictionary(found: DataFrame, docs: DataFrame, common: int) -> DataFrame:
