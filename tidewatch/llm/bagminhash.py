@@ -173,7 +173,7 @@ def sketches(docs: DataFrame, scheme: Scheme = Scheme(), chunk_chars: int = 1 <<
         owner, shingle, weight = multisets(hashes)
         best = bag_minhash(owner, shingle, weight, len(texts), scheme.registers)
         registers = (mix(best.view(np.uint64)) >> np.uint64(32)).astype("<u4")
-        bag = (shingle << np.uint64(16)) | np.minimum(weight, 65535).astype(np.uint64)
+        bags, counts = shingle.astype("<u8"), weight.astype("<u4")
         cut = np.searchsorted(owner, np.arange(len(texts) + 1))
         return pa.RecordBatch.from_arrays(
             [
@@ -181,7 +181,7 @@ def sketches(docs: DataFrame, scheme: Scheme = Scheme(), chunk_chars: int = 1 <<
                 pa.array([hashlib.md5(t.encode("utf-8", "replace")).digest() for t in texts], pa.binary()),
                 pa.array([len(h) for h in hashes], pa.int64()),
                 pa.array([r.tobytes() for r in registers], pa.binary()),
-                pa.array([bag[i:j].astype("<u8").tobytes() for i, j in zip(cut, cut[1:], strict=False)], pa.binary()),
+                pa.array([bags[i:j].tobytes() + counts[i:j].tobytes() for i, j in zip(cut, cut[1:], strict=False)], pa.binary()),
             ],
             [f.split()[0] for f in SKETCH.split(", ")],
         )
@@ -206,12 +206,13 @@ def sketches(docs: DataFrame, scheme: Scheme = Scheme(), chunk_chars: int = 1 <<
 
 
 def overlap(a: bytes, b: bytes) -> float:
-    """Weighted Jaccard similarity of two multisets written as hash and multiplicity."""
-    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
-    low = np.uint64(0xFFFF)
-    _, i, j = np.intersect1d(x >> np.uint64(16), y >> np.uint64(16), assume_unique=True, return_indices=True)
-    shared = int(np.minimum(x[i] & low, y[j] & low).sum())
-    total = int((x & low).sum()) + int((y & low).sum()) - shared
+    """Weighted Jaccard similarity of two multisets, written as all hashes and then all multiplicities."""
+    m, n = len(a) // 12, len(b) // 12
+    x, y = np.frombuffer(a, "<u8", m), np.frombuffer(b, "<u8", n)
+    p, q = np.frombuffer(a, "<u4", m, 8 * m).astype(np.int64), np.frombuffer(b, "<u4", n, 8 * n).astype(np.int64)
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    shared = int(np.minimum(p[i], q[j]).sum())
+    total = int(p.sum()) + int(q.sum()) - shared
     return shared / total if total else 0.0
 
 

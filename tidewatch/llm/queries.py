@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bagminhash, bpe, packing, quality, secret_scans, sharding, syncmers, token_counts
+from tidewatch.llm import bagminhash, bpe, lattice, packing, quality, secret_scans, sharding, syncmers, token_counts
 from tidewatch.llm.common import documents
 from tidewatch.sources.tables import read_table
 
@@ -66,6 +66,11 @@ def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_lattice(spark: SparkSession, sf: str) -> DataFrame:
+    """Every vector with its number of links at cosine 0.93 and its component."""
+    return lattice.near_vectors(read_table(spark, sf, "embeddings"))
+
+
 def op9_secrets(spark: SparkSession, sf: str) -> DataFrame:
     """Every candidate of every text with the score of the forest."""
     return secret_scans.scan(documents(spark, sf), F.col("source")).drop("text_key")
@@ -76,7 +81,7 @@ def op10_bagminhash(spark: SparkSession, sf: str) -> DataFrame:
     return bagminhash.groups(documents(spark, sf)).drop("node")
 
 
-QUERIES: list[Query] = [op1_sharding, op2_bpe, op3_syncmers, op5_packing, op6_token_counts, op7_quality, op9_secrets, op10_bagminhash]
+QUERIES: list[Query] = [op1_sharding, op2_bpe, op3_syncmers, op5_packing, op6_token_counts, op7_quality, op8_lattice, op9_secrets, op10_bagminhash]
 
 
 def all_queries() -> dict[str, Query]:
