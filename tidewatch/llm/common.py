@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import sys
 import types
 from collections.abc import Callable
@@ -28,12 +27,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
-def per_process(key: str, make: Callable[[], T]) -> T:
-    """The value of `make`, made once per Python process although functions are shipped with each task."""
+def per_process(slot: str, make: Callable[[], T], key: str = "") -> T:
+    """The value of `make`, made once per Python process although functions are shipped with each task.
+
+    A slot holds the value of the last key only.
+    """
     store = sys.modules.setdefault("_tidewatch_llm_store", types.ModuleType("_tidewatch_llm_store"))
-    if not hasattr(store, key):
-        setattr(store, key, make())
-    return getattr(store, key)
+    held = getattr(store, slot, None)
+    if held is None or held[0] != key:
+        held = (key, make())
+        setattr(store, slot, held)
+    return held[1]
 
 
 def read_local(path: str) -> str:
@@ -42,10 +46,6 @@ def read_local(path: str) -> str:
         return file.read()
 
 
-def base_name(path: str) -> str:
-    return os.path.basename(path)
-
-
 class Bounded(dict):
     """A dictionary that computes missing values and holds at most twice `limit` of them.
 

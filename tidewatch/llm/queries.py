@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bagminhash, bpe, lattice, packing, quality, secret_scans, sharding, syncmers, token_counts
+from tidewatch.llm import attention_lm, bagminhash, bpe, lattice, packing, quality, secret_scans, sharding, syncmers, token_counts
 from tidewatch.llm.common import documents
 from tidewatch.sources.tables import read_table
 
@@ -43,6 +43,11 @@ def op3_syncmers(spark: SparkSession, sf: str) -> DataFrame:
     return syncmers.fingerprints(documents(spark, sf))
 
 
+def op4_attention(spark: SparkSession, sf: str) -> DataFrame:
+    """Every text scored under the attention model and under plain counts."""
+    return attention_lm.score_documents(documents(spark, sf), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
     """All documents end to end in sequences of 2048 ids."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -81,7 +86,7 @@ def op10_bagminhash(spark: SparkSession, sf: str) -> DataFrame:
     return bagminhash.groups(documents(spark, sf)).drop("node")
 
 
-QUERIES: list[Query] = [op1_sharding, op2_bpe, op3_syncmers, op5_packing, op6_token_counts, op7_quality, op8_lattice, op9_secrets, op10_bagminhash]
+QUERIES: list[Query] = [op1_sharding, op2_bpe, op3_syncmers, op4_attention, op5_packing, op6_token_counts, op7_quality, op8_lattice, op9_secrets, op10_bagminhash]
 
 
 def all_queries() -> dict[str, Query]:
