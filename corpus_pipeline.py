@@ -10,20 +10,42 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewatch.llm import packing
+from tidewatch.llm import bagminhash, packing, quality, secret_scans
 from tidewatch.llm.common import documents, staged
+from tidewatch.sources.tables import read_table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def accept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier: documents that it rejects go."""
+    return quality.accepted(docs, read_table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
+
+
+def first_of_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """MinHash near-dedup: one document of each group stays."""
+    return bagminhash.first_of_groups(docs)
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secret scans: confirmed secrets are replaced in the text; every document stays."""
+    return secret_scans.redacted(docs, secret_scans.scan(docs, F.col("source")))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing: what is left, end to end in sequences of 2048 ids."""
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.piece_digests(packing.pack_documents(docs, path))
 
 
-STAGES: list[tuple[str, Stage]] = [("packing", pack)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", accept),
+    ("near_dedup", first_of_groups),
+    ("secrets", redact),
+    ("packing", pack),
+]
 
 #: Tokenizing, classifying and matching can't be stated in SQL; tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
