@@ -118,8 +118,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     cuts = ids.approxQuantile("order", [k / wanted for k in range(1, wanted)], 0.2 / wanted) if wanted > 1 else []
     splits = [-math.inf, *sorted(set(cuts)), math.inf]
     if len(splits) > 2:
-        ranged = Bucketizer(splits=splits, inputCol="order", outputCol="bucket", handleInvalid="keep")
-        rows = ranged.transform(slim.withColumn("order", F.col("doc_id").cast("double"))).drop("order")
+        ranged = Bucketizer(splits=splits, inputCol="order", outputCol="range", handleInvalid="keep")
+        rows = ranged.transform(slim.withColumn("order", F.col("doc_id").cast("double")))
+        rows = rows.select("doc_id", "text", F.coalesce("range", F.lit(float(len(splits)))).alias("bucket"))
     else:
         rows = slim.withColumn("bucket", F.lit(0.0))
     # One row per bucket: its least id, null only where it has no other, and the bucket before it.
