@@ -14,7 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
-WITHOUT_SQL = {"additive_models", "additive_predictions", "additive_scores"}
+WITHOUT_SQL = {"additive_predictions", "additive_scores"}
 
 
 @pytest.fixture(scope="module")

@@ -17,7 +17,7 @@ from __future__ import annotations
 import hashlib
 import math
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.common import Bounded, components, per_process, staged
 
-SKETCH = "doc_id bigint, node binary, n bigint, signature binary, shingles binary"
+SKETCH = "doc_id bigint, node binary, n bigint, signature binary"
+BAG = "node binary, bag binary"
 PAIR = "a binary, b binary"
 
 
@@ -165,26 +166,8 @@ def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
     return key
 
 
-def sketches(docs: DataFrame, scheme: Scheme = Scheme(), chunk_chars: int = 1 << 20) -> DataFrame:
-    """Signature and multiset of every document in one narrow pass; `node` is the digest of its text."""
-
-    def described(ids: list, texts: list[str]) -> pa.RecordBatch:
-        hashes = shingle_hashes(texts, scheme.words)
-        owner, shingle, weight = multisets(hashes)
-        best = bag_minhash(owner, shingle, weight, len(texts), scheme.registers)
-        registers = (mix(best.view(np.uint64)) >> np.uint64(32)).astype("<u4")
-        bags, counts = shingle.astype("<u8"), weight.astype("<u4")
-        cut = np.searchsorted(owner, np.arange(len(texts) + 1))
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(ids, pa.int64()),
-                pa.array([hashlib.md5(t.encode("utf-8", "replace")).digest() for t in texts], pa.binary()),
-                pa.array([len(h) for h in hashes], pa.int64()),
-                pa.array([r.tobytes() for r in registers], pa.binary()),
-                pa.array([bags[i:j].tobytes() + counts[i:j].tobytes() for i, j in zip(cut, cut[1:], strict=False)], pa.binary()),
-            ],
-            [f.split()[0] for f in SKETCH.split(", ")],
-        )
+def by_chunk(docs: DataFrame, describe: Callable[[list, list[str]], pa.RecordBatch], schema: str, chunk_chars: int = 1 << 20) -> DataFrame:
+    """`describe` over (doc_id, text) in chunks of about `chunk_chars` characters; null texts come as empty ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,12 +177,50 @@ def sketches(docs: DataFrame, scheme: Scheme = Scheme(), chunk_chars: int = 1 <<
                 texts.append(text.as_py() or "")
                 size += len(texts[-1])
                 if size >= chunk_chars or len(texts) >= 2048:
-                    yield described(ids, texts)
+                    yield describe(ids, texts)
                     ids, texts, size = [], [], 0
             if ids:
-                yield described(ids, texts)
+                yield describe(ids, texts)
+
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, schema)
+
+
+def digests(texts: list[str]) -> pa.Array:
+    return pa.array([hashlib.md5(t.encode("utf-8", "replace")).digest() for t in texts], pa.binary())
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, SKETCH)
+
+def sketches(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
+    """Number of shingles and signature of every document in one narrow pass; `node` is the digest of its text."""
+
+    def describe(ids: list, texts: list[str]) -> pa.RecordBatch:
+        hashes = shingle_hashes(texts, scheme.words)
+        best = bag_minhash(*multisets(hashes), len(texts), scheme.registers)
+        registers = (mix(best.view(np.uint64)) >> np.uint64(32)).astype("<u4")
+        counts = pa.array([len(h) for h in hashes], pa.int64())
+        signs = pa.array([r.tobytes() for r in registers], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), digests(texts), counts, signs], [f.split()[0] for f in SKETCH.split(", ")])
+
+    return by_chunk(docs, describe, SKETCH)
+
+
+def bags(docs: DataFrame, wanted: DataFrame, scheme: Scheme) -> DataFrame:
+    """The multisets of the wanted texts (node, first: digest and one id), written as all hashes, then all multiplicities.
+
+    Only these texts cross the network, and only once; the join filters them before Python reads them.
+    """
+
+    def describe(ids: list, texts: list[str]) -> pa.RecordBatch:
+        hashes = shingle_hashes(texts, scheme.words)
+        owner, shingle, weight = multisets(hashes)
+        keys, counts = shingle.astype("<u8"), weight.astype("<u4")
+        cut = np.searchsorted(owner, np.arange(len(texts) + 1))
+        found = [keys[i:j].tobytes() + counts[i:j].tobytes() for i, j in zip(cut, cut[1:], strict=False)]
+        return pa.RecordBatch.from_arrays([digests(texts), pa.array(found, pa.binary())], ["node", "bag"])
+
+    digest = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", digest.alias("digest"))
+    same = (F.col("digest") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("first"))
+    return staged(by_chunk(rows.join(wanted, same, "left_semi"), describe, BAG).dropDuplicates(["node"]), "bags")
 
 
 # --- links ---------------------------------------------------------------------------------------
@@ -216,23 +237,30 @@ def overlap(a: bytes, b: bytes) -> float:
     return shared / total if total else 0.0
 
 
-def verified(pairs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
+def promising(pairs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
+    """The pairs whose sizes allow the similarity and whose signatures agree in enough registers."""
+    one = classes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("signature").alias("sign_a"))
+    two = classes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("signature").alias("sign_b"))
+    both = pairs.join(one, "a").join(two, "b").filter(F.least("n_a", "n_b") >= scheme.similarity * F.greatest("n_a", "n_b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(batch.num_rows, -1) for c in ("sign_a", "sign_b"))
+            yield batch.select(["a", "b"]).filter(pa.array((x == y).mean(1) >= scheme.near if batch.num_rows else [], pa.bool_()))
+
+    return both.select("a", "b", "sign_a", "sign_b").mapInArrow(run, PAIR)
+
+
+def verified(pairs: DataFrame, multisets_: DataFrame, scheme: Scheme) -> DataFrame:
     """The pairs (a, b) whose multisets overlap enough; a text that is in many pairs is a skewed key that AQE splits."""
-    one = classes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("bag_a"))
-    two = classes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("bag_b"))
-    sizes = classes.select("node", "n")
-    fit = (
-        pairs.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a")
-        .join(sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b")
-        .filter(F.least("n_a", "n_b") >= scheme.similarity * F.greatest("n_a", "n_b"))
-        .select("a", "b")
-    )
-    both = fit.join(one.drop("n_a"), "a").join(two.drop("n_b"), "b").select("a", "b", "bag_a", "bag_b")
+    one = multisets_.select(F.col("node").alias("a"), F.col("bag").alias("bag_a"))
+    two = multisets_.select(F.col("node").alias("b"), F.col("bag").alias("bag_b"))
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", "bag_a", "bag_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bags = zip(batch.column("bag_a"), batch.column("bag_b"), strict=True)
-            near = [overlap(x.as_py(), y.as_py()) >= scheme.similarity for x, y in bags]
+            pairs_ = zip(batch.column("bag_a"), batch.column("bag_b"), strict=True)
+            near = [overlap(x.as_py(), y.as_py()) >= scheme.similarity for x, y in pairs_]
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
     return staged(both.mapInArrow(run, PAIR), "links")
@@ -274,14 +302,16 @@ def blocks(rows: DataFrame, scheme: Scheme) -> DataFrame:
     return found.select(*ordered(F.col("a"), F.col("b"))).distinct()
 
 
-def linked(sketched: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
-    """(node, component) of the texts that are linked to another; `sketched` is a written table of sketches.
+def linked(docs: DataFrame, sketched: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
+    """(node, component) of the texts that are linked to another; `sketched` is a written table of sketches of `docs`.
 
     Rounds of stars compare the members of each bucket with one of them; members of one component need no further link.
     Buckets that still hold several components are then compared in blocks, so no link between them is lost.
     """
-    # Any row of a class serves: node, n, signature and shingles depend on the text alone.
-    classes = staged(sketched.filter("n > 0").dropDuplicates(["node"]).drop("doc_id"), "classes")
+    # Any row of a class serves, since n and signature depend on the text alone; `first` names one.
+    alike = sketched.filter("n > 0").groupBy("node")
+    each = alike.agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("signature").alias("signature"))
+    classes = staged(each, "classes")
     bands = scheme.bands
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,6 +324,8 @@ def linked(sketched: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
     keyed = classes.select("node", "signature").mapInArrow(keys, "key bigint, node binary")
     shared = keyed.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
     left = staged(keyed.join(shared, "key", "left_semi"), "buckets").withColumn("component", F.col("node"))
+    wanted = left.select("node").distinct().join(classes.select("node", "first"), "node")
+    known = bags(docs, wanted, scheme)
     tested = links = None
     found = None
     for round_ in range(scheme.stars + 1):
@@ -310,8 +342,8 @@ def linked(sketched: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
             pairs = blocks(signed, scheme)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        new = verified(pairs, classes, scheme)
+        pairs = staged(promising(pairs, classes, scheme), "pairs")
+        new = verified(pairs, known, scheme)
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = new if links is None else links.unionByName(new)
         found = components(links, "near")
@@ -329,7 +361,7 @@ def groups(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
     row of that id (all rows of it, if the very same row comes several times).
     """
     sketched = staged(sketches(docs, scheme), "sketches")
-    found = linked(sketched, scheme)
+    found = linked(docs, sketched, scheme)
     rows = sketched.select("doc_id", "node", "n")
     classes = rows.groupBy("node").agg(F.min("doc_id").alias("class_id"), F.max("n").alias("n"))
     placed = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))

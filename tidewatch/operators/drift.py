@@ -104,6 +104,8 @@ def training_windows(
     whole operator needs one shuffle, on the series. The one sort of the repeated rows serves the windows
     per batch here and those per weekday of the fit.
     """
+    if short_rows > long_rows:
+        raise ValueError("the short window cannot be longer than the long one")
     by_day = Window.partitionBy(*SERIES).orderBy("batch_number", "day")
     whole = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 

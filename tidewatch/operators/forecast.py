@@ -138,12 +138,15 @@ def fourier(df: DataFrame, period: float, order: int, prefix: str = "season") ->
 class AdditiveSpec:
     """Shape of the grouped fit. Changepoints are spread over the first 80 % of the training span.
 
-    A season is fitted only where the training span holds two of its periods. The scales are those of
-    normal priors on the coefficients of y / max(abs(y)): the ridge of a coefficient is the variance of the
+    A series has one changepoint for each `rows_per_changepoint` training rows, `changepoints` at most. A season is
+    fitted only where the training span holds `season_periods` of its periods. The scales, public defaults of
+    this kind of model, are those of normal priors on the coefficients of y / max(abs(y)): the ridge of a coefficient is the variance of the
     noise over the square of its scale, so a clean series bends freely and a noisy one hardly.
     """
 
     changepoints: int = 8
+    rows_per_changepoint: int = 10
+    season_periods: float = 2.0
     yearly_order: int = 3
     weekly_order: int = 3
     trend_scale: float = 5.0
@@ -185,7 +188,7 @@ def _fit_batches(batch: np.ndarray, t: np.ndarray, y: np.ndarray, train: np.ndar
     span = np.maximum(t_train[lo + n - 1] - start, 1.0)
 
     # Unused knots sit at the end of the training span, where their hinge is zero.
-    used = np.minimum(spec.changepoints, n // 10)[:, None]
+    used = np.minimum(spec.changepoints, n // spec.rows_per_changepoint)[:, None]
     place = np.arange(1, spec.changepoints + 1)
     knots = np.where(place <= used, 0.8 * place / (used + 1), 1.0)
 
@@ -194,7 +197,7 @@ def _fit_batches(batch: np.ndarray, t: np.ndarray, y: np.ndarray, train: np.ndar
     for period, order in ((365.25, spec.yearly_order), (7.0, spec.weekly_order)):
         angle = 2.0 * np.pi * t[:, None] * np.arange(1, order + 1) / period
         waves = np.stack([np.sin(angle), np.cos(angle)], axis=2).reshape(len(t), 2 * order)
-        columns.append(waves * (span >= 2 * period)[of][:, None])
+        columns.append(waves * (span >= spec.season_periods * period)[of][:, None])
     x = np.hstack(columns)
 
     x_train = x[train]

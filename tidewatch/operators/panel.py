@@ -110,14 +110,19 @@ def gap_list(panel: DataFrame) -> DataFrame:
     )
 
 
-def missing_series(panel: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+def missing_series(panel: DataFrame, expected: DataFrame | None = None, grid: bool = False) -> DataFrame:
     """(series, batch) pairs without a row, from batch 1 to the last batch of the panel.
 
-    Expected are the series seen in any batch, and those listed in `expected`. The batches present
+    Expected are the series seen in any batch, those listed in `expected`, and with `grid` every product in every store.
+    The products are one array, which every store unfolds: the bound is that of a product dimension. The batches present
     are gathered per series (at most one number per batch) and subtracted from the full sequence.
     """
     last_batch = panel.agg(F.max("batch_number")).scalar()
     rows = panel.select(*RUN_KEY)
+    if grid:
+        products = panel.agg(F.collect_set("product_id")).scalar()
+        every = panel.select("store_id").distinct().select("store_id", F.explode(products).alias("product_id"))
+        expected = every if expected is None else every.unionByName(expected.select(*SERIES))
     if expected is not None:
         rows = rows.unionByName(
             expected.select(*SERIES).withColumn("batch_number", F.lit(None).cast("int"))

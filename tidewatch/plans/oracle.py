@@ -24,7 +24,7 @@ def rs(*names: str) -> str:
     return ", ".join(r(n, n) for n in names)
 
 
-def batched(days: int = 90, origin: str = "(SELECT min(CAST(l_shipdate AS DATE)) FROM lineitem)") -> str:
+def batched(days: int = 90, origin: str = "DATE '1995-01-01'") -> str:
     return f"""{PANEL}, batched AS (
   SELECT *, CAST(floor(date_diff('day', {origin}, day) / {days}) AS INTEGER) + 1 AS batch_number FROM panel)"""
 
@@ -202,6 +202,9 @@ def all_sql() -> dict[str, str]:
 
     sql["metric_lines"] = f"""
 SELECT event_id, date_trunc('milliseconds', ts) AS ts, {r('value', 'value')}, CAST(0 AS BIGINT) AS step FROM events"""
+    sql["run_files"] = """
+SELECT md5(CAST(user_id AS VARCHAR)) AS run_id, CASE event_id % 3 WHEN 0 THEN 'tags' ELSE 'metrics' END AS kind,
+  event_type AS key, CAST(event_id AS VARCHAR) AS text FROM events WHERE event_id % 3 < 2"""
     sql["run_names"] = with_(
         batched(),
         """, keys AS (SELECT DISTINCT store_id, product_id, batch_number FROM batched)
@@ -299,7 +302,7 @@ WHERE day - before > 1""",
     sql["missing_series"] = with_(
         batched(7),
         f"""SELECT store_id, product_id, CAST(n AS INTEGER) AS batch_number
-FROM (SELECT DISTINCT store_id, product_id FROM batched) s
+FROM (SELECT store_id, product_id FROM (SELECT DISTINCT store_id FROM batched) CROSS JOIN (SELECT DISTINCT product_id FROM batched)) s
 CROSS JOIN range(1, (SELECT max(batch_number) FROM batched) + 1) AS g(n)
 WHERE NOT EXISTS (SELECT 1 FROM batched b WHERE b.store_id = s.store_id AND b.product_id = s.product_id
   AND b.batch_number = n)""",
@@ -328,6 +331,14 @@ FROM trend""",
   max(n_train) AS n_train, {r('max(mean_y - slope * mean_t)', 'intercept')}, {offsets}
 FROM trend LEFT JOIN weekly USING (store_id, product_id, batch_number) GROUP BY {KEY}""",
     )
+    sql["additive_models"] = with_(
+        fit,
+        f"""SELECT {KEY}, count(*) AS n_train, min(t) AS t_start, greatest(max(t) - min(t), 1) AS t_span,
+  CASE WHEN max(abs(y)) = 0 THEN 1 ELSE max(abs(y)) END AS y_scale FROM marked WHERE is_train GROUP BY {KEY}""",
+    )
+    sql["additive_trend"] = with_(
+        fit, f"SELECT {KEY}, n_train, round(slope, 4) + 0.0 AS slope FROM trend WHERE n_train > 1"
+    )
     angle = "2 * pi() * {k} * date_diff('day', DATE '1970-01-01', day) / 365.25"
     terms = ", ".join(
         r(f"{fn}({angle.format(k=k)})", f"season_{fn}_{k}") for k in (1, 2) for fn in ("sin", "cos")
@@ -400,10 +411,14 @@ WHERE was_drift AND NOT has_concept_drift""",
     )
     sql["partial_batches"] = with_(
         job(7),
-        f"""SELECT batch_number, nombre_modeles, modeles_avec_derive, {rs('rmse_global')},
-  (SELECT count(*) FROM (SELECT DISTINCT store_id, product_id FROM batched)) -
-  (SELECT count(DISTINCT (store_id, product_id)) FROM batched b WHERE b.batch_number = g.batch_number) AS series_absent
-FROM (SELECT batch_number, {MEASURES} FROM model_run GROUP BY batch_number) g""",
+        f"""SELECT CAST(n AS INTEGER) AS batch_number, coalesce(nombre_modeles, 0) AS nombre_modeles,
+  coalesce(modeles_avec_derive, 0) AS modeles_avec_derive, {rs('rmse_global')},
+  (SELECT count(*) FROM (SELECT DISTINCT store_id, product_id FROM batched)) - coalesce(n_seen, 0) AS series_absent,
+  coalesce(n_seen, 0) - coalesce(nombre_modeles, 0) AS series_without_model
+FROM range(1, (SELECT max(batch_number) FROM batched) + 1) AS b(n)
+LEFT JOIN (SELECT batch_number, count(DISTINCT (store_id, product_id)) AS n_seen FROM batched GROUP BY batch_number) s
+  ON s.batch_number = n
+LEFT JOIN (SELECT batch_number, {MEASURES} FROM model_run GROUP BY batch_number) g ON g.batch_number = n""",
     )
     sql["sample_std_rollup"] = with_(
         chains(),
@@ -533,6 +548,7 @@ FROM a_model_run WHERE rmse IS NOT NULL GROUP BY 1, 2""",
         f"{job(origin=STREAM_ORIGIN)},\n{global_run()}",
         f"SELECT {ROLLUP_COLUMNS} FROM global_run",
     )
+    sql["stream_monitor_dedup"] = sql["batch_rollup_dedup"]
     sql["stream_dedup"] = f"SELECT event_id, user_id, {rs('value')} FROM events"
     sql["stream_daily"] = _event_totals(1, 1)
     sql["stream_sliding"] = _event_totals(7, 1)

@@ -32,10 +32,11 @@ from tidewatch.streaming import arrivals, drift_state, events, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-DEFAULT = MonitorConfig()
-WEEKS = MonitorConfig(batch_days=7)
-TIGHT = MonitorConfig(drift=drift.DriftRule(threshold=1.0), execution=2)
+#: The first day of batch 1 in all queries: no scan has to look for it, and late or older rows renumber nothing.
 ORIGIN = "1995-01-01"
+DEFAULT = MonitorConfig(origin=ORIGIN)
+WEEKS = MonitorConfig(origin=ORIGIN, batch_days=7)
+TIGHT = MonitorConfig(origin=ORIGIN, drift=drift.DriftRule(threshold=1.0), execution=2)
 
 
 def sales(spark: SparkSession, sf: str) -> DataFrame:
@@ -54,35 +55,25 @@ def runs(spark: SparkSession, sf: str, config: MonitorConfig = DEFAULT) -> DataF
     return model_run(batched(spark, sf, config), config)
 
 
-_written: dict[tuple[str, str], str] = {}
+def chain(spark: SparkSession, sf: str, n: int) -> DataFrame:
+    """Model records of one of two chains of the job.
 
+    The first has execution number 1; the second is a rerun with a tighter drift rule, logged an hour later.
+    """
+    if n == 1:
+        return runs(spark, sf, MonitorConfig(origin=ORIGIN, execution=1))
+    rerun = runs(spark, sf, TIGHT)
+    return rerun.withColumn("logged_at", F.col("logged_at") + F.expr("interval 1 hour"))
 
-def stored(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Model records and roll-ups of two chains of the job, written once per session and folder.
 
-    The first chain has execution number 1; the second is a rerun with a tighter drift rule, logged an
-    hour later.
-    """
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _written:
-        base = shared_dir(spark, "records")
-        first = runs(spark, sf, MonitorConfig(execution=1))
-        second = runs(spark, sf, TIGHT).withColumn(
-            "logged_at", F.col("logged_at") + F.expr("interval 1 hour")
-        )
-        write_runs(first.unionByName(second), f"{base}/model_run")
-        chains = spark.read.parquet(f"{base}/model_run")
-        rollups = [
-            rollup.batch_rollup(chains.filter(F.col("execution_number") == n)) for n in (1, 2)
-        ]
-        write_runs(rollups[0].unionByName(rollups[1]), f"{base}/global_run")
-        _written[key] = base
-    base = _written[key]
-    return spark.read.parquet(f"{base}/model_run"), spark.read.parquet(f"{base}/global_run")
+def chains(spark: SparkSession, sf: str) -> DataFrame:
+    return chain(spark, sf, 1).unionByName(chain(spark, sf, 2))
 
 
-def chain(spark: SparkSession, sf: str, n: int) -> DataFrame:
-    return stored(spark, sf)[0].filter(F.col("execution_number") == n)
+def chain_rollups(spark: SparkSession, sf: str) -> DataFrame:
+    """One roll-up per batch and chain."""
+    both = [rollup.batch_rollup(chain(spark, sf, n)) for n in (1, 2)]
+    return both[0].unionByName(both[1])
 
 
 def tidy(df: DataFrame) -> DataFrame:
@@ -132,10 +123,19 @@ def run_names(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def long_records(spark: SparkSession, sf: str) -> DataFrame:
-    models, rollups = stored(spark, sf)
+    models, rollups = chains(spark, sf), chain_rollups(spark, sf)
     return run_tree.model_long(models).unionByName(run_tree.global_long(rollups))
 
 
+def run_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as files of a run tree, every third one outside of it; paths taken apart, texts kept."""
+    table = read_table(spark, sf, "events")
+    folder = F.element_at(F.array(*[F.lit(k) for k in ("tags", "metrics", "params")]), (F.col("event_id") % 3 + 1).cast("int"))
+    path = F.concat(F.lit("file:/runs/0/"), F.md5(F.col("user_id").cast("string")), F.lit("/"), folder, F.lit("/"), F.col("event_type"))
+    text = F.concat(F.col("event_id").cast("string"), F.lit("\n"))
+    return run_tree.records_of(table.select(path.alias("path"), text.alias("text")))
+
+
 def identity_check(spark: SparkSession, sf: str) -> DataFrame:
     """Runs whose name and tags disagree, with the product tags of the second chain moved on by one."""
     moved = F.concat(F.lit("P"), F.lpad((F.substring("product_id", 2, 9).cast("int") + 1).cast("string"), 3, "0"))
@@ -180,10 +180,10 @@ def record_kinds(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def written_runs(spark: SparkSession, sf: str) -> DataFrame:
-    """The stored records of both chains, written twice: the second write replaces, it does not add."""
+    """The records of both chains, written one after the other, and the second again: a repeated write replaces its own."""
     base = shared_dir(spark, "written")
-    for _ in range(2):
-        write_runs(stored(spark, sf)[0], base)
+    for number in (1, 2, 2):
+        write_runs(chain(spark, sf, number), base)
     return spark.read.parquet(base).select(*RUN_KEY, "run_id", "execution_number", "rmse", "data_points")
 
 
@@ -266,8 +266,8 @@ def gap_list(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def missing_series(spark: SparkSession, sf: str) -> DataFrame:
-    """(series, week) pairs without sales."""
-    return panel.missing_series(batched(spark, sf, WEEKS))
+    """(series, week) pairs without sales, over the whole grid of stores and products."""
+    return panel.missing_series(batched(spark, sf, WEEKS), grid=True)
 
 
 def dense_calendar(spark: SparkSession, sf: str) -> DataFrame:
@@ -278,7 +278,7 @@ def dense_calendar(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def marked(spark: SparkSession, sf: str) -> DataFrame:
-    return marked_windows(batched(spark, sf))
+    return marked_windows(batched(spark, sf), DEFAULT)
 
 
 def trend_fit(spark: SparkSession, sf: str) -> DataFrame:
@@ -310,7 +310,19 @@ def scoring_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def additive_models(spark: SparkSession, sf: str) -> DataFrame:
-    return forecast.fit_series(marked(spark, sf))
+    """Extent and scale of the grouped fit of every model."""
+    return forecast.fit_series(marked(spark, sf)).select(*RUN_KEY, "n_train", "t_start", "t_span", "y_scale")
+
+
+#: Without bends, seasons and penalty the grouped fit is least squares on a line.
+LINE_ONLY = forecast.AdditiveSpec(changepoints=0, yearly_order=0, weekly_order=0, trend_scale=1e6)
+
+
+def additive_trend(spark: SparkSession, sf: str) -> DataFrame:
+    """Slope per day of the grouped fit as a plain line, to four digits."""
+    models = forecast.fit_series(marked(spark, sf), LINE_ONLY).filter("n_train > 1")
+    slope = F.element_at("beta", 2) * F.col("y_scale") / F.col("t_span")
+    return models.select(*RUN_KEY, "n_train", (F.round(slope, 4) + 0.0).alias("slope"))
 
 
 def additive_predictions(spark: SparkSession, sf: str) -> DataFrame:
@@ -333,17 +345,17 @@ def model_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 def in_sample_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Scores over the training window itself instead of held out days."""
-    return runs(spark, sf, MonitorConfig(holdout_percent=0)).select(*RUN_KEY, *SCORES)
+    return runs(spark, sf, MonitorConfig(origin=ORIGIN, holdout_percent=0)).select(*RUN_KEY, *SCORES)
 
 
 def score_audit(spark: SparkSession, sf: str) -> DataFrame:
     """The identities of the scores, with the spread of the second chain doubled so that it breaks them."""
     spread = F.col("erreur_std") * F.when(F.col("execution_number") == 2, 2.0).otherwise(1.0)
-    return scoring.audit_scores(stored(spark, sf)[0].withColumn("erreur_std", spread))
+    return scoring.audit_scores(chains(spark, sf).withColumn("erreur_std", spread))
 
 
 def implied_variance(spark: SparkSession, sf: str) -> DataFrame:
-    return scoring.compare_implied_variance(stored(spark, sf)[0])
+    return scoring.compare_implied_variance(chains(spark, sf))
 
 
 # --- drift ---------------------------------------------------------------------------------------
@@ -390,7 +402,7 @@ def drift_episodes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def batch_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    return monitor(sales(spark, sf)).drop("execution_number")
+    return monitor(sales(spark, sf), DEFAULT).drop("execution_number")
 
 
 LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
@@ -400,20 +412,31 @@ def batch_rollup_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """The whole job on order lines loaded twice, with repeats removed by the columns of a line."""
     lines = read_table(spark, sf, "lineitem")
     twice = sales_from_lineitem(lines.unionByName(lines), keep=LINE)
-    config = MonitorConfig(dedup=[*LINE, *SERIES, "day", "y"])
+    config = MonitorConfig(origin=ORIGIN, dedup=[*LINE, *SERIES, "day", "y"])
     return monitor(twice, config).drop("execution_number")
 
 
 def partial_batches(spark: SparkSession, sf: str) -> DataFrame:
-    """Weekly batches: models of each batch next to the series that had no sales in it."""
-    rolled = rollup.batch_rollup(runs(spark, sf, WEEKS)).select(
+    """All weekly batches: models, series without rows, and series with rows that got no model.
+
+    The three add up to the number of series. Two tables of one row per batch are joined to the list of batches.
+    """
+    rows = batched(spark, sf, WEEKS)
+    rolled = rollup.batch_rollup(model_run(rows, WEEKS)).select(
         "batch_number", "nombre_modeles", "modeles_avec_derive", "rmse_global"
     )
-    missing = panel.missing_series(batched(spark, sf, WEEKS)).groupBy("batch_number").agg(
-        F.count("*").alias("n")
-    )
-    return rolled.join(missing, "batch_number", "left").select(
-        *rolled.columns, F.coalesce("n", F.lit(0)).alias("series_absent")
+    seen = rows.select(*RUN_KEY).distinct().groupBy("batch_number").agg(F.count("*").alias("n_seen"))
+    series = rows.select(*SERIES).distinct().agg(F.count("*").alias("n")).scalar()
+    last = rows.agg(F.max("batch_number").alias("last"))
+    batches = last.select(F.explode(F.sequence(F.lit(1), "last")).alias("batch_number"))
+    zero = lambda name: F.coalesce(name, F.lit(0))
+    return batches.join(seen, "batch_number", "left").join(rolled, "batch_number", "left").select(
+        "batch_number",
+        zero("nombre_modeles").alias("nombre_modeles"),
+        zero("modeles_avec_derive").alias("modeles_avec_derive"),
+        "rmse_global",
+        (series - zero("n_seen")).alias("series_absent"),
+        (zero("n_seen") - zero("nombre_modeles")).alias("series_without_model"),
     )
 
 
@@ -429,21 +452,21 @@ def dimension_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 def rollup_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Stored roll-ups of both chains against the records of the first: those of the second find no members."""
-    return rollup.audit_rollups(chain(spark, sf, 1), stored(spark, sf)[1])
+    return rollup.audit_rollups(chain(spark, sf, 1), chain_rollups(spark, sf))
 
 
 # --- history -------------------------------------------------------------------------------------
 
 
 def latest_runs(spark: SparkSession, sf: str) -> DataFrame:
-    return history.latest_runs(stored(spark, sf)[0]).select(
+    return history.latest_runs(chains(spark, sf)).select(
         *RUN_KEY, "run_id", "execution_number", "logged_at", "data_points"
     )
 
 
 def closing_rollups(spark: SparkSession, sf: str) -> DataFrame:
     """Model records of both chains with the roll-up that closes them, found by time only."""
-    models, rollups = stored(spark, sf)
+    models, rollups = chains(spark, sf), chain_rollups(spark, sf)
     bare = models.select("run_id", *SERIES, "logged_at").withColumns(
         {"batch_number": F.lit(None).cast("int"), "execution_number": F.lit(None).cast("int")}
     )
@@ -498,14 +521,14 @@ PERIODS = [("early", "1995-01-01"), ("middle", "1997-01-01"), ("late", "2000-01-
 
 
 def coverage(spark: SparkSession, sf: str) -> DataFrame:
-    models = stored(spark, sf)[0]
+    models = chains(spark, sf)
     period = history.period_label(F.col("logged_at"), PERIODS).alias("period")
     return history.coverage(models, [*SCORES, "execution_number"], by=["execution_number", period])
 
 
 def model_executions(spark: SparkSession, sf: str) -> DataFrame:
     """Records of both chains grouped by pauses of more than five days."""
-    return timeline.idle_groups(stored(spark, sf)[0], "logged_at", 5 * 86_400)
+    return timeline.idle_groups(chains(spark, sf), "logged_at", 5 * 86_400)
 
 
 def user_executions(spark: SparkSession, sf: str) -> DataFrame:
@@ -537,7 +560,7 @@ def log_seconds_median(spark: SparkSession, sf: str) -> DataFrame:
 def model_seconds(spark: SparkSession, sf: str) -> DataFrame:
     """Seconds between successive log times of the records of a batch."""
     gaps = timeline.seconds_between(
-        stored(spark, sf)[0], "logged_at", ["batch_number"], slice_seconds=86_400
+        chains(spark, sf), "logged_at", ["batch_number"], slice_seconds=86_400
     )
     return history.quantiles(gaps, ["batch_number"], "seconds", [0.5])
 
@@ -576,6 +599,19 @@ def stream_monitor(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out.global_runs).drop("execution_number")
 
 
+def stream_monitor_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines that arrive twice, in several micro-batches, with repeats removed within and across them."""
+    lines = read_table(spark, sf, "lineitem")
+    base = shared_dir(spark, "lines")
+    sent = sales_from_lineitem(lines, keep=LINE).withColumn("half", F.year("day") >= 1998)
+    for part in (~F.col("half"), F.col("half"), F.lit(True)):
+        sent.filter(part).drop("half").repartition(2).write.mode("append").parquet(base)
+    arriving = events.file_stream(spark, base, spark.read.parquet(base).schema, max_files=2)
+    config = MonitorConfig(origin=ORIGIN, dedup=[*LINE, *SERIES, "day", "y"])
+    out = arrivals.replay(spark, arriving, config)
+    return spark.read.parquet(out.global_runs).drop("execution_number")
+
+
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Every event sent twice and written once."""
     twice = event_stream(spark, sf).unionByName(event_stream(spark, sf))
@@ -613,12 +649,12 @@ def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: list[Query] = [
-    metric_lines, run_names, identity_check, wide_model_records, wide_global_records,
+    metric_lines, run_names, run_files, identity_check, wide_model_records, wide_global_records,
     latest_metric_points, record_kinds, written_runs, batch_extract,
     daily, dedup_panel, dedup_by_key, doubled_target, batch_assignment, history_asof, history_profile,
     long_window, short_window, rows_not_days, window_profile, gap_list, missing_series, dense_calendar,
     trend_fit, weekly_fit, fourier_columns, predicted_days, scoring_split,
-    additive_models, additive_predictions, additive_scores,
+    additive_models, additive_trend, additive_predictions, additive_scores,
     model_scores, in_sample_scores, score_audit, implied_variance,
     drift_flags, train_windows, window_sizes, window_recovery, drift_episodes,
     batch_rollup, batch_rollup_dedup, partial_batches, sample_std_rollup, dimension_rollup,
@@ -627,7 +663,7 @@ QUERIES: list[Query] = [
     worst_series, product_ranking, flag_changes, flag_transitions, coverage, model_executions,
     user_executions, event_executions, log_seconds, log_seconds_median, model_seconds,
     score_quantiles, price_quantiles, score_histogram,
-    stream_pickup, stream_monitor, stream_dedup, stream_daily, stream_sliding, stream_executions,
+    stream_pickup, stream_monitor, stream_monitor_dedup, stream_dedup, stream_daily, stream_sliding, stream_executions,
     stream_drift,
 ]
 

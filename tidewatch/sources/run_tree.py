@@ -33,13 +33,16 @@ def scan_runs(
     """
     wanted = f"{{{','.join([*(f'tags/{k}' for k in tags), *(f'metrics/{k}' for k in metrics)])}}}"
     files = spark.read.text(f"{root.rstrip('/')}/*/{wanted}", wholetext=True)
-    path = F.col("_metadata.file_path")
-    return files.select(
-        F.regexp_extract(path, PATH, 1).alias("run_id"),
-        F.regexp_extract(path, PATH, 2).alias("kind"),
-        F.regexp_extract(path, PATH, 3).alias("key"),
-        F.rtrim(F.col("value"), F.lit("\n")).alias("text"),
+    return records_of(files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
+
+
+def records_of(files: DataFrame) -> DataFrame:
+    """(run_id, kind, key, text) of files given as (path, text); paths that belong to no run are left out."""
+    found = files.select(
+        *[F.regexp_extract("path", PATH, k).alias(name) for k, name in enumerate(("run_id", "kind", "key"), 1)],
+        F.rtrim(F.col("text"), F.lit("\n")).alias("text"),
     )
+    return found.filter("run_id <> ''")
 
 
 def parse_metric(long: DataFrame) -> DataFrame:

@@ -44,16 +44,18 @@ def sales_from_lineitem(
 
 
 def write_runs(records: DataFrame, path: str) -> None:
-    """Write records by batch; with dynamic overwrite a rerun replaces only the batches it holds.
+    """Write records by execution and batch, or by batch where there is no execution number.
 
-    The records are small against the sales, so one task per batch writes one file each; AQE splits a
-    batch that is large.
+    With dynamic overwrite a repeated write replaces only the pairs of execution and batch that it holds, so
+    a rerun under another number stands beside the first one. The records are small against the sales, so
+    one task per pair writes one file each; AQE splits a pair that is large.
     """
+    parts = [c for c in ("execution_number", "batch_number") if c in records.columns]
     (
-        records.hint("rebalance", "batch_number")
+        records.hint("rebalance", *parts)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_number")
+        .partitionBy(*parts)
         .parquet(path)
     )
 

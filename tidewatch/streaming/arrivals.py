@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch.operators.forecast import fit_predict
-from tidewatch.operators.panel import assign_batch, daily_panel
+from tidewatch.operators.panel import assign_batch, batch_number, daily_panel, dedup_rows
 from tidewatch.operators.rollup import batch_rollup
 from tidewatch.plans.monitor import MonitorConfig, model_run
 from tidewatch.schema import SERIES
@@ -27,13 +27,14 @@ class Outputs:
     """Folders of the tables a replay keeps."""
 
     history: str
+    keys: str
     tail: str
     model_runs: str
     global_runs: str
 
     @classmethod
     def below(cls, base: str) -> Outputs:
-        return cls(f"{base}/history", f"{base}/tail", f"{base}/model_run", f"{base}/global_run")
+        return cls(f"{base}/history", f"{base}/keys", f"{base}/tail", f"{base}/model_run", f"{base}/global_run")
 
 
 def _tail_rows(panel: DataFrame, newest: int, config: MonitorConfig) -> DataFrame:
@@ -61,6 +62,32 @@ def _previous_tail(spark: SparkSession, out: Outputs, arrival: int) -> DataFrame
     return tail.drop("arrival") if written_by and written_by[0] == arrival - 1 else None
 
 
+def _unseen(sales: DataFrame, arrival: int, out: Outputs, config: MonitorConfig) -> DataFrame:
+    """The rows of an arrival without repeats of each other or of rows that came before.
+
+    The keys of every arrival are kept by batch. A repeat has the day of its first copy, so only the keys of the
+    batches that the arrival touches are read.
+    """
+    spark = sales.sparkSession
+    once = dedup_rows(sales, config.dedup or None)
+    keys = config.dedup or once.columns
+    day = F.coalesce(F.col("day"), F.lit("1970-01-01").cast("date"))
+    own = batch_number(day, F.lit(config.origin).cast("date"), config.batch_days)
+    marked = once.withColumns({"_batch": own, "_key": F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), 256)})
+    folder = f"{out.keys}/arrival={arrival}"
+    try:
+        before = spark.read.schema("_key string, _batch int, arrival bigint").parquet(out.keys)
+    except AnalysisException:
+        before = None
+    if before is not None:
+        touched = sorted(r[0] for r in marked.select("_batch").distinct().collect())
+        known = before.filter((F.col("arrival") < arrival) & F.col("_batch").isin(touched)).select("_key", "_batch")
+        marked = marked.join(known, ["_key", "_batch"], "left_anti")
+    marked.select("_key", "_batch").write.mode("overwrite").partitionBy("_batch").parquet(folder)
+    new = spark.read.schema("_key string, _batch int").parquet(folder)
+    return marked.join(new, ["_key", "_batch"], "left_semi").drop("_key", "_batch")
+
+
 def process_arrival(
     sales: DataFrame,
     arrival: int,
@@ -71,29 +98,27 @@ def process_arrival(
     """Add the sales of one micro-batch to the history and renew the batches it touches.
 
     Safe to repeat: the daily sums go to a partition of their own per arrival, the records replace those
-    of the same batch, and the tail alternates between two folders, so the one that is read is never the one
-    that is written. In order, an arrival reads the tail only. A row that comes late renews its batch and
+    of the same execution and batch, and the tail alternates between two folders, so the one that is read is never the one
+    that is written. `config.dedup` removes repeats inside an arrival and of earlier arrivals. In order, an arrival reads the tail only. A row that comes late renews its batch and
     all later ones from the full history.
     """
     spark = sales.sparkSession
     origin = F.lit(config.origin).cast("date")
+    if config.dedup is not None:
+        sales = _unseen(sales, arrival, out, config)
     daily = assign_batch(name_series(daily_panel(sales)), config.batch_days, origin)
-    (
-        daily.withColumn("arrival", F.lit(arrival).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("arrival", "batch_number")
-        .parquet(out.history)
-    )
-    history = spark.read.schema(HISTORY).parquet(out.history).filter(F.col("arrival") <= arrival)
-    arrived = history.filter(F.col("arrival") == arrival)
+    own = f"{out.history}/arrival={arrival}"
+    daily.hint("rebalance", "batch_number").write.mode("overwrite").partitionBy("batch_number").parquet(own)
+    # In order, the folder of the arrival is all that is listed; the whole history is opened for late rows only.
+    arrived = spark.read.schema(HISTORY).option("basePath", out.history).parquet(own)
     oldest = arrived.agg(F.min("batch_number")).first()[0]
     tail = _previous_tail(spark, out, arrival)
     reached = tail.agg(F.max("batch_number")).first()[0] if tail is not None else None
     if reached is not None and (oldest is None or oldest >= reached):
         rows = tail.unionByName(arrived.drop("arrival"))
     else:
-        rows = history.drop("arrival")
+        history = spark.read.schema(HISTORY).parquet(out.history)
+        rows = history.filter(F.col("arrival") <= arrival).drop("arrival")
     panel = rows.groupBy(*SERIES, "day", "batch_number").agg(F.sum("y").alias("y"))
     newest = rows.agg(F.max("batch_number")).first()[0]
     if newest is None:
@@ -108,7 +133,7 @@ def process_arrival(
         return
     renewed = model_run(panel, config, forecaster).filter(F.col("batch_number") >= oldest)
     write_runs(renewed, out.model_runs)
-    stored = spark.read.parquet(out.model_runs).filter(F.col("batch_number") >= oldest)
+    stored = spark.read.schema(renewed.schema).parquet(out.model_runs).filter(F.col("batch_number") >= oldest)
     write_runs(batch_rollup(stored), out.global_runs)
 
 
