@@ -163,11 +163,13 @@ def test_drift_stream_equals_batch(spark, tmp_path):
             for i, y in enumerate(np.broadcast_to(level, 20)):
                 part.append((s, "P001", START + datetime.timedelta(days=b * 20 + i), float(y), b))
         parts.append(part)
-    write_files(spark, str(tmp_path), parts, schema)
+    halves = [half for p in parts for half in (p[::2], p[1::2])]
+    write_files(spark, str(tmp_path), halves, schema)
     panel = spark.createDataFrame([r for p in parts for r in p], schema)
-    stream = events.file_stream(spark, f"{tmp_path}/*", panel.schema, max_files=2)
-    got = sinks.run_available(spark, drift_state.drift_stream(stream, 4.0), "s")
-    want = drift_flags(panel, DriftRule(threshold=4.0, reference_batches=10_000))
+    stream = events.file_stream(spark, f"{tmp_path}/*", panel.schema, max_files=1)
+    rule = DriftRule(threshold=4.0, reference_batches=2)
+    got = sinks.run_latest(spark, drift_state.drift_stream(stream, rule), ["store_id", "product_id", "batch_number"], "s")
+    want = drift_flags(panel, rule)
     key = ["store_id", "product_id", "batch_number"]
     both = got.join(want.withColumnsRenamed({"drift_score": "z", "has_concept_drift": "f"}), key, "full")
     assert got.count() == want.count() == 15

@@ -43,6 +43,15 @@ class DriftRule:
     detector: Detector = mean_shift
 
 
+def judged(recent: Moments, reference: Moments, rule: DriftRule) -> tuple[Column, Column]:
+    """Score and flag of a comparison. Two constant levels have no spread to measure a score in: any step
+    between them is drift."""
+    enough = (recent.n >= 2) & (reference.n >= 2)
+    score = F.when(enough, rule.detector(recent, reference))
+    step = (recent.var == 0) & (reference.var == 0) & (recent.mean != reference.mean)
+    return score, F.coalesce(F.abs(score) > rule.threshold, enough & step, F.lit(False))
+
+
 def with_drift(panel: DataFrame, rule: DriftRule = DriftRule()) -> DataFrame:
     """Add drift_score and has_concept_drift of the row's own batch to every panel row.
 
@@ -61,18 +70,8 @@ def with_drift(panel: DataFrame, rule: DriftRule = DriftRule()) -> DataFrame:
         "*", *[c.alias(n) for c, n in zip(moments(recent) + moments(reference), names)]
     )
     column = [F.col(n) for n in names]
-    enough = (F.col("_n1") >= 2) & (F.col("_n0") >= 2)
-    score = F.when(enough, rule.detector(Moments(*column[:3]), Moments(*column[3:])))
-    # Two constant levels have no spread to measure a score in: any step between them is drift.
-    step = (F.col("_v1") == 0) & (F.col("_v0") == 0) & (F.col("_m1") != F.col("_m0"))
-    return (
-        measured.withColumn("drift_score", score)
-        .withColumn(
-            "has_concept_drift",
-            F.coalesce(F.abs("drift_score") > rule.threshold, enough & step, F.lit(False)),
-        )
-        .drop(*names)
-    )
+    score, flag = judged(Moments(*column[:3]), Moments(*column[3:]), rule)
+    return measured.withColumns({"drift_score": score, "has_concept_drift": flag}).drop(*names)
 
 
 def drift_flags(panel: DataFrame, rule: DriftRule = DriftRule()) -> DataFrame:

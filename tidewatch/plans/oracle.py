@@ -158,7 +158,6 @@ def _last_rows(rows: int) -> str:
 
 
 def _event_totals(length: int, slide: int) -> str:
-    """Windows that the watermark (newest event less one day) has passed."""
     steps = length // slide
     return f"""
 WITH placed AS (
@@ -166,8 +165,7 @@ WITH placed AS (
   FROM events, range({steps}) AS g(s))
 SELECT window_start, window_start + to_days({length}) AS window_end, event_type,
   count(*) AS n, {r('sum(value)', 'total')}
-FROM placed GROUP BY window_start, event_type
-HAVING window_start + to_days({length}) <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 DAY FROM events)"""
+FROM placed GROUP BY window_start, event_type"""
 
 
 def _executions(source: str, ts: str, gap: str, keys: str = "") -> str:
@@ -557,8 +555,5 @@ FROM a_model_run WHERE rmse IS NOT NULL GROUP BY 1, 2""",
         """SELECT user_id, started_at, ended_at, n_runs FROM grouped
 WHERE ended_at + INTERVAL 6 HOUR <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 DAY FROM events)""",
     )
-    sql["stream_drift"] = with_(
-        f"{batched()}, {flags(reference=100000)}",
-        f"""SELECT {KEY}, n1 AS n_recent, n0 AS n_reference, {rs('drift_score')}, has_concept_drift FROM flags""",
-    )
+    sql["stream_drift"] = sql["drift_flags"]
     return sql

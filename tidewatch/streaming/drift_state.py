@@ -1,4 +1,4 @@
-"""Drift of every series over an unbounded stream, with three numbers of state per series."""
+"""Drift of every series over an unbounded stream, with three numbers of state per series and recent batch."""
 
 from __future__ import annotations
 
@@ -6,15 +6,22 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidewatch.operators.drift import DriftRule, Moments, judged
+from tidewatch.schema import RUN_KEY
+
 OUTPUT = (
-    "store_id string, product_id string, batch_number int, n_recent bigint, n_reference bigint,"
-    " drift_score double, has_concept_drift boolean"
+    "store_id string, product_id string, batch_number int, n1 bigint, m1 double, v1 double,"
+    " n0 bigint, m0 double, v0 double"
 )
 
+#: Count, mean and squared deviation of a set of rows.
+Parts = tuple[int, float, float]
+
 
-def _merge(a: tuple[int, float, float], b: tuple[int, float, float]) -> tuple[int, float, float]:
+def _merge(a: Parts, b: Parts) -> Parts:
     """Count, mean and squared deviation of two sets of rows taken together."""
     n = a[0] + b[0]
     if n == 0:
@@ -23,57 +30,67 @@ def _merge(a: tuple[int, float, float], b: tuple[int, float, float]) -> tuple[in
     return n, a[1] + step * b[0] / n, a[2] + b[2] + step * step * a[0] * b[0] / n
 
 
-class SeriesDrift(StatefulProcessor):
-    """Compares each batch of a series with all batches before it, then adds it to the state.
+def _sample(a: Parts) -> tuple[int, float | None, float | None]:
+    return a[0], a[1] if a[0] else None, a[2] / (a[0] - 1) if a[0] > 1 else None
+
 
-    The batches of a series have to arrive in order and whole; the rows inside may come in any order.
+class BatchMoments(StatefulProcessor):
+    """Holds the moments of the newest batches of a series and gives those of each batch that new rows change.
+
+    A batch may come in any number of parts: each part revises it, and the later batches it is a reference of. Rows
+    of a batch that is more than `late` batches older than the newest one come too late and are dropped; `late` and
+    `reference` bound the state.
     """
 
-    def __init__(self, threshold: float) -> None:
-        self.threshold = threshold
+    def __init__(self, reference: int, late: int) -> None:
+        self.reference, self.late = reference, late
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "n bigint, mean double, m2 double")
+        self.seen = handle.getMapState("seen", "batch_number int", "n bigint, mean double, m2 double")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        arrived: dict[int, tuple[int, float, float]] = {}
+        held = {int(k[0]): tuple(v) for k, v in self.seen.iterator()}
+        newest = max(held, default=None)
+        touched = set()
         for pdf in rows:
             for number, y in pdf.groupby("batch_number")["y"]:
-                mean = float(y.mean())
-                part = (len(y), mean, float(((y - mean) ** 2).sum()))
-                arrived[int(number)] = _merge(arrived.get(int(number), (0, 0.0, 0.0)), part)
-        state = self.seen.get() if self.seen.exists() else (0, 0.0, 0.0)
+                number, y = int(number), y.dropna()
+                if newest is not None and number < newest - self.late:
+                    continue
+                mean = float(y.mean()) if len(y) else 0.0
+                held[number] = _merge(held.get(number, (0, 0.0, 0.0)), (len(y), mean, float(((y - mean) ** 2).sum())))
+                touched.add(number)
+        oldest = max(held, default=0) - self.late - self.reference
         out = []
-        for number in sorted(arrived):
-            recent = arrived[number]
-            score, flag = self._judge(recent, state)
-            out.append((*key, number, recent[0], state[0], score, flag))
-            state = _merge(state, recent)
-        self.seen.update(tuple(state))
+        for number in sorted(held):
+            if any(number - self.reference <= t <= number for t in touched):
+                before: Parts = (0, 0.0, 0.0)
+                for b in range(max(number - self.reference, min(held)), number):
+                    before = _merge(before, held.get(b, (0, 0.0, 0.0)))
+                out.append((*key, number, *_sample(held[number]), *_sample(before)))
+            if number < oldest:
+                if self.seen.containsKey((number,)):
+                    self.seen.removeKey((number,))
+            elif number in touched:
+                self.seen.updateValue((number,), held[number])
         yield pd.DataFrame(out, columns=[field.split()[0] for field in OUTPUT.split(", ")])
 
-    def _judge(self, recent, reference) -> tuple[float | None, bool]:
-        if recent[0] < 2 or reference[0] < 2:
-            return None, False
-        spread = sum(m2 / (n - 1) / n for n, _, m2 in (recent, reference))
-        step = recent[1] - reference[1]
-        if spread == 0:
-            return None, step != 0
-        score = step / spread**0.5
-        return score, abs(score) > self.threshold
-
     def close(self) -> None:
         pass
 
 
-def drift_stream(panel: DataFrame, threshold: float = 2.0) -> DataFrame:
-    """A stream of panel rows (with batch_number) to one drift row per series and batch.
+def drift_stream(panel: DataFrame, rule: DriftRule = DriftRule(), late_batches: int = 6) -> DataFrame:
+    """A stream of panel rows (with batch_number) to drift rows per series and batch, in update mode.
 
-    A daily panel has one row per series and day, so no key is hot however skewed the sales are.
+    The newest row of a batch counts; it equals that of `drift_flags` once the batch is whole. A daily panel has one
+    row per series and day, so no key is hot however skewed the sales are.
     """
-    return panel.groupBy("store_id", "product_id").transformWithStateInPandas(
-        statefulProcessor=SeriesDrift(threshold),
+    moments = panel.groupBy("store_id", "product_id").transformWithStateInPandas(
+        statefulProcessor=BatchMoments(rule.reference_batches, late_batches),
         outputStructType=OUTPUT,
-        outputMode="append",
+        outputMode="update",
         timeMode="none",
     )
+    sides = Moments(*map(F.col, ("n1", "m1", "v1"))), Moments(*map(F.col, ("n0", "m0", "v0")))
+    score, flag = judged(*sides, rule)
+    return moments.select(*RUN_KEY, score.alias("drift_score"), flag.alias("has_concept_drift"))
