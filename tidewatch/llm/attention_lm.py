@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import per_process, read_local, staged
+from tidewatch.llm.common import hashed_sample, per_process, read_local, staged
 from tidewatch.llm.packing import Encoder
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -280,6 +280,23 @@ def fit(network: Network, shape: Shape, starts: tuple, words: tuple) -> None:
             network.w[name] -= (rate * a / (np.sqrt(b) + 1e-8)).astype(np.float32)
 
 
+def frequent_words(words: DataFrame, shape: Shape) -> DataFrame:
+    """The words of highest counts, `shape.frequent` at most.
+
+    A histogram of eighths of the logarithm of the counts gives the level from which on no more than that many
+    words lie, so nothing has to be put in order. Words beyond it get their counts by the join.
+    """
+    short = words.filter(F.octet_length("word").between(1, shape.longest))
+    level = F.floor(F.log2("c") * 8).cast("int")
+    bins = sorted((tuple(r) for r in short.groupBy(level).count().collect()), reverse=True)
+    kept, lowest = 0, bins[0][0] + 1 if bins else 0
+    for at, n in bins:
+        if kept + n > shape.frequent:
+            break
+        kept, lowest = kept + n, at
+    return short.filter(level >= lowest)
+
+
 def train(docs: DataFrame, words: DataFrame, vocabulary: str, shape: Shape) -> Model:
     """Counts from all training documents, weights from `shape.sample` of them, taken in order of a hash of their ids."""
     spec = json.loads(vocabulary)
@@ -289,11 +306,10 @@ def train(docs: DataFrame, words: DataFrame, vocabulary: str, shape: Shape) -> M
     outputs = int(classes.max(initial=0)) + 1 if classes.any() else 3
     network = Network(shape, outputs + 1, outputs)
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = words.filter((F.octet_length("word") <= shape.longest) & (F.octet_length("word") > 0)).orderBy(F.desc("c"), "word")
-    counts = {bytes(r[0]): r[1] for r in top.limit(shape.frequent).collect()}
+    counts = {bytes(r[0]): r[1] for r in frequent_words(words, shape).collect()}
     end = words.filter(F.octet_length("word") == 0).first()
     model = Model(shape, vocabulary, network, classes, first_rest, later_rest, counts, end[1] if end else 0, total, distinct)
-    sample = docs.orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(shape.sample).select("text")
+    sample = hashed_sample(docs, shape.sample, model.ends, "doc_id", "text").select("text")
     content = docs.sparkSession.sparkContext.broadcast((vocabulary, classes, network))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import staged
+from tidewatch.llm.common import hashed_sample, staged
 
 #: Characters that prose rarely holds.
 MARKS = "!|%$#&*{}<>\\^~=_@[]"
@@ -102,8 +102,9 @@ class Classifier:
 def train(rows: DataFrame, labels: DataFrame, rule: Rule) -> Classifier:
     """Fit on at most `rule.sample` labelled rows; that many feature rows come to the driver."""
     marks = labels.filter("quality is not null").groupBy("doc_id").agg(F.avg("quality").alias("quality"))
-    sample = rows.select("doc_id", *FEATURES).join(marks, "doc_id").orderBy(F.xxhash64("doc_id"), *FEATURES)
-    got = np.array(sample.limit(rule.sample).select(*FEATURES, "quality").collect(), dtype=float)
+    known = rows.select("doc_id", *FEATURES).join(marks, "doc_id")
+    sample = hashed_sample(known, rule.sample, known.count(), "doc_id", *FEATURES)
+    got = np.array(sample.select(*FEATURES, "quality").collect(), dtype=float)
     y = (got[:, -1] >= 0.5).astype(float) if len(got) else np.zeros(0)
     if not 0 < y.sum() < len(y):
         return Classifier([], [], [], 0.0, 0.0)

@@ -19,7 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import staged
+from tidewatch.llm.common import hashed_sample, staged
 
 KEYWORD = "passw|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer"
 CANDIDATE = f"(?<!\\S)(?:(?=\\S{{0,400}}\\d)\\S{{8,}}|(?=\\S{{0,40}}(?i:{KEYWORD}))\\S{{1,60}}[=:]\\S{{6,}})"
@@ -168,12 +168,13 @@ def scan(docs: DataFrame, path: Column, labelled: DataFrame | None = None, fores
         known = labelled.select("doc_id", "word_no", F.col("label").cast("double").alias("label"))
         found = found.join(known.dropDuplicates(["doc_id", "word_no"]), ["doc_id", "word_no"], "left")
     found = staged(with_path_rates(found), "findings")
-    truth = {r[0] for r in found.filter("label is not null").select("label").distinct().collect()}
-    if truth != {0.0, 1.0}:
+    truth = {r[0]: r[1] for r in found.filter("label is not null").groupBy("label").count().collect()}
+    if set(truth) != {0.0, 1.0}:
         judged = found.withColumn("score", F.coalesce("label", F.lit(1.0)))
     else:
         assembled = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(found)
-        rows = assembled.filter("label is not null").orderBy(F.xxhash64("value", "doc_id", "word_no")).limit(forest.sample)
+        known = assembled.filter("label is not null")
+        rows = hashed_sample(known, forest.sample, sum(truth.values()), "value", "doc_id", "word_no")
         learner = RandomForestClassifier(numTrees=forest.trees, maxDepth=forest.depth, seed=7, labelCol="label", featuresCol="features")
         judged = learner.fit(rows.select("features", "label")).transform(assembled)
         judged = judged.withColumn("score", vector_to_array("probability")[1])
