@@ -271,35 +271,54 @@ def ordered(a: Column, b: Column) -> list[Column]:
 
 
 def blocks(rows: DataFrame, scheme: Scheme) -> DataFrame:
-    """Pairs of one bucket that lie in different components and agree in enough registers.
+    """Verified links between texts of one bucket that lie in different components, as edges that span them.
 
-    `rows` has key, node, component and signature. A bucket is cut into blocks of about `block` texts and each pair
-    of blocks is a group of its own, so no group grows with the bucket.
+    `rows` has key, node, component, signature and bag. A bucket is cut into blocks of about `block` texts and each pair
+    of blocks is a group of its own, so no group grows with the bucket. Pairs are tried inside the task, those that
+    agree in most registers first: once two components are joined, their other pairs need not be tried, and pairs
+    that are not linked never leave it. A pair that shares several buckets is tried in that of its first shared band.
     """
     sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / scheme.block).cast("int").alias("parts"))
     cut = rows.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     dealt = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "signature"
-    )
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "signature", "bag"
+    )
 
     def compare(table: pa.Table) -> pa.Table:
+        key = np.int64(table.column("key")[0].as_py()).astype(np.uint64)
         own, i, j = (table.column(c).to_numpy() for c in ("own", "i", "j"))
-        nodes, groups = table.column("node").to_pylist(), np.unique(table.column("component").to_pylist(), return_inverse=True)[1]
+        nodes, bags_ = table.column("node").to_pylist(), table.column("bag").to_pylist()
+        group = np.unique(np.array(table.column("component").to_pylist(), object), return_inverse=True)[1]
         sign = np.frombuffer(b"".join(table.column("signature").to_pylist()), "<u4").reshape(len(nodes), -1)
+        bands = band_keys(sign, scheme.bands)
         left = np.flatnonzero(own == i[0])
         right = left if i[0] == j[0] else np.flatnonzero(own == j[0])
-        a, b = [], []
+        tries = []
         for x in left:
-            near = right[(groups[right] != groups[x])]
-            near = near[(sign[near] == sign[x]).mean(1) >= scheme.near]
-            if i[0] == j[0]:
-                near = near[near > x]
-            a += [nodes[x]] * len(near)
-            b += [nodes[y] for y in near]
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
-
-    found = dealt.groupBy("key", "i", "j").applyInArrow(compare, PAIR)
-    return found.select(*ordered(F.col("a"), F.col("b"))).distinct()
+            near = right[group[right] != group[x]]
+            near = near[near > x] if i[0] == j[0] else near
+            agree = (sign[near] == sign[x]).mean(1)
+            near, agree = near[agree >= scheme.near], agree[agree >= scheme.near]
+            first = (bands[near] == bands[x]).argmax(1)
+            here = bands[x][first] == key
+            tries += zip((-agree[here]).tolist(), [int(x)] * int(here.sum()), near[here].tolist(), strict=True)
+        parent = list(range(int(group.max()) + 1))
+
+        def root(k: int) -> int:
+            while parent[k] != k:
+                parent[k] = parent[parent[k]]
+                k = parent[k]
+            return k
+
+        edges = []
+        for _, x, y in sorted(tries):
+            p, q = root(group[x]), root(group[y])
+            if p != q and overlap(bags_[x], bags_[y]) >= scheme.similarity:
+                parent[p] = q
+                edges.append((nodes[x], nodes[y]))
+        return pa.table({"a": pa.array([a for a, _ in edges], pa.binary()), "b": pa.array([b for _, b in edges], pa.binary())})
+
+    return staged(dealt.groupBy("key", "i", "j").applyInArrow(compare, PAIR), "links")
 
 
 def linked(docs: DataFrame, sketched: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
@@ -329,7 +348,8 @@ def linked(docs: DataFrame, sketched: DataFrame, scheme: Scheme = Scheme()) -> D
     tested = links = None
     found = None
     for round_ in range(scheme.stars + 1):
-        rank = F.struct(F.xxhash64("node", F.lit(round_)).alias("r"), "node", "component")
+        # Each bucket has a star of its own, so a text meets as many different ones as it has bands.
+        rank = F.struct(F.xxhash64("node", "key", F.lit(round_)).alias("r"), "node", "component")
         groups = left.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min(rank).alias("star"))
         apart = staged(left.join(groups.filter("lo <> hi").drop("lo", "hi"), "key"), "apart")
         if not apart.take(1):
@@ -337,14 +357,13 @@ def linked(docs: DataFrame, sketched: DataFrame, scheme: Scheme = Scheme()) -> D
         if round_ < scheme.stars:
             star = apart.filter("component <> star.component")
             pairs = star.select(*ordered(F.col("node"), F.col("star.node"))).distinct()
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = staged(promising(pairs, classes, scheme), "pairs")
+            new = verified(pairs, known, scheme)
+            tested = pairs if tested is None else tested.unionByName(pairs)
         else:
-            signed = apart.drop("star").join(classes.select("node", "signature"), "node")
-            pairs = blocks(signed, scheme)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = staged(promising(pairs, classes, scheme), "pairs")
-        new = verified(pairs, known, scheme)
-        tested = pairs if tested is None else tested.unionByName(pairs)
+            new = blocks(apart.drop("star").join(classes.select("node", "signature"), "node").join(known, "node"), scheme)
         links = new if links is None else links.unionByName(new)
         found = components(links, "near")
         left = apart.drop("star", "component").join(found, "node", "left")
