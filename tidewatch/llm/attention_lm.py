@@ -3,12 +3,13 @@
 A word is its subword ids and an end mark. The model predicts the first id of a word from the first ids of the words
 before it, and each further id (or the end mark) from the ids of the same word: one network, two masks. So the
 second part depends on the word alone and is computed once per word and worker. Texts are cut into overlapping windows; each
-window scores its last part, so every token is scored once with context before it. Frequent ids have an
-output each, the others share one and are told apart by their counts in the corpus.
+window scores its last part, so every token is scored once with context before it. Every id that the training
+documents hold has an input and an output of its own: the most frequent ones directly, the others in groups, so a
+prediction costs a choice of group and one inside it. Ids that never came share one.
 
 The probability of a token mixes the network with the base: additive smoothing of the token counts, in which all words that
-were never seen are one event. Word and id counts come from all training documents; only the weights of the network are
-fitted on a bounded sample of them.
+were never seen are one event. Word and id counts come from all training documents, and so do the weights: every task
+trains on its own windows, the weights are averaged in a tree, and the next round goes on from there.
 
 A null text is taken as empty and has its end as the only token. A null doc_id counts as a training document. Equal rows are
 scored each; long words and texts are scored whole; without training tokens all counts are 0 and the
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 import pickle
 import uuid
 from collections import Counter
@@ -31,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import hashed_sample, per_process, read_local, staged
+from tidewatch.llm.common import Bounded, per_process, read_local, staged
 from tidewatch.llm.packing import Encoder
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -44,10 +46,13 @@ class Shape:
     """`words` and `starts` are (context, new) slots of a window inside a word and over first ids.
 
     `frequent` words are known to every worker, at most `longest` bytes each; rarer ones get their counts by a join.
-    `sample` documents at most fit the weights, in `steps` steps; `mixed` is the weight of the base.
+    `outputs` classes are predicted directly, the others in groups of `group`. All training documents fit the weights, in
+    `rounds` parts between which weights are averaged; a worker holds `sample` of them at a time, a task gets about
+    `share` tokens and makes `steps` steps or more, by further passes if it has few windows. `mixed` is the weight of the base.
     """
 
     outputs: int = 256
+    group: int = 512
     width: int = 16
     hidden: int = 32
     words: tuple[int, int] = (8, 8)
@@ -56,6 +61,8 @@ class Shape:
     longest: int = 48
     sample: int = 1200
     steps: int = 1000
+    rounds: int = 4
+    share: int = 2_000_000
     rate: float = 4e-3
     mixed: float = 0.6
     seed: int = 11
@@ -70,9 +77,15 @@ def tokens_of(text: str) -> list[bytes]:
 
 
 class Network:
-    """One layer of causal self-attention and one of rectified units, in float32."""
+    """One layer of causal self-attention and one of rectified units, in float32.
+
+    The first `direct` outputs are predicted at once; the others in groups of `group`, whose choice is predicted with them.
+    """
 
     def __init__(self, shape: Shape, inputs: int, outputs: int) -> None:
+        self.direct, self.group = min(outputs, shape.outputs), shape.group
+        others = outputs - self.direct
+        groups = -(-others // self.group)
         rng = np.random.default_rng(shape.seed)
         d, h = shape.width, shape.hidden
         normal = lambda *size, s=None: (rng.normal(size=size) * (s or size[0] ** -0.5)).astype(np.float32)
@@ -82,9 +95,38 @@ class Network:
             "words": normal(sum(shape.words), d, s=0.1),
             "query": normal(d, d), "key": normal(d, d), "value": normal(d, d), "mix": normal(d, d, s=0.1),
             "up": normal(d, h), "up0": np.zeros(h, np.float32), "down": normal(h, d, s=0.1),
-            "out": normal(d, outputs, s=0.05), "out0": np.zeros(outputs, np.float32),
+            "out": normal(d, self.direct + groups, s=0.05), "out0": np.zeros(self.direct + groups, np.float32),
+            "tail": np.concatenate([normal(others, d, s=0.05), np.zeros((others, 1), np.float32)], 1),
         }
 
+    def start_at(self, seen: np.ndarray) -> None:
+        """Outputs start at the frequencies of their classes."""
+        seen = seen + 0.5
+        low = np.arange(self.direct, len(seen), self.group)
+        head = np.r_[seen[: self.direct], np.add.reduceat(seen, low) if len(low) else []]
+        self.w["out0"] += np.log(head / head.sum()).astype(np.float32)
+        for g, at in enumerate(low):
+            self.w["tail"][at - self.direct : at - self.direct + self.group, -1] += np.log(seen[at : at + self.group] / head[self.direct + g])
+
+    def heads(self, target: np.ndarray) -> np.ndarray:
+        """The direct output of each target, or that of its group."""
+        return np.where(target < self.direct, target, self.direct + (target - self.direct) // self.group)
+
+    def inside(self, y: np.ndarray, target: np.ndarray) -> Iterator[tuple[np.ndarray, slice, np.ndarray, np.ndarray]]:
+        """Per group that `target` has: rows, place in the tail, place of the target in the group, log probabilities."""
+        late = np.flatnonzero(target >= self.direct)
+        place = target[late] - self.direct
+        order = np.argsort(place, kind="stable")
+        late, place = late[order], place[order]
+        groups, first = np.unique(place // self.group, return_index=True)
+        for g, rows, at in zip(groups.tolist(), np.split(late, first[1:]), np.split(place, first[1:]), strict=bool(len(groups))):
+            part = slice(g * self.group, (g + 1) * self.group)
+            tail = self.w["tail"][part]
+            z = y[rows] @ tail[:, :-1].T + tail[:, -1]
+            z -= z.max(1, keepdims=True)
+            z -= np.log(np.exp(z).sum(1, keepdims=True))
+            yield rows, part, at - part.start, z
+
     def forward(self, kind: str, context: int, ids: np.ndarray, ok: np.ndarray, want: np.ndarray) -> dict:
         """Outputs of the slots in `want` (windows x new slots); `ok` marks the filled slots of the windows."""
         w, size = self.w, ids.shape[1]
@@ -104,22 +146,38 @@ class Network:
 
     def log_probability(self, kind: str, context: int, ids, ok, want, target) -> np.ndarray:
         """Natural logarithm of the probability of each wanted slot's target."""
-        z = self.forward(kind, context, ids, ok, want)["z"]
+        f = self.forward(kind, context, ids, ok, want)
+        z = f["z"]
         np.clip(z, -60, 60, out=z)
-        picked = z[np.arange(len(z)), target]
-        return picked - np.log(np.exp(z, out=z).sum(1))
+        picked = z[np.arange(len(z)), self.heads(target)]
+        out = picked - np.log(np.exp(z, out=z).sum(1))
+        for rows, _, at, logs in self.inside(f["y"], target):
+            out[rows] += logs[np.arange(len(rows)), at]
+        return out
 
-    def gradients(self, kind: str, context: int, ids, ok, want, target) -> tuple[dict, float]:
+    def gradients(self, kind: str, context: int, ids, ok, want, target, weight=None) -> tuple[dict, float]:
+        """Gradients of the mean loss of the targets, or of their mean under `weight`."""
         w, f = self.w, self.forward(kind, context, ids, ok, want)
         m, scale = len(target), np.float32(w["query"].shape[0] ** -0.5)
         p = f["z"] - f["z"].max(1, keepdims=True)
         p = np.exp(p)
         p /= p.sum(1, keepdims=True)
-        loss = -float(np.log(p[np.arange(m), target] + 1e-30).mean())
-        p[np.arange(m), target] -= 1
-        p /= m
-        g = {"out": f["y"].T @ p, "out0": p.sum(0)}
+        part = np.full(m, 1 / m, p.dtype) if weight is None else (weight / weight.sum()).astype(p.dtype)
+        head = self.heads(target)
+        losses = -np.log(p[np.arange(m), head] + 1e-30)
+        p[np.arange(m), head] -= 1
+        p *= part[:, None]
+        g = {"out": f["y"].T @ p, "out0": p.sum(0), "tail": np.zeros_like(w["tail"])}
         dy = p @ w["out"].T
+        for rows, place, at, logs in self.inside(f["y"], target):
+            each = np.arange(len(rows))
+            losses[rows] -= logs[each, at]
+            q = np.exp(logs)
+            q[each, at] -= 1
+            q *= part[rows, None]
+            g["tail"][place] = np.concatenate([q.T @ f["y"][rows], q.sum(0)[:, None]], 1)
+            dy[rows] += q @ w["tail"][place, :-1]
+        loss = float((losses * part).sum())
         g["down"] = f["u"].T @ dy
         du = (dy @ w["down"].T) * (f["u"] > 0)
         g["up"], g["up0"] = f["h"].T @ du, du.sum(0)
@@ -190,14 +248,13 @@ class Model:
     @property
     def begin(self) -> int:
         """Input ids are outputs and one more: what stands before the first word."""
-        return self.network.w["out0"].shape[0]
+        return len(self.network.w["embed"]) - 1
 
 
-def classes_of(first: np.ndarray, later: np.ndarray, outputs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Output of every id (0: other), and the log share of each other id among the others, as first and as later id."""
+def classes_of(first: np.ndarray, later: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Output of every id by falling count (0: it never came), and the log share of each such id among them, as first and later id."""
     total = first + later
-    best = np.argsort(-total, kind="stable")[: outputs - 3]
-    best = best[total[best] > 0]
+    best = np.argsort(-total, kind="stable")[: np.count_nonzero(total)]
     classes = np.zeros(len(total), np.int64)
     classes[best] = np.arange(3, 3 + len(best))
     rest = classes == 0
@@ -259,25 +316,168 @@ def id_counts(words: DataFrame, vocabulary: str, size: int) -> tuple[np.ndarray,
     return out[0], out[1]
 
 
-def fit(network: Network, shape: Shape, starts: tuple, words: tuple) -> None:
-    """Adam on windows drawn from both kinds of sequences. `starts` and `words` are (ids, ok, wanted, targets)."""
-    rng = np.random.default_rng(shape.seed)
-    first = {k: np.zeros_like(v) for k, v in network.w.items()}
-    second = {k: np.zeros_like(v) for k, v in network.w.items()}
-    for step in range(1, shape.steps + 1):
+class Adam:
+    """Steps on the weights of a network; of the input and grouped output rows only those move that a step concerns.
+
+    `moved` counts the steps of each such row, so that averages give a row the weights of the tasks that met it.
+    """
+
+    SPARSE = ("embed", "tail")
+
+    def __init__(self, network: Network, shape: Shape, rate: float) -> None:
+        self.network, self.shape, self.rate, self.step = network, shape, rate, 0
+        self.first = {k: np.zeros_like(v) for k, v in network.w.items()}
+        self.second = {k: np.zeros_like(v) for k, v in network.w.items()}
+        self.moved = {k: np.zeros(len(network.w[k]), np.float32) for k in self.SPARSE}
+
+    def __call__(self, batches: list[tuple]) -> None:
+        """One step on the sum of the mean losses of `batches`, which are (kind, ids, ok, wanted, targets, weights)."""
         total: dict[str, np.ndarray] = {}
-        for kind, size, (ids, ok, wanted, targets) in (("starts", 48, starts), ("words", 192, words)):
-            some = rng.integers(0, len(ids), size)
-            want = wanted[some]
-            g, _ = network.gradients(kind, getattr(shape, kind)[0], ids[some], ok[some], want, targets[some][want])
+        for kind, ids, ok, wanted, targets, weights in batches:
+            each = np.broadcast_to(weights[:, None], wanted.shape)[wanted]
+            g, _ = self.network.gradients(kind, getattr(self.shape, kind)[0], ids, ok, wanted, targets[wanted], each)
             for name, value in g.items():
                 total[name] = total[name] + value if name in total else value
-        rate = shape.rate * min(1, step / 50) * (1 - step / (shape.steps + 1))
+        self.step += 1
+        rate = self.rate * min(1, self.step / 50)
         for name, g in total.items():
-            first[name] += 0.1 * (g - first[name])
-            second[name] += 0.01 * (g * g - second[name])
-            a, b = first[name] / (1 - 0.9**step), second[name] / (1 - 0.99**step)
-            network.w[name] -= (rate * a / (np.sqrt(b) + 1e-8)).astype(np.float32)
+            at = slice(None)
+            if name in self.moved:
+                at = np.flatnonzero(g.any(1))
+                self.moved[name][at] += 1
+                g = g[at]
+            first = self.first[name][at] + 0.1 * (g - self.first[name][at])
+            second = self.second[name][at] + 0.01 * (g * g - self.second[name][at])
+            self.first[name][at], self.second[name][at] = first, second
+            a, b = first / (1 - 0.9**self.step), second / (1 - 0.99**self.step)
+            self.network.w[name][at] -= (rate * a / (np.sqrt(b) + 1e-8)).astype(np.float32)
+
+
+def train_on(adam: Adam, lines: list[np.ndarray], words: list[np.ndarray], counts: list[int], passes: int, rng: np.random.Generator) -> None:
+    """`passes` passes over all windows of `lines` (first ids of texts) and of `words`, which count as often as they came."""
+    shape, begin = adam.shape, len(adam.network.w["embed"]) - 1
+    sets = []
+    if lines:
+        found = sequences([[begin, *x] for x in lines], [[*x, Model.END] for x in lines], shape.starts, begin)
+        sets.append(("starts", *found, np.ones(len(found[0]), np.float32)))
+    if words:
+        found = sequences(words, [[*x[1:], Model.EOW] for x in words], shape.words, begin)
+        each = np.repeat(np.array(counts, np.float32), [-(-len(x) // shape.words[1]) for x in words])
+        sets.append(("words", *found, each))
+    sizes = {"starts": 48, "words": 192}
+    for _ in range(passes):
+        steps = max(1, *(-(-len(x[1]) // sizes[x[0]]) for x in sets)) if sets else 0
+        dealt = [[x, np.array_split(rng.permutation(len(x[1])), steps)] for x in sets]
+        for k in range(steps):
+            some = [(x[0], *(v[part[k]] for v in x[1:])) for x, part in dealt if len(part[k])]
+            adam(some)
+
+
+def packed(before: dict[str, np.ndarray], adam: Adam) -> np.ndarray:
+    """What the steps changed times their number, and that number; by row where only rows were moved."""
+    out = []
+    for name, old in before.items():
+        change = adam.network.w[name] - old
+        if name in adam.moved:
+            n = adam.moved[name][:, None]
+            out.append(np.concatenate([change * n, n], 1).ravel())
+        else:
+            out.append(np.r_[change.ravel() * np.float32(adam.step), np.float32(adam.step)])
+    return np.concatenate(out).astype("<f4")
+
+
+def averaged(before: dict[str, np.ndarray], total: np.ndarray, sparse: tuple = Adam.SPARSE) -> dict[str, np.ndarray]:
+    """The weights after the mean of the changes in `total`, the sum of `packed` vectors."""
+    out, at = {}, 0
+    for name, old in before.items():
+        if name in sparse:
+            rows = total[at : at + old.size + len(old)].reshape(len(old), old.shape[1] + 1)
+            change, at = rows[:, :-1] / np.maximum(rows[:, -1:], 1), at + rows.size
+        else:
+            change, at = total[at : at + old.size].reshape(old.shape) / max(total[at + old.size], 1), at + old.size + 1
+        out[name] = (old + change).astype(np.float32)
+    return out
+
+
+TRAINING = "part int, line binary, c bigint"
+
+
+def training_rows(docs: DataFrame, words: DataFrame, vocabulary: str, classes: np.ndarray, shape: Shape, tasks: int) -> DataFrame:
+    """Classes of the first ids of every text (c null) and of the ids of every word with its count, mixed over `tasks` tasks."""
+    content = docs.sparkSession.sparkContext.broadcast((vocabulary, classes))
+    key = uuid.uuid4().hex
+
+    def rows_of(lines: list[np.ndarray], c: list, at: int) -> pa.RecordBatch:
+        part = (at + np.arange(len(lines))) % shape.rounds
+        columns = [pa.array(part.astype(np.int32)), pa.array([x.astype("<u4").tobytes() for x in lines], pa.binary()), pa.array(c, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["part", "line", "c"])
+
+    def of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, at = per_process("lm_lines", lambda: Encoder(content.value[0]), key), 0
+        first = per_process("lm_first", lambda: Bounded(lambda w: int(content.value[1][ids_of_word(encoder, w)[0]])), key)
+        for batch in batches:
+            lines = [np.array([first[w] for w in tokens_of(t or "")], np.int64) for t in batch.column("text").to_pylist()]
+            yield rows_of(lines, [None] * len(lines), at)
+            at += len(lines)
+
+    def of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, at = per_process("lm_lines", lambda: Encoder(content.value[0]), key), 0
+        for batch in batches:
+            lines = [content.value[1][ids_of_word(encoder, w)] for w in batch.column("word").to_pylist()]
+            yield rows_of(lines, batch.column("c").to_pylist(), at)
+            at += len(lines)
+
+    own = words.filter(F.octet_length("word") > 0).select("word", "c").mapInArrow(of_words, TRAINING)
+    return staged(docs.select("text").mapInArrow(of_texts, TRAINING).unionByName(own).repartition(tasks), "training")
+
+
+def fit(network: Network, rows: DataFrame, shape: Shape, rounds: int, passes: int, slices: int = 16) -> None:
+    """Rounds of training in every task on its own rows; the changes are summed in a tree and averaged on the driver."""
+    context = rows.sparkSession.sparkContext
+    for round_ in range(rounds):
+        sent = context.broadcast(network)
+        rate = shape.rate * (1 - round_ / rounds)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = pickle.loads(pickle.dumps(sent.value))  # noqa: B023
+            task = TaskContext.get().partitionId()
+            adam, rng = Adam(own, shape, rate), np.random.default_rng((shape.seed, round_, task))  # noqa: B023
+            lines, words, counts, size = [], [], [], 0
+            for batch in batches:
+                for line, c in zip(batch.column("line").to_pylist(), batch.column("c").to_pylist(), strict=True):
+                    line = np.frombuffer(line, "<u4").astype(np.int64)
+                    if c is None:
+                        lines.append(line)
+                    else:
+                        words.append(line)
+                        counts.append(c)
+                    size += len(line)
+                    if len(lines) >= shape.sample or size >= 250_000:
+                        train_on(adam, lines, words, counts, passes, rng)
+                        lines, words, counts, size = [], [], [], 0
+            if lines or words:
+                train_on(adam, lines, words, counts, passes, rng)
+            if adam.step:
+                parts = [x.tobytes() for x in np.array_split(packed(sent.value.w, adam), slices)]  # noqa: B023
+                columns = [pa.array(range(slices), pa.int32()), pa.array([task % 16] * slices, pa.int32()), pa.array(parts, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["slice", "branch", "sums"])
+
+        def added(table: pa.Table) -> pa.Table:
+            total = None
+            for blob in table.column("sums"):
+                part = np.frombuffer(blob.as_py(), "<f4").astype(np.float64)
+                total = part if total is None else total + part
+            branch = table.column("branch")[0].as_py()
+            columns = [table.column("slice").slice(0, 1), pa.array([branch], pa.int32()), pa.array([total.astype("<f4").tobytes()], pa.binary())]
+            return pa.table(columns, names=["slice", "branch", "sums"])
+
+        kept = rows if rounds == 1 else rows.filter(F.col("part") == round_)
+        form = "slice int, branch int, sums binary"
+        sums = kept.mapInArrow(run, form).groupBy("slice", "branch").applyInArrow(added, form)
+        found = dict(sums.groupBy("slice").applyInArrow(added, form).select("slice", "sums").collect())
+        if found:
+            network.w = averaged(network.w, np.concatenate([np.frombuffer(found[k], "<f4") for k in range(slices)]))
+        sent.unpersist()
 
 
 def frequent_words(words: DataFrame, shape: Shape) -> DataFrame:
@@ -298,53 +498,29 @@ def frequent_words(words: DataFrame, shape: Shape) -> DataFrame:
 
 
 def train(docs: DataFrame, words: DataFrame, vocabulary: str, shape: Shape) -> Model:
-    """Counts from all training documents, weights from `shape.sample` of them, taken in order of a hash of their ids."""
+    """Counts and weights from all training documents."""
     spec = json.loads(vocabulary)
     size = 1 + max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
     first, later = id_counts(words, vocabulary, size)
-    classes, first_rest, later_rest = classes_of(first, later, shape.outputs)
-    outputs = int(classes.max(initial=0)) + 1 if classes.any() else 3
+    classes, first_rest, later_rest = classes_of(first, later)
+    outputs = max(3, int(classes.max(initial=0)) + 1)
     network = Network(shape, outputs + 1, outputs)
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     counts = {bytes(r[0]): r[1] for r in frequent_words(words, shape).collect()}
     end = words.filter(F.octet_length("word") == 0).first()
     model = Model(shape, vocabulary, network, classes, first_rest, later_rest, counts, end[1] if end else 0, total, distinct)
-    sample = hashed_sample(docs, shape.sample, model.ends, "doc_id", "text").select("text")
-    content = docs.sparkSession.sparkContext.broadcast((vocabulary, classes, network))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary_, classes_, network_ = content.value
-        texts = [tokens_of(text.as_py() or "") for batch in batches for text in batch.column("text")]
-        if any(texts):
-            fit_texts(network_, texts, Encoder(vocabulary_), classes_, shape)
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(network_.w)], pa.binary())], ["weights"])
-
-    # The sample is one partition: one task of bounded size fits the weights.
-    found = sample.mapInArrow(run, "weights binary").collect()
-    if found:
-        network.w = pickle.loads(found[0][0])
+    if total > model.ends:
+        seen = np.bincount(classes, first + later, outputs)
+        seen[Model.END], seen[Model.EOW] = model.ends, total - model.ends
+        network.start_at(seen)
+        tasks = -(-total // shape.share)
+        windows_ = total / shape.starts[1] + model.ends / 2
+        passes = max(1, math.ceil(shape.steps * 48 * tasks / windows_))
+        rows = training_rows(docs, words, vocabulary, classes, shape, tasks)
+        fit(network, rows, shape, shape.rounds if tasks > 1 else 1, passes)
     return model
 
 
-def fit_texts(network: Network, texts: list[list[bytes]], encoder: Encoder, classes: np.ndarray, shape: Shape) -> None:
-    """Fit on the sequences of first ids and of the ids inside words; outputs start at their frequencies."""
-    begin, outputs = len(network.w["out0"]), len(network.w["out0"])
-    known: dict[bytes, list[int]] = {}
-    for text in texts:
-        for word in text:
-            if word not in known:
-                known[word] = classes[ids_of_word(encoder, word)].tolist()
-    lines = [[known[w][0] for w in text] for text in texts]
-    starts = sequences([[begin, *x] for x in lines], [[*x, Model.END] for x in lines], shape.starts, begin)
-    inner = [known[w] for text in texts for w in text]
-    inside = sequences(inner, [[*x[1:], Model.EOW] for x in inner], shape.words, begin)
-    seen = np.zeros(outputs)
-    for part in (starts, inside):
-        np.add.at(seen, part[3][part[2]], 1)
-    network.w["out0"] += np.log((seen + 0.5) / (seen.sum() + 0.5 * outputs)).astype(np.float32)
-    fit(network, shape, starts, inside)
-
-
 def sequences(inputs: list[list[int]], targets: list[list[int]], sizes: tuple[int, int], empty: int) -> tuple:
     lengths = np.array([len(x) for x in inputs])
     join = lambda lists: np.fromiter((i for x in lists for i in x), np.int64, lengths.sum())
