@@ -43,8 +43,8 @@ FEATURES = [
 
 @dataclass(frozen=True)
 class Forest:
-    """`sample` bounds the labelled findings that the forest is grown on, by hash order; `common` is how often a
-    word has to stand in the corpus to count as one of the dictionary."""
+    """`sample` bounds the labelled findings that the forest is grown on, by hash order with a quota for each label;
+    `common` is how often a word has to stand in the corpus to count as one of the dictionary."""
 
     sample: int = 20_000
     trees: int = 20
@@ -154,11 +154,26 @@ def with_path_rates(found: DataFrame) -> DataFrame:
     return found.join(sums.select("p", rate.alias("path_rate")), F.col("path").eqNullSafe(F.col("p"))).drop("p")
 
 
+def quotas(truth: dict[float, int], size: int) -> dict[float, int]:
+    """Rows to take of each of two labels, `size` at most: half each, and what one label leaves goes to the other."""
+    least = {k: min(n, size // 2) for k, n in truth.items()}
+    return {k: min(n, size - sum(v for j, v in least.items() if j != k)) for k, n in truth.items()}
+
+
+def grown_on(known: DataFrame, truth: dict[float, int], size: int) -> DataFrame:
+    """A sample of the labelled findings with both labels in it; `weight` gives each label its true share."""
+    parts = []
+    for label, n in sorted(quotas(truth, size).items()):
+        rows = hashed_sample(known.filter(F.col("label") == label), n, truth[label], "value", "doc_id", "word_no")
+        parts.append(rows.withColumn("weight", F.lit(truth[label] / n)))
+    return parts[0].unionByName(parts[1])
+
+
 def scan(docs: DataFrame, path: Column, labelled: DataFrame | None = None, forest: Forest = Forest()) -> DataFrame:
     """All candidates with score and is_secret.
 
     `labelled` (doc_id, word_no, label 0/1) holds findings that were looked at. Without it, findings of unmistakable shape
-    serve as labelled ones.
+    serve as labelled ones. A true label of a finding that was looked at, or of an issued format, stands whatever its score.
     """
     found = staged(candidates(docs, path), "candidates")
     found = described(covered(found, dictionary(found, docs, forest.common)))
@@ -174,11 +189,15 @@ def scan(docs: DataFrame, path: Column, labelled: DataFrame | None = None, fores
     else:
         assembled = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(found)
         known = assembled.filter("label is not null")
-        rows = hashed_sample(known, forest.sample, sum(truth.values()), "value", "doc_id", "word_no")
-        learner = RandomForestClassifier(numTrees=forest.trees, maxDepth=forest.depth, seed=7, labelCol="label", featuresCol="features")
-        judged = learner.fit(rows.select("features", "label")).transform(assembled)
+        rows = grown_on(known, truth, forest.sample)
+        learner = RandomForestClassifier(
+            numTrees=forest.trees, maxDepth=forest.depth, seed=7, labelCol="label", featuresCol="features", weightCol="weight"
+        )
+        judged = learner.fit(rows.select("features", "label", "weight")).transform(assembled)
         judged = judged.withColumn("score", vector_to_array("probability")[1])
-    return judged.withColumn("is_secret", F.col("score") >= forest.threshold).select(
+    certain = F.lit(True) if labelled is not None else F.col("value").rlike(ISSUED)
+    stands = F.coalesce(F.col("label") == 1, F.lit(False)) & certain
+    return judged.withColumn("is_secret", stands | (F.col("score") >= forest.threshold)).select(
         "doc_id", "text_key", "word_no", "value", "path", *[f for f in FEATURES if f != "path_rate"], "path_rate", "score", "is_secret"
     )
 
