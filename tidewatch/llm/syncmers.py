@@ -2,8 +2,8 @@
 
 A k-mer of characters is an anchor if the least hash of its inner s-mers lies at its first or last place. Whether it is
 depends on nothing but its own characters, so an edit changes the anchors it touches and no others. A fingerprint
-holds the anchors of least hash, each with its place in the text; two fingerprints are compared by the anchors
-that they share at one common shift.
+holds all anchors, by hash, each with its place in the text, so it grows with the text; two fingerprints are compared by
+the anchors that they share at one common shift.
 
 A null text is taken as empty. An empty text has the empty fingerprint; a text without an anchor has its own hash as
 its only one. Two empty fingerprints are alike (1), an empty and a filled one are not (0). Null ids come last in
@@ -24,8 +24,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 K, S = 24, 8
-#: Anchors that a fingerprint holds at most; a longer text is represented by those of least hash.
-ANCHORS = 64
 
 SCHEMA = (
     "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string,"
@@ -50,8 +48,8 @@ def _power(n: int) -> np.uint64:
     return np.uint64(pow(_BASE, n, 1 << 64))
 
 
-def anchors(texts: list[str], limit: int = ANCHORS) -> list[np.ndarray]:
-    """For each text its anchors (hash, place) as a 2-column array, by hash, the `limit` least ones."""
+def anchors(texts: list[str], limit: int | None = None) -> list[np.ndarray]:
+    """For each text its anchors (hash, place) as a 2-column array, by hash; all of them, or the `limit` least ones."""
     sizes = np.array([len(t) for t in texts], np.int64)
     ends = np.cumsum(sizes)
     codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
@@ -78,7 +76,7 @@ def anchors(texts: list[str], limit: int = ANCHORS) -> list[np.ndarray]:
         pairs, owner = np.stack([key[first], place[first]], 1), owner[first]
         low, high = np.searchsorted(owner, np.arange(len(texts))), np.searchsorted(owner, np.arange(len(texts)), "right")
         for i in np.flatnonzero(high > low):
-            found[i] = pairs[low[i] : min(high[i], low[i] + limit)]
+            found[i] = pairs[low[i] : high[i]][:limit]
     for i, text in enumerate(texts):
         if found[i] is None:
             whole = [[int(hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()[:8], 16), 0]] if text else []
@@ -91,13 +89,10 @@ def as_text(print_: np.ndarray) -> str:
     return print_.astype(">u4").tobytes().hex()
 
 
-def likeness(a: np.ndarray, b: np.ndarray, limit: int = ANCHORS) -> float:
-    """Share of the anchors known for both texts that both have, at the shift that most shared ones agree on."""
+def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """Share of the anchors of both texts that both have, at the shift that most shared ones agree on."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    if len(a) == limit or len(b) == limit:
-        reach = min(x[-1, 0] for x in (a, b) if len(x) == limit)
-        a, b = (x[: np.searchsorted(x[:, 0], reach, "right")] for x in (a, b))
     _, i, j = np.intersect1d(a[:, 0], b[:, 0], assume_unique=True, return_indices=True)
     if not len(i):
         return 0.0
