@@ -1,7 +1,7 @@
 """Secrets in texts: candidates by pattern, false findings removed by a random forest.
 
 All of it is DataFrame and SQL functions in the JVM. A candidate is a word with a digit, or with a credential keyword
-and a sign of assignment. The forest sees length, composition, character transitions, dictionary coverage, the
+and a sign of assignment, or one that follows both within the two words before. The forest sees length, composition, character transitions, dictionary coverage, the
 path and the neighbouring words, and learns from labelled findings.
 
 A null or empty text has no candidates; repeated rows have the same findings each; null paths form one of their own;
@@ -22,7 +22,13 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import hashed_sample, staged
 
 KEYWORD = "passw|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer"
-CANDIDATE = f"(?<!\\S)(?:(?=\\S{{0,400}}\\d)\\S{{8,}}|(?=\\S{{0,40}}(?i:{KEYWORD}))\\S{{1,60}}[=:]\\S{{6,}})"
+CANDIDATE = f"(?<!\\S)(?:(?=[^\\s\\d]*+\\d)\\S{{8,}}|(?=\\S{{0,40}}(?i:{KEYWORD}))\\S{{1,60}}[=:]\\S{{6,}})"
+
+#: A keyword and a sign of assignment with nothing assigned in the same word.
+ASSIGNING = f"(?i:{KEYWORD})[^\\s=:]*\\s*[=:]+>?[\"'`]?(?:\\s|$)"
+
+#: The same with the sign at the front of the assigned word.
+OPENING = f"(?i:{KEYWORD})[^\\s=:]*\\s+[=:]+[\"'`]?\\S{{6,}}"
 
 #: Formats of issued keys, with fixed prefixes that their issuers publish.
 ISSUED = (
@@ -56,10 +62,16 @@ class Forest:
 def candidates(docs: DataFrame, path: Column) -> DataFrame:
     """One row per candidate word with its value, path and neighbouring words."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", path.cast("string").alias("path"))
-    rows = rows.filter(F.col("text").rlike(CANDIDATE)).withColumn("text_key", F.xxhash64("text"))
+    rows = rows.filter(F.col("text").rlike(f"{CANDIDATE}|{ASSIGNING}|{OPENING}")).withColumn("text_key", F.xxhash64("text"))
     words = F.split("text", "\\s+")
+
+    def assigned(w: Column, i: Column) -> Column:
+        back = lambda n: F.coalesce(F.get("words", i - n), F.lit(""))
+        opening = F.concat_ws(" ", back(1), w).rlike(f"^\\S*{OPENING}")
+        return (F.length(w) >= 6) & (F.concat_ws(" ", back(2), back(1)).rlike(ASSIGNING) | opening)
+
     marked = F.filter(
-        F.transform("words", lambda w, i: F.when(w.rlike(CANDIDATE), i)), lambda i: i.isNotNull()
+        F.transform("words", lambda w, i: F.when(w.rlike(CANDIDATE) | assigned(w, i), i)), lambda i: i.isNotNull()
     )
     at = rows.select("doc_id", "text_key", "path", words.alias("words")).withColumn("word_no", F.explode(marked))
     word = lambda shift: F.coalesce(F.get("words", F.col("word_no") + shift), F.lit(""))
@@ -110,14 +122,21 @@ def covered(found: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def weak_label() -> Column:
-    """1 for issued formats and for random values that are assigned to a keyword, 0 for harmless shapes, else null."""
+    """1 for issued formats and for random values that are assigned to a keyword, 0 for harmless shapes, else null.
+
+    A value of letters alone counts as random if its case changes inside and no word of the dictionary is in it.
+    """
     value = F.col("value")
     named = F.col("keyword_inside") + F.col("keyword_before") > 0
     mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (F.length(value) >= 8)
+    letters = value.rlike("^\\p{L}{6,}$")
+    cased = letters & value.rlike("[a-z][A-Z]") & (F.col("dictionary") == 0)
     return (
         F.when(value.rlike(ISSUED), 1.0)
         .when(value.rlike(HARMLESS), 0.0)
         .when(named & mixed & ~value.rlike("[\\p{L}]{12,}"), 1.0)
+        .when(named & (F.col("assigned") > 0) & cased, 1.0)
+        .when(letters & value.rlike("^.\\P{Lu}*$") & (F.col("dictionary") == 1), 0.0)
     )
 
 
