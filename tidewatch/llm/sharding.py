@@ -15,8 +15,10 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from tidewatch.llm.common import staged
+from tidewatch.session import shared_dir
 
 #: (from, to, bytes)
 Transfer = tuple[int, int, int]
@@ -73,8 +75,8 @@ def equal_capacities(total: int, shards: int) -> list[int]:
     return [total // shards + (k < total % shards) for k in range(shards)]
 
 
-def measured(docs: DataFrame, old_shard: Column, buckets: int = 512) -> DataFrame:
-    """(doc_id, size, text_crc32) with the old shard and the block of every document, without the text."""
+def measured(docs: DataFrame, old_shard: Column, *keep: str, buckets: int = 512) -> DataFrame:
+    """(doc_id, size, text_crc32) with the old shard and the block of every document and `keep`, without the text."""
     text = F.coalesce("text", F.lit(""))
     size = F.octet_length(text).cast("bigint") + 1
     slim = docs.select(
@@ -82,6 +84,7 @@ def measured(docs: DataFrame, old_shard: Column, buckets: int = 512) -> DataFram
         size.alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         old_shard.cast("int").alias("shard"),
+        *keep,
     )
     return slim.withColumns(
         {
@@ -136,10 +139,33 @@ def with_slots(rows: DataFrame) -> DataFrame:
     return numbered.withColumn("slot", F.col("first") + F.col("inside")).drop("first", "inside")
 
 
+#: Names a row from the old layout to the new one; equal rows have a name each.
+ROW = "_row"
+
+
 def shard_documents(docs: DataFrame, old_shard: Column, shards: int = 16) -> DataFrame:
-    """All documents in `shards` shards of near equal bytes, with the fewest bytes moved from `old_shard`."""
-    rows = staged(measured(docs, old_shard), "sizes")
-    return with_slots(reshard(rows, lambda total: equal_capacities(total, shards), shards))
+    """All documents in `shards` shards of near equal bytes, with the fewest bytes moved from `old_shard`.
+
+    The old layout is written, the plan is carried out on it, and what is returned is taken from the shards that lie on
+    disk then.
+    """
+    spark = docs.sparkSession
+    path = shared_dir(spark, "layout")
+    write_shards(docs.withColumns({"shard": old_shard.cast("int"), ROW: F.monotonically_increasing_id()}), path, 0)
+    kept = StructType([f for f in docs.schema if f.name not in ("shard", "old_shard", ROW)])
+    form = StructType([*kept, StructField(ROW, LongType()), StructField("shard", IntegerType())])
+    # An empty table writes no file of a shard, so there is no layout to read.
+    old = spark.read.schema(form).option("basePath", f"{path}/version=0").parquet(f"{path}/version=0")
+    rows = staged(measured(old, F.col("shard"), ROW), "sizes")
+    plan = reshard(rows, lambda total: equal_capacities(total, shards), shards)
+    moves = plan.select(F.col(ROW).alias("_moved"), F.col("shard").alias("_new"))
+    both = old.withColumnRenamed("shard", "old_shard").join(moves, F.col(ROW) == F.col("_moved"))
+    changed = set(rewrite_affected(both.withColumnRenamed("_new", "shard").drop("_moved"), path, 1))
+    filled = [r[0] for r in plan.select("shard").distinct().collect()]
+    if not filled:
+        return with_slots(rows.drop(ROW))
+    now = read_shards(spark, path, {k: int(k in changed) for k in filled}, form)
+    return with_slots(staged(measured(now, F.col("shard")), "resharded"))
 
 
 def write_shards(docs: DataFrame, path: str, version: int) -> None:
@@ -159,7 +185,8 @@ def rewrite_affected(docs: DataFrame, path: str, version: int) -> list[int]:
     return shards
 
 
-def read_shards(spark: SparkSession, path: str, version_of: dict[int, int]) -> DataFrame:
-    """The layout in which shard k is taken from version `version_of[k]`."""
+def read_shards(spark: SparkSession, path: str, version_of: dict[int, int], schema: StructType | None = None) -> DataFrame:
+    """The layout in which shard k is taken from version `version_of[k]`; `schema` spares a look into the files."""
     paths = [f"{path}/version={v}/shard={k}" for k, v in version_of.items()]
-    return spark.read.option("basePath", path).parquet(*paths).drop("version")
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.option("basePath", path).parquet(*paths).drop("version")
