@@ -40,7 +40,3 @@ def make_panel(spark):
         return spark.createDataFrame(rows, PANEL)
 
     return make
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

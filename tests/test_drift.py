@@ -1,5 +1,5 @@
 import pytest
-from conftest import plan_of
+from plans_seen import plan_of
 from pyspark.sql import functions as F
 
 from tidewatch.operators import drift as D

@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import plan_of
+from plans_seen import plan_of
 from pyspark.sql import functions as F
 
 from tidewatch.operators import history as H
