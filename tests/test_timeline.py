@@ -73,22 +73,6 @@ def test_rows_are_reduced_to_times_before_any_shuffle(spark):
     assert "partial_count" in first
 
 
-def test_quantiles_equal_numpy(spark):
-    rng = np.random.default_rng(0)
-    # More values than the sketch keeps, and one key in which a third of the values are the same.
-    spread = rng.normal(size=30_000)
-    tied = np.where(rng.random(3_000) < 0.34, 1.0, rng.random(3_000) * 3)
-    few = np.array([3.0, 1.0])
-    rows = [(k, float(v)) for k, vs in enumerate((spread, tied, few)) for v in vs] + [(0, None), (5, None)]
-    df = spark.createDataFrame(rows, "k int, v double")
-    ps = [0.0, 0.1, 0.5, 0.999, 1.0]
-    got = {(r.k, r.probability): r.quantile for r in H.quantiles(df, ["k"], "v", ps, accuracy=2000).collect()}
-    assert set(k for k, _ in got) == {0, 1, 2}
-    for k, values in enumerate((spread, tied, few)):
-        for p in ps:
-            assert got[k, p] == pytest.approx(float(np.quantile(values, p)), abs=1e-12)
-
-
 def runs(spark, rows):
     schema = "store_id string, product_id string, batch_number int, rmse double, has_concept_drift boolean"
     return spark.createDataFrame(rows, schema).withColumn(

@@ -148,72 +148,3 @@ def histogram(runs: DataFrame, metric: str, lo: float, hi: float, bins: int) ->
         .groupBy("batch_number", F.width_bucket(metric, F.lit(lo), F.lit(hi), F.lit(bins)).alias("bin"))
         .agg(F.count("*").alias("n_models"))
     )
-
-
-def quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    probabilities: Sequence[float],
-    accuracy: int = 10_000,
-) -> DataFrame:
-    """Exact quantiles per key with linear interpolation, as (keys, probability, quantile).
-
-    A plain exact percentile gathers the distinct values of a key in one task. Here a sketch of bounded
-    size brackets each quantile, rows below the bracket are only counted, and the few values inside are
-    put in order. The rank is checked against the bracket, so a sketch that missed would fail, not
-    mislead.
-    """
-    keys, p = list(keys), [float(x) for x in probabilities]
-    if not keys:
-        raise ValueError("quantiles needs at least one key column")
-    margin = 3.0 / accuracy
-    ends = [max(0.0, x - margin) for x in p] + [min(1.0, x + margin) for x in p]
-    known = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
-    each = F.posexplode(F.array(*[F.lit(x) for x in p]))
-    small = F.col("_total") <= accuracy
-    brackets = (
-        known.groupBy(*keys)
-        .agg(
-            F.percentile_approx("_v", ends, accuracy).alias("_s"),
-            F.count("*").alias("_total"),
-            F.min("_v").alias("_min"),
-            F.max("_v").alias("_max"),
-        )
-        .select(*keys, "_total", "_s", "_min", "_max", each.alias("_i", "probability"))
-        .select(
-            *keys,
-            "probability",
-            "_total",
-            # One rank more or less matters in a small key, so there all values lie in the bracket.
-            F.when(small, F.col("_min")).otherwise(F.element_at("_s", F.col("_i") + 1)).alias("_lo"),
-            F.when(small, F.col("_max")).otherwise(F.element_at("_s", F.col("_i") + 1 + len(p))).alias("_hi"),
-        )
-    )
-    # Below the bracket all values become NULL and are counted as one row, which sorts first.
-    group = [*keys, "probability", "_total"]
-    reduced = (
-        known.groupBy(*keys, "_v")
-        .agg(F.count("*").alias("_w"))
-        .join(brackets, keys)
-        .filter(F.col("_v") <= F.col("_hi"))
-        .groupBy(*group, F.when(F.col("_v") >= F.col("_lo"), F.col("_v")).alias("_v"))
-        .agg(F.sum("_w").alias("_w"))
-    )
-    upto = F.sum("_w").over(Window.partitionBy(*group).orderBy(F.col("_v").asc_nulls_first()))
-    position = F.col("probability") * (F.col("_total") - 1)
-    lower, upper = F.floor(position), F.ceil(position)
-    found = (
-        reduced.withColumn("_upto", upto)
-        .groupBy(*group)
-        .agg(
-            F.min(F.when(F.col("_upto") > lower, F.col("_v"))).alias("_a"),
-            F.min(F.when(F.col("_upto") > upper, F.col("_v"))).alias("_b"),
-            F.coalesce(F.max(F.when(F.col("_v").isNull(), F.col("_upto"))), F.lit(0)).alias("_below"),
-            F.max("_upto").alias("_above"),
-        )
-    )
-    bracketed = (F.col("_below") <= lower) & (upper < F.col("_above"))
-    between = F.col("_a") + (position - lower) * (F.col("_b") - F.col("_a"))
-    miss = F.raise_error(F.lit("quantile outside its bracket")).cast("double")
-    return found.select(*keys, "probability", F.when(bracketed, between).otherwise(miss).alias("quantile"))

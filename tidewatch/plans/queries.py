@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.scores import rounded
 from tidewatch.functions.text import parse_metric_line, parse_run_name
-from tidewatch.operators import drift, forecast, history, panel, rollup, scoring, timeline
+from tidewatch.operators import drift, forecast, history, panel, rollup, scoring, selection, timeline
 from tidewatch.plans.monitor import (
     MonitorConfig,
     batched_panel,
@@ -554,7 +554,7 @@ def log_seconds(spark: SparkSession, sf: str) -> DataFrame:
 
 def log_seconds_median(spark: SparkSession, sf: str) -> DataFrame:
     gaps = timeline.seconds_between(read_table(spark, sf, "events"), "ts", ["event_type"])
-    return history.quantiles(gaps, ["event_type"], "seconds", [0.5])
+    return selection.quantiles(gaps, ["event_type"], "seconds", [0.5])
 
 
 def model_seconds(spark: SparkSession, sf: str) -> DataFrame:
@@ -562,17 +562,17 @@ def model_seconds(spark: SparkSession, sf: str) -> DataFrame:
     gaps = timeline.seconds_between(
         chains(spark, sf), "logged_at", ["batch_number"], slice_seconds=86_400
     )
-    return history.quantiles(gaps, ["batch_number"], "seconds", [0.5])
+    return selection.quantiles(gaps, ["batch_number"], "seconds", [0.5])
 
 
 def score_quantiles(spark: SparkSession, sf: str) -> DataFrame:
-    return history.quantiles(chain(spark, sf, 1), ["batch_number"], "rmse", [0.1, 0.5, 0.9])
+    return selection.quantiles(chain(spark, sf, 1), ["batch_number"], "rmse", [0.1, 0.5, 0.9])
 
 
 def price_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     """The same operator on all order lines: few keys, many values."""
     lines = read_table(spark, sf, "lineitem")
-    return history.quantiles(lines, ["l_returnflag"], "l_extendedprice", [0.25, 0.5, 0.75, 0.99])
+    return selection.quantiles(lines, ["l_returnflag"], "l_extendedprice", [0.25, 0.5, 0.75, 0.99])
 
 
 def score_histogram(spark: SparkSession, sf: str) -> DataFrame:

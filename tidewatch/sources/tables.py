@@ -7,11 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.session import shared_dir
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def stage(df: DataFrame, purpose: str) -> DataFrame:
+    """Write `df` below the shared folder and read it back: steps that follow all see the same rows."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def series_code(prefix: str, number: Column) -> Column:
     """P001, S010, S1234 and so on."""
     digits = number.cast("string")
