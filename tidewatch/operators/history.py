@@ -19,7 +19,7 @@ def latest_runs(runs: DataFrame, keys: Sequence[str] = RUN_KEY) -> DataFrame:
     return runs.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn")
 
 
-def close_runs(runs: DataFrame, rollups: DataFrame, slice_seconds: int = 86_400) -> DataFrame:
+def close_runs(runs: DataFrame, rollups: DataFrame) -> DataFrame:
     """Each record with the roll-up that closes it, the next one in time: rollup_id, rollup_logged_at.
 
     A record without a batch takes the batch of its roll-up, and every record takes the execution number of
@@ -29,7 +29,7 @@ def close_runs(runs: DataFrame, rollups: DataFrame, slice_seconds: int = 86_400)
         "logged_at",
         F.struct(F.col("run_id").alias("id"), "batch_number", "execution_number").alias("_rollup"),
     )
-    closed = next_mark(runs, marks, "logged_at", "_rollup", slice_seconds=slice_seconds)
+    closed = next_mark(runs, marks, "logged_at", "_rollup")
     number = F.coalesce(F.col("_rollup.execution_number"), F.col("execution_number"))
     return closed.select(
         *[c for c in runs.columns if c not in ("batch_number", "execution_number")],
