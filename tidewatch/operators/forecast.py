@@ -174,7 +174,7 @@ class _Fitted:
     yhat: np.ndarray
 
 
-def _fit_batches(batch: np.ndarray, t: np.ndarray, y: np.ndarray, train: np.ndarray, spec: AdditiveSpec) -> _Fitted:
+def fit_batches(batch: np.ndarray, t: np.ndarray, y: np.ndarray, train: np.ndarray, spec: AdditiveSpec) -> _Fitted:
     """Fit every batch on its training rows and predict all rows.
 
     Rows are sorted by batch and t, and every batch has a training row. The normal equations of all batches
@@ -240,7 +240,7 @@ def fit_series(marked: DataFrame, spec: AdditiveSpec = AdditiveSpec()) -> DataFr
 
     def fit_all(table: pa.Table) -> pa.Table:
         _, batch, t, y = _arrays(table, "y")
-        got = _fit_batches(batch, t.astype(float), y, np.ones(len(t), dtype=bool), spec)
+        got = fit_batches(batch, t.astype(float), y, np.ones(len(t), dtype=bool), spec)
         many = len(got.numbers)
         return pa.table(
             {
@@ -281,7 +281,7 @@ def fit_predict_additive(marked: DataFrame, spec: AdditiveSpec = AdditiveSpec())
         yhat = np.full(len(t), np.nan)
         fitted = np.isin(batch, batch[train])
         if fitted.any():
-            got = _fit_batches(batch[fitted], t[fitted].astype(float), y[fitted], train[fitted], spec)
+            got = fit_batches(batch[fitted], t[fitted].astype(float), y[fitted], train[fitted], spec)
             yhat[fitted] = got.yhat
         rows = table.select(SCORED).take(order[scored])
         return rows.append_column("yhat", pa.array(yhat[scored], from_pandas=True))

@@ -337,6 +337,33 @@ FROM trend LEFT JOIN weekly USING (store_id, product_id, batch_number) GROUP BY
     sql["additive_trend"] = with_(
         fit, f"SELECT {KEY}, n_train, round(slope, 4) + 0.0 AS slope FROM trend WHERE n_train > 1"
     )
+    sql["running_weekly"] = sql["weekly_fit"]
+    sql["additive_by_days"] = with_(
+        fit,
+        f"""SELECT {KEY}, n_train, t_start, t_span, y_scale, round(slope, 4) + 0.0 AS slope FROM trend JOIN (
+  SELECT {KEY}, min(t) AS t_start, greatest(max(t) - min(t), 1) AS t_span,
+    CASE WHEN max(abs(y)) = 0 THEN 1 ELSE max(abs(y)) END AS y_scale FROM marked WHERE is_train GROUP BY ALL)
+  USING (store_id, product_id, batch_number) WHERE n_train > 1""",
+    )
+    levels = ", ".join(r(f"max(coalesce(level, mean_y)) FILTER (weekday = {d})", f"level_{d}") for d in range(7))
+    sql["additive_weekly"] = with_(
+        fit,
+        f""", within AS (
+  SELECT {KEY}, weekday, t, y, avg(t) OVER w AS t_d, avg(y) OVER w AS y_d FROM marked WHERE is_train
+  WINDOW w AS (PARTITION BY {KEY}, weekday)),
+joint AS (
+  SELECT {KEY}, count(*) AS n_train, avg(y) AS mean_y, avg(t) AS mid, CASE WHEN sum((t - t_d) * (t - t_d)) > 1e-6
+    THEN sum((t - t_d) * (y - y_d)) / sum((t - t_d) * (t - t_d)) ELSE 0 END AS slope FROM within GROUP BY ALL),
+levels AS (
+  SELECT j.*, weekday, y_d - slope * (t_d - mid) AS level
+  FROM joint j CROSS JOIN (SELECT CAST(range AS BIGINT) AS weekday FROM range(7))
+  LEFT JOIN (SELECT DISTINCT {KEY}, weekday, t_d, y_d FROM within) USING (store_id, product_id, batch_number, weekday)),
+errors AS (
+  SELECT {KEY}, sqrt(avg(pow(m.y - (coalesce(level, mean_y) + slope * (m.t - mid)), 2))) AS rmse
+  FROM marked m JOIN levels USING (store_id, product_id, batch_number, weekday) WHERE is_scored GROUP BY ALL)
+SELECT {KEY}, max(n_train) AS n_train, {r('max(slope)', 'slope')}, {levels}, {r('max(rmse)', 'rmse')}
+FROM levels JOIN errors USING (store_id, product_id, batch_number) GROUP BY {KEY}""",
+    )
     angle = "2 * pi() * {k} * date_diff('day', DATE '1970-01-01', day) / 365.25"
     terms = ", ".join(
         r(f"{fn}({angle.format(k=k)})", f"season_{fn}_{k}") for k in (1, 2) for fn in ("sin", "cos")

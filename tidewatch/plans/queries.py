@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.scores import rounded
 from tidewatch.functions.text import parse_metric_line, parse_run_name
-from tidewatch.operators import drift, forecast, history, panel, rollup, scoring, selection, timeline
+from tidewatch.operators import drift, forecast, history, panel, rollup, running, scoring, selection, timeline
 from tidewatch.plans.monitor import (
     MonitorConfig,
     batched_panel,
@@ -25,6 +25,7 @@ from tidewatch.sources.tables import (
     read_batch,
     read_table,
     sales_from_lineitem,
+    stage,
     write_panel,
     write_runs,
 )
@@ -70,9 +71,14 @@ def chains(spark: SparkSession, sf: str) -> DataFrame:
     return chain(spark, sf, 1).unionByName(chain(spark, sf, 2))
 
 
-def chain_rollups(spark: SparkSession, sf: str) -> DataFrame:
-    """One roll-up per batch and chain."""
-    both = [rollup.batch_rollup(chain(spark, sf, n)) for n in (1, 2)]
+def stored_chains(spark: SparkSession, sf: str) -> DataFrame:
+    """The records of both chains, written once: for queries that read them more than once."""
+    return stage(chains(spark, sf), "records")
+
+
+def chain_rollups(records: DataFrame) -> DataFrame:
+    """One roll-up per batch and chain, from stored records."""
+    both = [rollup.batch_rollup(records.filter(F.col("execution_number") == n)) for n in (1, 2)]
     return both[0].unionByName(both[1])
 
 
@@ -123,7 +129,8 @@ def run_names(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def long_records(spark: SparkSession, sf: str) -> DataFrame:
-    models, rollups = chains(spark, sf), chain_rollups(spark, sf)
+    models = stored_chains(spark, sf)
+    rollups = chain_rollups(models)
     return run_tree.model_long(models).unionByName(run_tree.global_long(rollups))
 
 
@@ -168,15 +175,10 @@ def latest_metric_points(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def record_kinds(spark: SparkSession, sf: str) -> DataFrame:
-    models, rollups = run_tree.split_kinds(run_tree.to_wide(long_records(spark, sf)))
-    count = lambda df, kind: df.groupBy("tag_batch_number").agg(
-        F.lit(kind).alias("kind"), F.count("*").alias("n_runs")
-    )
-    return (
-        count(models, "model")
-        .unionByName(count(rollups, "global"))
-        .select(F.col("tag_batch_number").cast("int").alias("batch_number"), "kind", "n_runs")
-    )
+    """Records of each kind per batch, counted over one table of all records."""
+    kinds = run_tree.with_kind(run_tree.to_wide(long_records(spark, sf)))
+    batch = F.col("tag_batch_number").cast("int").alias("batch_number")
+    return kinds.groupBy(batch, "kind").agg(F.count("*").alias("n_runs"))
 
 
 def written_runs(spark: SparkSession, sf: str) -> DataFrame:
@@ -231,12 +233,8 @@ def batch_assignment(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def history_asof(spark: SparkSession, sf: str) -> DataFrame:
-    return panel.history_asof(batched(spark, sf)).groupBy(*RUN_KEY).agg(
-        F.count("*").alias("visible_rows"),
-        F.min("day").alias("first_day"),
-        F.max("day").alias("last_day"),
-        F.sum("y").alias("visible_y"),
-    )
+    """What every batch can see of every series, also in batches in which the series has no rows."""
+    return running.history_totals(batched(spark, sf))
 
 
 def history_profile(spark: SparkSession, sf: str) -> DataFrame:
@@ -293,10 +291,32 @@ def fourier_columns(spark: SparkSession, sf: str) -> DataFrame:
     return forecast.fourier(daily(spark, sf), 365.25, 2)
 
 
+def bounded(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The panel and the bounds of its windows, each written once."""
+    rows = stage(batched(spark, sf), "panel")
+    return rows, stage(running.window_bounds(rows), "bounds")
+
+
 def predicted_days(spark: SparkSession, sf: str) -> DataFrame:
-    rows = marked(spark, sf)
-    days = rows.filter("is_scored").select(*RUN_KEY, "day", "y")
-    return forecast.predict(forecast.fit_weekly(rows), days)
+    rows, bounds = bounded(spark, sf)
+    return forecast.predict(running.fit_weekly_running(rows, bounds), running.scored_rows(rows, bounds))
+
+
+def running_weekly(spark: SparkSession, sf: str) -> DataFrame:
+    """The fit of `weekly_fit` from differences of running sums."""
+    return running.fit_weekly_running(*bounded(spark, sf))
+
+
+def additive_weekly(spark: SparkSession, sf: str) -> DataFrame:
+    """Trend and weekday levels fitted together, with the error on the held out days, from differences of running sums."""
+    return running.fit_additive_weekly(*bounded(spark, sf))
+
+
+def additive_by_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Extent and scale of the grouped fit, and its slope as a plain line, with every day sent to Python once."""
+    models = running.fit_series_by_days(*bounded(spark, sf), LINE_ONLY).filter("n_train > 1")
+    slope = F.element_at("beta", 2) * F.col("y_scale") / F.col("t_span")
+    return models.select(*RUN_KEY, "n_train", "t_start", "t_span", "y_scale", (F.round(slope, 4) + 0.0).alias("slope"))
 
 
 def scoring_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -327,9 +347,8 @@ def additive_trend(spark: SparkSession, sf: str) -> DataFrame:
 
 def additive_predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Scored days predicted in the JVM from the stored coefficients of the grouped fit."""
-    rows = marked(spark, sf)
-    days = rows.filter("is_scored").select(*RUN_KEY, "day", "y")
-    return forecast.predict_additive(forecast.fit_series(rows), days)
+    rows, bounds = bounded(spark, sf)
+    return forecast.predict_additive(running.fit_series_by_days(rows, bounds), running.scored_rows(rows, bounds))
 
 
 def additive_scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -452,7 +471,8 @@ def dimension_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 def rollup_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Stored roll-ups of both chains against the records of the first: those of the second find no members."""
-    return rollup.audit_rollups(chain(spark, sf, 1), chain_rollups(spark, sf))
+    records = stored_chains(spark, sf)
+    return rollup.audit_rollups(records.filter(F.col("execution_number") == 1), chain_rollups(records))
 
 
 # --- history -------------------------------------------------------------------------------------
@@ -466,7 +486,8 @@ def latest_runs(spark: SparkSession, sf: str) -> DataFrame:
 
 def closing_rollups(spark: SparkSession, sf: str) -> DataFrame:
     """Model records of both chains with the roll-up that closes them, found by time only."""
-    models, rollups = chains(spark, sf), chain_rollups(spark, sf)
+    models = stored_chains(spark, sf)
+    rollups = chain_rollups(models)
     bare = models.select("run_id", *SERIES, "logged_at").withColumns(
         {"batch_number": F.lit(None).cast("int"), "execution_number": F.lit(None).cast("int")}
     )
@@ -492,9 +513,9 @@ def next_purchase_of_all(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def compare_chains(spark: SparkSession, sf: str) -> DataFrame:
-    return history.compare_chains(
-        chain(spark, sf, 1), chain(spark, sf, 2), ["rmse", "mae", "data_points"]
-    )
+    records = stored_chains(spark, sf)
+    one, two = (records.filter(F.col("execution_number") == n) for n in (1, 2))
+    return history.compare_chains(one, two, ["rmse", "mae", "data_points"])
 
 
 def score_change(spark: SparkSession, sf: str) -> DataFrame:
@@ -559,9 +580,7 @@ def log_seconds_median(spark: SparkSession, sf: str) -> DataFrame:
 
 def model_seconds(spark: SparkSession, sf: str) -> DataFrame:
     """Seconds between successive log times of the records of a batch."""
-    gaps = timeline.seconds_between(
-        chains(spark, sf), "logged_at", ["batch_number"], slice_seconds=86_400
-    )
+    gaps = timeline.seconds_between(chains(spark, sf), "logged_at", ["batch_number"])
     return selection.quantiles(gaps, ["batch_number"], "seconds", [0.5])
 
 
@@ -661,6 +680,7 @@ QUERIES: list[Query] = [
     daily, dedup_panel, dedup_by_key, doubled_target, batch_assignment, history_asof, history_profile,
     long_window, short_window, rows_not_days, window_profile, gap_list, missing_series, dense_calendar,
     trend_fit, weekly_fit, fourier_columns, predicted_days, scoring_split,
+    running_weekly, additive_weekly, additive_by_days,
     additive_models, additive_trend, additive_predictions, additive_scores,
     model_scores, in_sample_scores, score_audit, implied_variance,
     drift_flags, train_windows, window_sizes, window_recovery, drift_episodes,

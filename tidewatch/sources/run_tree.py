@@ -99,6 +99,12 @@ def split_kinds(wide: DataFrame) -> tuple[DataFrame, DataFrame]:
     return wide.filter(F.col("tag_Type").isNull()), wide.filter(is_global)
 
 
+def with_kind(wide: DataFrame) -> DataFrame:
+    """Records with their kind, for counts over both in one pass; records of another type have none."""
+    kind = F.when(F.col("tag_Type").isNull(), "model").when(F.col("tag_Type") == GLOBAL_TYPE, "global")
+    return wide.withColumn("kind", kind).filter(F.col("kind").isNotNull())
+
+
 def check_identity(wide: DataFrame) -> DataFrame:
     """Runs whose name and tags disagree, or whose name has no known shape; expected to be empty."""
     named = wide.withColumn("_n", parse_run_name(F.col(f"tag_{_plain(NAME_TAG)}")))
