@@ -152,6 +152,7 @@ class AdditiveSpec:
     trend_scale: float = 5.0
     changepoint_scale: float = 0.05
     season_scale: float = 10.0
+    holiday_scale: float = 10.0
 
 
 MODEL_SCHEMA = (
@@ -174,11 +175,13 @@ class _Fitted:
     yhat: np.ndarray
 
 
-def fit_batches(batch: np.ndarray, t: np.ndarray, y: np.ndarray, train: np.ndarray, spec: AdditiveSpec) -> _Fitted:
+def fit_batches(
+    batch: np.ndarray, t: np.ndarray, y: np.ndarray, train: np.ndarray, spec: AdditiveSpec, events: np.ndarray | None = None
+) -> _Fitted:
     """Fit every batch on its training rows and predict all rows.
 
-    Rows are sorted by batch and t, and every batch has a training row. The normal equations of all batches
-    are solved in one call.
+    Rows are sorted by batch and t, and every batch has a training row. `events` has a column of 0 and 1 for each holiday
+    regressor, whose coefficients come last. The normal equations of all batches are solved in one call.
     """
     numbers, of = np.unique(batch, return_inverse=True)
     t_train, of_train = t[train], of[train]
@@ -198,6 +201,8 @@ def fit_batches(batch: np.ndarray, t: np.ndarray, y: np.ndarray, train: np.ndarr
         angle = 2.0 * np.pi * t[:, None] * np.arange(1, order + 1) / period
         waves = np.stack([np.sin(angle), np.cos(angle)], axis=2).reshape(len(t), 2 * order)
         columns.append(waves * (span >= spec.season_periods * period)[of][:, None])
+    if events is not None:
+        columns.append(events)
     x = np.hstack(columns)
 
     x_train = x[train]
@@ -218,6 +223,8 @@ def fit_batches(batch: np.ndarray, t: np.ndarray, y: np.ndarray, train: np.ndarr
     width = np.full(x.shape[1], spec.season_scale)
     width[:2] = spec.trend_scale
     width[2 : 2 + spec.changepoints] = spec.changepoint_scale
+    if events is not None:
+        width[-events.shape[1] :] = spec.holiday_scale
     penalty = np.maximum(noise[:, None] / width**2, 1e-8)
     beta = np.linalg.solve(gram + penalty[:, :, None] * unit, moment)[:, :, 0]
     yhat = (x * beta[of]).sum(axis=1) * scale[of]
@@ -293,9 +300,9 @@ def fit_predict_additive(marked: DataFrame, spec: AdditiveSpec = AdditiveSpec())
 
 
 def predict_additive(
-    model: DataFrame, days: DataFrame, spec: AdditiveSpec = AdditiveSpec(), keys: list[str] = RUN_KEY
+    model: DataFrame, days: DataFrame, spec: AdditiveSpec = AdditiveSpec(), keys: list[str] = RUN_KEY, extra: list[str] | None = None
 ) -> DataFrame:
-    """yhat of the grouped fit, evaluated in the JVM from the stored coefficients."""
+    """yhat of the grouped fit, evaluated in the JVM from the stored coefficients; `extra` columns of the model stay."""
     columns = days.columns
     t = day_number(F.col("day")).cast("double")
     u = (t - F.col("t_start")) / F.col("t_span")
@@ -312,4 +319,4 @@ def predict_additive(
     dot = F.aggregate(
         F.zip_with(terms, F.col("beta"), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v
     )
-    return days.join(model, keys).select(*columns, (dot * F.col("y_scale")).alias("yhat"))
+    return days.join(model, keys).select(*columns, *(extra or []), (dot * F.col("y_scale")).alias("yhat"))

@@ -201,8 +201,9 @@ def fit_series_by_days(panel: DataFrame, bounds: DataFrame, spec: AdditiveSpec =
         return pa.Table.from_arrays(columns, schema=schema)
 
     days = numbered(panel).select(*SERIES, "place", day_number(F.col("day")).alias("t"), F.col("y").cast("double").alias("y"))
-    windows = bounds.select(*RUN_KEY, "train_from", "train_to")
-    return days.groupBy(*SERIES).cogroup(windows.groupBy(*SERIES)).applyInArrow(fit, MODEL_SCHEMA)
+    # Names of their own: the days and the windows may come from one table.
+    windows = bounds.select(*[F.col(k).alias(f"_{k}") for k in SERIES], "batch_number", "train_from", "train_to")
+    return days.groupBy(*SERIES).cogroup(windows.groupBy(*[f"_{k}" for k in SERIES])).applyInArrow(fit, MODEL_SCHEMA)
 
 
 def history_totals(panel: DataFrame, last_batch: Column | None = None) -> DataFrame:

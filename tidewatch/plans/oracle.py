@@ -363,6 +363,29 @@ errors AS (
   FROM marked m JOIN levels USING (store_id, product_id, batch_number, weekday) WHERE is_scored GROUP BY ALL)
 SELECT {KEY}, max(n_train) AS n_train, {r('max(slope)', 'slope')}, {levels}, {r('max(rmse)', 'rmse')}
 FROM levels JOIN errors USING (store_id, product_id, batch_number) GROUP BY {KEY}""",
+    )
+    ends = "SELECT date_trunc('month', day) AS m, min(day) AS opens, max(day) AS closes FROM panel GROUP BY 1"
+    sql["holiday_calendar"] = with_(
+        PANEL,
+        f""", ends AS ({ends}), named AS (
+  SELECT 'opens' AS holiday, opens AS d FROM ends UNION ALL SELECT 'closes', closes FROM ends)
+SELECT DISTINCT CAST(d + CAST(o AS INTEGER) AS DATE) AS day, holiday, CAST(o AS INTEGER) AS "offset" FROM named, range(-2, 2) AS g(o)""",
+    )
+    sql["holiday_effects"] = with_(
+        fit,
+        f""", h AS (
+  SELECT m.*, CASE WHEN c.opens IS NULL THEN 0.0 ELSE 1.0 END AS h,
+    CASE WHEN max(t) OVER w - min(t) OVER w >= 14 THEN weekday ELSE 0 END AS part, count(*) OVER w AS n_train
+  FROM marked m LEFT JOIN ({ends}) c ON c.opens = m.day WHERE is_train
+  WINDOW w AS (PARTITION BY {KEY})),
+c AS (
+  SELECT {KEY}, h, h - avg(h) OVER p AS ch, t - avg(t) OVER p AS ct, y - avg(y) OVER p AS cy FROM h WHERE n_train >= 30
+  WINDOW p AS (PARTITION BY {KEY}, part)),
+s AS (
+  SELECT {KEY}, CAST(sum(h) AS BIGINT) AS days, sum(ch * ch) AS hh, sum(ct * ct) AS tt, sum(ch * ct) AS ht,
+    sum(ch * cy) AS hy, sum(ct * cy) AS ty FROM c GROUP BY ALL)
+SELECT {KEY}, 'opens' AS holiday, days, round((tt * hy - ht * ty) / (tt * hh - ht * ht), 3) + 0.0 AS effect
+FROM s WHERE days >= 3""",
     )
     angle = "2 * pi() * {k} * date_diff('day', DATE '1970-01-01', day) / 365.25"
     terms = ", ".join(

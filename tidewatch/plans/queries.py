@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.scores import rounded
 from tidewatch.functions.text import parse_metric_line, parse_run_name
-from tidewatch.operators import drift, forecast, history, panel, rollup, running, scoring, selection, timeline
+from tidewatch.operators import drift, forecast, history, holidays, panel, rollup, running, scoring, selection, timeline
 from tidewatch.plans.monitor import (
     MonitorConfig,
     batched_panel,
@@ -355,6 +355,33 @@ def additive_scores(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(model_run(batched(spark, sf), DEFAULT, forecast.fit_predict_additive))
 
 
+def month_calendar(rows: DataFrame, before: int = 0, after: int = 0) -> DataFrame:
+    """A calendar from the panel: the first and the last day of each month on which anything was sold."""
+    month = F.date_trunc("month", "day").alias("_month")
+    ends = rows.groupBy(month).agg(F.min("day").alias("opens"), F.max("day").alias("closes"))
+    return ends.unpivot(["_month"], ["opens", "closes"], "holiday", "day").select(
+        "holiday", "day", F.lit(before).alias("before"), F.lit(after).alias("after")
+    )
+
+
+def holiday_calendar(spark: SparkSession, sf: str) -> DataFrame:
+    """Regressors that hold on each day: two days before to one day after the ends of each month."""
+    return holidays.expanded(month_calendar(daily(spark, sf), 2, 1))
+
+
+#: A line, weekdays and holidays without penalty: plain least squares.
+LINE_AND_WEEK = forecast.AdditiveSpec(changepoints=0, yearly_order=0, trend_scale=1e6, season_scale=1e6, holiday_scale=1e6)
+
+
+def holiday_effects(spark: SparkSession, sf: str) -> DataFrame:
+    """What the first day of a month adds to trend and weekday in each window that saw it on three days, to three digits."""
+    rows, bounds = bounded(spark, sf)
+    calendar = month_calendar(rows).filter("holiday = 'opens'")
+    models, names = holidays.fit_with_holidays(rows, bounds, calendar, LINE_AND_WEEK)
+    effects = holidays.holiday_effects(models.filter("n_train >= 30"), names, least_days=3)
+    return effects.select(*RUN_KEY, "holiday", "days", (F.round("effect", 3) + 0.0).alias("effect"))
+
+
 # --- scores --------------------------------------------------------------------------------------
 
 
@@ -680,7 +707,7 @@ QUERIES: list[Query] = [
     daily, dedup_panel, dedup_by_key, doubled_target, batch_assignment, history_asof, history_profile,
     long_window, short_window, rows_not_days, window_profile, gap_list, missing_series, dense_calendar,
     trend_fit, weekly_fit, fourier_columns, predicted_days, scoring_split,
-    running_weekly, additive_weekly, additive_by_days,
+    running_weekly, additive_weekly, additive_by_days, holiday_calendar, holiday_effects,
     additive_models, additive_trend, additive_predictions, additive_scores,
     model_scores, in_sample_scores, score_audit, implied_variance,
     drift_flags, train_windows, window_sizes, window_recovery, drift_episodes,
