@@ -42,17 +42,6 @@ def test_shards_are_even_gapless_and_whole(make_docs, odd_rows):
     assert sharding.shard_documents(make_docs([]), F.lit(0), 4).count() == 0
 
 
-def test_only_affected_shards_are_written(spark, make_docs, tmp_path):
-    docs = make_docs([(k, f"t{k}") for k in range(40)]).select("doc_id", "text", (F.col("doc_id") % 4).cast("int").alias("old_shard"))
-    path = str(tmp_path / "layout")
-    sharding.write_shards(docs.withColumnRenamed("old_shard", "shard"), path, 0)
-    moved = docs.withColumn("shard", F.when(F.col("doc_id") == 1, 2).otherwise(F.col("old_shard")))
-    changed = sharding.rewrite_affected(moved, path, 1)
-    assert changed == [1, 2]
-    now = sharding.read_shards(spark, path, {k: int(k in changed) for k in range(4)})
-    assert {(r.doc_id, r.shard) for r in now.collect()} == {(k, 2 if k == 1 else k % 4) for k in range(40)}
-
-
 def plain_anchors(text):
     """Closed syncmers one by one."""
     code = np.array([ord(c) for c in text], np.uint64)

@@ -1,12 +1,16 @@
 """Resharding by minimum-cost flow: the fewest bytes that bring old shards to new capacities.
 
-The flow runs over shard totals, a few numbers that the driver holds. It is carried out on documents by prefix sums in two
-levels: totals of blocks (shard, size class, hash bucket), then a running sum inside a block. Small documents stand
-first in a shard, so they are the ones that move, and a second round evens out what the size of a document on a
-border left over.
-
-A null text has no bytes and counts as size 1 with checksum 0; a null doc_id is kept; equal rows each get a slot; an
-empty table gives an empty one. The columns that are made here replace columns of the same name.
+The old layout lies in one file set per shard and block; a block is a share of the rows of a shard, about `TARGET` bytes or
+a `LEAST_BLOCKS`-th of the shard if that is less. The flow runs over shard totals, a few numbers that the driver holds, and
+is carried out on blocks: those that lie whole in one transfer change their shard in the manifest of the layout and
+none of their bytes are touched. Only a block that a border between two transfers cuts is rewritten, at most one for each
+transfer; its documents go where their middle lies. What the size of a document on a border left over is evened
+out by a second flow among the documents that are rewritten anyway, the smallest first; only where documents are about as
+large as blocks, further blocks are opened for it.
+
+A null text has no bytes and counts as size 1 with checksum 0; a null doc_id is kept; a null old shard is shard 0; equal
+rows each get a slot; an empty table gives an empty one. The columns that are made here (shard, block, home, _row) replace
+columns of the same name.
 """
 
 from __future__ import annotations
@@ -23,7 +27,17 @@ from tidewatch.session import shared_dir
 #: (from, to, bytes)
 Transfer = tuple[int, int, int]
 
-BLOCK = ["shard", "size_class", "bucket"]
+#: Bytes of text in a block, and blocks of a shard at least: a block is read and written by one task.
+TARGET, LEAST_BLOCKS = 512 << 20, 16
+
+#: The share of the bytes of a shard for which no block is rewritten.
+EVEN = 0.001
+
+#: Where a document lay: its old shard and block. Also what tells blocks of a new shard apart.
+BLOCK = ["home", "block"]
+
+#: Names a row through the layouts; equal rows have a name each.
+ROW = "_row"
 
 
 def fewest_bytes(
@@ -75,118 +89,190 @@ def equal_capacities(total: int, shards: int) -> list[int]:
     return [total // shards + (k < total % shards) for k in range(shards)]
 
 
-def measured(docs: DataFrame, old_shard: Column, *keep: str, buckets: int = 512) -> DataFrame:
-    """(doc_id, size, text_crc32) with the old shard and the block of every document and `keep`, without the text."""
-    text = F.coalesce("text", F.lit(""))
-    size = F.octet_length(text).cast("bigint") + 1
-    slim = docs.select(
-        F.col("doc_id").cast("bigint"),
-        size.alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
-        old_shard.cast("int").alias("shard"),
-        *keep,
-    )
-    return slim.withColumns(
-        {
-            "size_class": F.floor(F.log2(F.col("size").cast("double"))).cast("int"),
-            "bucket": F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(buckets)).cast("int"),
-        }
-    )
+# --- the layout ----------------------------------------------------------------------------------
+
+
+def _size(text: Column) -> Column:
+    return F.octet_length(F.coalesce(text, F.lit(""))).cast("bigint") + 1
+
+
+def write_blocks(docs: DataFrame, old_shard: Column, path: str) -> DataFrame:
+    """Write `docs` as version 0 of the layout at `path`, a file set per (home, block), and read it back."""
+    home = F.coalesce(old_shard.cast("int"), F.lit(0))
+    totals = docs.select(home.alias("home"), _size(F.col("text")).alias("size")).groupBy("home").agg(F.sum("size").alias("size")).collect()
+    blocks = {r["home"]: max(LEAST_BLOCKS, -(-r["size"] // TARGET)) for r in totals}
+    of = F.create_map(*[F.lit(x) for item in (blocks or {0: 1}).items() for x in item])
+    kept = StructType([f for f in docs.schema if f.name not in (*BLOCK, "shard", ROW)])
+    rows = docs.select(*kept.names, home.alias("home"), F.monotonically_increasing_id().alias(ROW))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64(ROW), F.element_at(of, F.col("home"))).cast("int"))
+    _write(rows.repartition(*BLOCK), f"{path}/version=0", BLOCK)
+    return _read(docs.sparkSession, f"{path}/version=0", kept, BLOCK)
+
+
+def _write(rows: DataFrame, path: str, by: list[str]) -> None:
+    rows.write.option("compression", "zstd").partitionBy(*by).parquet(path)
+
+
+def _read(spark: SparkSession, path: str, kept: StructType, by: list[str]) -> DataFrame:
+    """The schema is given: an empty table writes no file that would show it."""
+    form = StructType([*kept, StructField(ROW, LongType()), *[StructField(c, IntegerType()) for c in by]])
+    return spark.read.schema(form).option("basePath", path).parquet(path)
+
+
+def read_layout(spark: SparkSession, path: str, kept: StructType) -> DataFrame:
+    """All documents of the layout with their shard: blocks by the manifest, and what was rewritten."""
+    manifest = spark.read.schema("home int, block int, shard int").parquet(f"{path}/manifest")
+    still = _read(spark, f"{path}/version=0", kept, BLOCK).join(manifest, BLOCK)
+    return still.unionByName(_read(spark, f"{path}/version=1", kept, ["shard", *BLOCK]))
+
+
+def measured(docs: DataFrame, *keep: str) -> DataFrame:
+    """(doc_id, size, text_crc32, home, block, _row) and `keep` of documents as they lie in the layout, without the text."""
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    return docs.select(F.col("doc_id").cast("bigint"), _size(F.col("text")).alias("size"), crc.alias("text_crc32"), *BLOCK, ROW, *keep)
 
 
-def shard_sizes(rows: DataFrame, shards: int) -> list[int]:
+# --- the plan ------------------------------------------------------------------------------------
+
+
+def shard_sizes(rows: DataFrame, by: str, shards: int) -> list[int]:
     """Bytes of each shard: one row per shard comes to the driver."""
-    found = {r[0]: r[1] for r in rows.groupBy("shard").agg(F.sum("size")).collect()}
+    found = {r[0]: r[1] for r in rows.groupBy(by).agg(F.sum("size")).collect()}
     return [found.get(k, 0) for k in range(max([shards, *(k + 1 for k in found)]))]
 
 
-def moved(rows: DataFrame, transfers: Sequence[Transfer]) -> DataFrame:
-    """`rows` with `shard` changed by the transfers: the first bytes of a shard move, the last ones stay.
+def target_at(shard: Column, at: Column, transfers: Sequence[Transfer]) -> Column:
+    """The new shard of the byte at a place of an old shard: its first bytes move, its last ones stay."""
+    target = F.lit(None).cast("int")
+    for i in sorted({t[0] for t in transfers}):
+        low, choice = 0, F.lit(None).cast("int")
+        own = sorted((t for t in transfers if t[0] == i), key=lambda t: t[1] == i)
+        bounds = []
+        for _, j, amount in own:
+            low += amount
+            bounds.append((low, j))
+        for high, j in reversed(bounds):
+            choice = F.when(at < high, F.lit(j)).otherwise(choice)
+        target = F.when(shard == i, choice).otherwise(target)
+    return target
+
+
+def placed_blocks(rows: DataFrame, transfers: Sequence[Transfer]) -> DataFrame:
+    """(home, block, size, start, shard): blocks in order with their first byte; `shard` is null where a border cuts one."""
+    totals = rows.groupBy(*BLOCK).agg(F.sum("size").alias("size"))
+    before = Window.partitionBy("home").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(*BLOCK, "size", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    first = target_at(F.col("home"), F.col("start"), transfers)
+    last = target_at(F.col("home"), F.col("start") + F.col("size") - 1, transfers)
+    return starts.withColumn("shard", F.when(first == last, first))
+
+
+def cut_apart(rows: DataFrame, cut: DataFrame, transfers: Sequence[Transfer]) -> DataFrame:
+    """Documents of the cut blocks with the shard in which the middle of each lies.
+
+    The order in a block is by a hash, so that both sides of a border have small documents to even out with.
+    """
+    inside = Window.partitionBy(*BLOCK).orderBy(F.xxhash64(ROW), ROW).rowsBetween(Window.unboundedPreceding, -1)
+    at = F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0)) + F.floor(F.col("size") / 2)
+    return rows.join(cut.select(*BLOCK, "start"), BLOCK).withColumn("shard", target_at(F.col("home"), at, transfers)).drop("start")
+
+
+def blocks_to_open(whole: DataFrame, pool: DataFrame, small: Sequence[Transfer]) -> DataFrame | None:
+    """Blocks to rewrite after all where the documents of cut blocks are less than twice what has to leave their shard.
 
-    A document belongs to the transfer in which its first byte lies.
+    A document larger than what has to leave does not count, and a share of EVEN may stay uneven. That takes documents about as large as blocks; otherwise
+    there are no such blocks.
     """
-    totals = rows.groupBy(*BLOCK).agg(F.sum("size").alias("block_size"))
-    blocks = Window.partitionBy("shard").orderBy("size_class", "bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(*BLOCK, F.coalesce(F.sum("block_size").over(blocks), F.lit(0)).alias("start"))
-    inside = Window.partitionBy(*BLOCK).orderBy("doc_id", "text_crc32").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(starts, BLOCK)
-    at = F.col("start") + F.col("inside")
-    target = F.col("shard")
-    for shard in sorted({i for i, _, _ in transfers}):
-        low, choice = 0, F.when(F.lit(False), F.lit(0))
-        for _, j, amount in sorted((t for t in transfers if t[0] == shard), key=lambda t: t[1] == shard):
-            choice, low = choice.when(at < low + amount, F.lit(j)), low + amount
-        target = F.when(F.col("shard") == shard, choice).otherwise(target)
-    return placed.withColumn("shard", target.cast("int")).select(*rows.columns)
-
-
-def reshard(rows: DataFrame, capacities: Callable[[int], list[int]], shards: int, rounds: int = 2) -> DataFrame:
-    """Solve and carry out the flow; `rows` is a written table from `measured`, `rounds` evens out the borders."""
-    for _ in range(rounds):
-        held = shard_sizes(rows, shards)
-        plan = fewest_bytes(held, capacities(sum(held)))
-        rows = staged(moved(rows, plan), "shards")
-    return rows
+    out = {i: sum(n for a, j, n in small if a == i and j != i) for i in sorted({t[0] for t in small})}
+    per_shard = lambda amounts: F.try_element_at(
+        F.create_map(*[F.lit(x) for item in amounts.items() for x in item]), F.col("shard")
+    )
+    if not any(out.values()):
+        return None
+    fit = pool.filter(F.col("size") <= per_shard(out)).groupBy("shard").agg(F.sum("size").alias("size")).collect()
+    loose = {r["shard"]: r["size"] for r in fit}
+    held = {i: sum(n for a, _, n in small if a == i) for i in out}
+    need = {i: 2 * n - loose.get(i, 0) for i, n in out.items() if 2 * n > loose.get(i, 0) and n > EVEN * held[i]}
+    if not need:
+        return None
+    before = Window.partitionBy("shard").orderBy(*BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    placed = whole.withColumn("_at", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    return placed.filter(F.col("_at") < per_shard(need)).drop("_at")
+
+
+def evened(pool: DataFrame, transfers: Sequence[Transfer]) -> DataFrame:
+    """`pool` with `shard` changed by small transfers: the smallest documents of a shard go first, by their middles.
+
+    Sums of (shard, size class, home, block) first, then a running sum inside of each.
+    """
+    kinds = ["shard", "size_class", *BLOCK]
+    classed = pool.withColumn("size_class", F.floor(F.log2(F.col("size").cast("double"))).cast("int"))
+    totals = classed.groupBy(*kinds).agg(F.sum("size").alias("total"))
+    before = Window.partitionBy("shard").orderBy(*kinds[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(*kinds, F.coalesce(F.sum("total").over(before), F.lit(0)).alias("start"))
+    inside = Window.partitionBy(*kinds).orderBy("size", ROW).rowsBetween(Window.unboundedPreceding, -1)
+    at = F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0)) + F.floor(F.col("size") / 2)
+    placed = classed.join(starts, kinds).withColumn("_at", at)
+    return placed.withColumn("shard", target_at(F.col("shard"), F.col("_at"), transfers)).select(*pool.columns)
+
+
+# --- carrying it out -----------------------------------------------------------------------------
+
+
+def rewrite_cut(old: DataFrame, pool: DataFrame, cut: list[tuple[int, int]], path: str) -> None:
+    """Write the documents of the cut blocks as version 1, by new shard and the block they come from.
+
+    Only the files of those blocks are read; there are at most as many as transfers.
+    """
+    wanted = F.lit(False)
+    for home in sorted({h for h, _ in cut}):
+        wanted = wanted | ((F.col("home") == home) & F.col("block").isin([b for h, b in cut if h == home]))
+    moves = pool.select(F.col(ROW).alias("_moved"), "shard")
+    rows = old.filter(wanted).join(moves, F.col(ROW) == F.col("_moved")).drop("_moved")
+    _write(rows.repartition("shard", *BLOCK), f"{path}/version=1", ["shard", *BLOCK])
 
 
 def with_slots(rows: DataFrame) -> DataFrame:
     """`slot`: the place of a document in its shard, gapless from 0; counts of blocks first, then places inside."""
-    counts = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    inside = Window.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32")
-    numbered = rows.withColumn("inside", F.row_number().over(inside) - 1).join(starts, ["shard", "bucket"])
+    group = ["shard", *BLOCK]
+    counts = rows.groupBy(*group).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("shard").orderBy(*BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*group, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    inside = Window.partitionBy(*group).orderBy("doc_id", "text_crc32", ROW)
+    numbered = rows.withColumn("inside", F.row_number().over(inside) - 1).join(starts, group)
     return numbered.withColumn("slot", F.col("first") + F.col("inside")).drop("first", "inside")
 
 
-#: Names a row from the old layout to the new one; equal rows have a name each.
-ROW = "_row"
-
-
-def shard_documents(docs: DataFrame, old_shard: Column, shards: int = 16) -> DataFrame:
+def shard_documents(docs: DataFrame, old_shard: Column, shards: int = 16, path: str | None = None) -> DataFrame:
     """All documents in `shards` shards of near equal bytes, with the fewest bytes moved from `old_shard`.
 
-    The old layout is written, the plan is carried out on it, and what is returned is taken from the shards that lie on
-    disk then.
+    The old layout is written at `path`, the plan is carried out on it, and sizes, checksums and slots are those of the
+    files: a block that only changed its shard is measured where it lies, a rewritten document where it lies now.
     """
     spark = docs.sparkSession
-    path = shared_dir(spark, "layout")
-    write_shards(docs.withColumns({"shard": old_shard.cast("int"), ROW: F.monotonically_increasing_id()}), path, 0)
-    kept = StructType([f for f in docs.schema if f.name not in ("shard", "old_shard", ROW)])
-    form = StructType([*kept, StructField(ROW, LongType()), StructField("shard", IntegerType())])
-    # An empty table writes no file of a shard, so there is no layout to read.
-    old = spark.read.schema(form).option("basePath", f"{path}/version=0").parquet(f"{path}/version=0")
-    rows = staged(measured(old, F.col("shard"), ROW), "sizes")
-    plan = reshard(rows, lambda total: equal_capacities(total, shards), shards)
-    moves = plan.select(F.col(ROW).alias("_moved"), F.col("shard").alias("_new"))
-    both = old.withColumnRenamed("shard", "old_shard").join(moves, F.col(ROW) == F.col("_moved"))
-    changed = set(rewrite_affected(both.withColumnRenamed("_new", "shard").drop("_moved"), path, 1))
-    filled = [r[0] for r in plan.select("shard").distinct().collect()]
-    if not filled:
-        return with_slots(rows.drop(ROW))
-    now = read_shards(spark, path, {k: int(k in changed) for k in filled}, form)
-    return with_slots(staged(measured(now, F.col("shard")), "resharded"))
-
-
-def write_shards(docs: DataFrame, path: str, version: int) -> None:
-    """Write the shards of `docs` (column shard) as version `version` of the layout at `path`."""
-    docs.repartition("shard", F.pmod(F.xxhash64("doc_id"), F.lit(64))).write.partitionBy("shard").parquet(f"{path}/version={version}")
-
-
-def rewrite_affected(docs: DataFrame, path: str, version: int) -> list[int]:
-    """Write anew only the shards that gain or lose a row between `old_shard` and `shard`.
-
-    The files of all other shards stay where they are, in the version that wrote them. Returns the shards that changed;
-    there are at most as many as shards.
-    """
-    changed = docs.filter("shard <> old_shard").select(F.explode(F.array("shard", "old_shard")).alias("s")).distinct()
-    shards = sorted(r[0] for r in changed.collect())
-    write_shards(docs.filter(F.col("shard").isin(shards)).drop("old_shard"), path, version)
-    return shards
-
-
-def read_shards(spark: SparkSession, path: str, version_of: dict[int, int], schema: StructType | None = None) -> DataFrame:
-    """The layout in which shard k is taken from version `version_of[k]`; `schema` spares a look into the files."""
-    paths = [f"{path}/version={v}/shard={k}" for k, v in version_of.items()]
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.option("basePath", path).parquet(*paths).drop("version")
+    path = path or shared_dir(spark, "layout")
+    old = write_blocks(docs, old_shard, path)
+    kept = StructType([f for f in old.schema if f.name not in (*BLOCK, ROW)])
+    rows = staged(measured(old), "sizes")
+    held = shard_sizes(rows, "home", shards)
+    capacities = equal_capacities(sum(held), shards)
+    transfers = fewest_bytes(held, capacities)
+    blocks = staged(placed_blocks(rows, transfers), "blocks")
+    whole, cut = blocks.filter("shard is not null"), blocks.filter("shard is null")
+    pool = staged(cut_apart(rows, cut, transfers), "cut")
+    loose = shard_sizes(pool, "shard", shards)
+    still = shard_sizes(whole, "shard", shards)
+    small = fewest_bytes([a + b for a, b in zip(loose, still)], capacities)
+    opened = blocks_to_open(whole, pool, small)
+    if opened is not None:
+        opened = staged(opened, "opened")
+        whole = whole.join(opened.select(*BLOCK), BLOCK, "left_anti")
+        cut = cut.unionByName(opened.withColumn("shard", F.lit(None).cast("int")).select(*cut.columns))
+        pool = staged(pool.unionByName(rows.join(opened.select(*BLOCK, "shard"), BLOCK)), "cut")
+    whole.select(*BLOCK, "shard").write.parquet(f"{path}/manifest")
+    pool = staged(evened(pool, small), "evened")
+    rewrite_cut(old, pool, [tuple(r) for r in cut.select(*BLOCK).collect()], path)
+
+    moved = rows.join(whole.select(*BLOCK, "shard"), BLOCK)
+    rewritten = measured(_read(spark, f"{path}/version=1", kept, ["shard", *BLOCK]), "shard")
+    return with_slots(moved.unionByName(rewritten)).drop("home", "block")
