@@ -5,8 +5,8 @@ the text of any list of ids. A null text is taken as empty, and an empty text ha
 rows and a null doc_id stays null; other columns are left behind, so their names cannot clash; an empty table gives an
 empty one. Texts of any length are encoded whole.
 
-No piece of the vocabulary reaches across a white-space marker, nor across a character that stands in no longer piece
-(digits, line ends, most symbols). So a text falls into chunks that are segmented independently. The documents of a
+No piece of the vocabulary reaches across a white-space marker, between letters that never meet in a piece (of two
+scripts, a letter and a sign), nor across a character that stands in no longer piece (digits, line ends). So a text falls into chunks that are segmented independently. The documents of a
 task are worked through in blocks of `BLOCK` characters: the chunks of a block go into a table of distinct ones, each of
 those is segmented once, and its ids are joined back to the places where it stands. What came before in the same process
 is looked up in a memory of bounded size.
@@ -91,6 +91,17 @@ def merge_long(parts: list[int], rank_of: dict[int, int], union_of: dict[int, in
     return [p for p in parts if p >= 0]
 
 
+def meeting(pieces: Iterable[str]) -> list[set[str]]:
+    """Letters that stand next to each other in some piece, directly or by way of others; the largest kind first."""
+    kind_of: dict[str, set[str]] = {}
+    for a, b in {pair for p in pieces for pair in zip(p.strip(MARK), p.strip(MARK)[1:] or p.strip(MARK))}:
+        own, other = kind_of.setdefault(a, {a}), kind_of.setdefault(b, {b})
+        if own is not other:
+            own |= other
+            kind_of.update(dict.fromkeys(other, own))
+    return sorted({id(k): k for k in kind_of.values()}.values(), key=lambda k: (-len(k), min(k)))
+
+
 class Pieces:
     """Encoder and decoder of one model file of the byte-pair kind."""
 
@@ -135,9 +146,9 @@ class Pieces:
         self.string_of |= {i: model.trainer_spec.unk_surface for i, p in enumerate(model.pieces) if p.type == kind.UNKNOWN}
         if any(MARK in p[1:] and p.strip(MARK) for p in normal):
             raise ValueError("a piece reaches across a white-space marker")
-        inside = sorted(letters - {MARK})
-        # A run of markers with the letters after it; a run of markers alone; any other character by itself.
-        self._chunks = re.compile(f"{MARK}*[{re.escape(''.join(inside))}]+|{MARK}+|.", re.DOTALL)
+        # A run of markers with the letters of one kind after it; a run of markers alone; any other character by itself.
+        kinds = "|".join(f"[{re.escape(''.join(sorted(k)))}]+" for k in meeting(longer))
+        self._chunks = re.compile(f"{MARK}*(?:{kinds})|{MARK}+|." if kinds else f"{MARK}+|.", re.DOTALL)
         self.memory = Bounded(self.segment)
 
     def chunks(self, text: str) -> list[str]:
