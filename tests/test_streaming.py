@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tidewatch.operators.drift import DriftRule, drift_flags
 from tidewatch.operators.rollup import batch_rollup
 from tidewatch.plans.monitor import MonitorConfig, batched_panel, model_run
-from tidewatch.streaming import arrivals, drift_state, events, sinks
+from tidewatch.operators.timeline import idle_groups
+from tidewatch.streaming import arrivals, drift_state, events, sessions, sinks
 
 START = datetime.date(2024, 1, 1)
 CONFIG = MonitorConfig(batch_days=30, origin="2024-01-01", long_rows=60, short_rows=25)
@@ -176,3 +177,37 @@ def test_drift_stream_equals_batch(spark, tmp_path):
     same = F.coalesce(F.abs(F.col("z") - F.col("drift_score")), F.lit(0.0)) < 1e-9
     assert both.filter(same & (F.col("f") == F.col("has_concept_drift"))).count() == 15
     assert got.filter("has_concept_drift").count() >= 1
+
+
+def test_sessions_merge_split_keys_and_keep_open_ones(spark, tmp_path):
+    """Rows in any order and several micro-batches: late rows join two sessions, or begin one earlier."""
+    rng = np.random.default_rng(2)
+    base = datetime.datetime(2025, 3, 1)
+    rows = [(i, None if i % 97 == 0 else i % 5, base + datetime.timedelta(seconds=int(s))) for i, s in enumerate(rng.integers(0, 40_000, 400))]
+    rows += [(1000 + i, 1, base + datetime.timedelta(seconds=777)) for i in range(150)] + [(5000, 1, None)]
+    order = rng.permutation(len(rows))
+    write_files(spark, str(tmp_path), [[rows[i] for i in part] for part in np.array_split(order, 5)], "id int, k int, ts timestamp")
+    stream = events.file_stream(spark, f"{tmp_path}/*", spark.createDataFrame([], "id int, k int, ts timestamp").schema, max_files=1)
+    changes = sessions.open_sessions(stream, ["k"], 300)
+    got = sinks.run_latest(spark, changes, ["k", "started_at"], "sessions").filter("n_runs > 0")
+    want = idle_groups(spark.createDataFrame(rows, "id int, k int, ts timestamp"), "ts", 300, ["k"])
+    key = lambda df: sorted((-1 if r.k is None else r.k, r.started_at, r.ended_at, r.n_runs) for r in df.collect())
+    assert key(got) == key(want) and sum(r.n_runs for r in got.collect()) == 550
+
+
+def test_cut_and_merged_sessions():
+    assert sessions.cut(np.array([], np.int64), 5) == []
+    assert sessions.cut(np.array([20, 1, 6, 14]), 5) == [(1, 6, 2), (14, 14, 1), (20, 20, 1)]
+    assert sessions.merged([(10, 12, 2), (1, 3, 1), (4, 8, 5)], 1) == [(1, 8, 6), (10, 12, 2)]
+    assert sessions.merged([(1, 3, 1), (9, 9, 1), (3, 8, 2)], 1) == [(1, 9, 4)]
+
+
+def test_rows_of_batches_that_come_too_late_are_counted(spark, tmp_path):
+    schema = "store_id string, product_id string, day date, y double, batch_number int"
+    row = lambda b, i: ("S1", "P1", START + datetime.timedelta(days=b * 20 + i), float(i), b)
+    parts = [[row(b, i) for i in range(5)] for b in (1, 9)] + [[row(2, i) for i in range(3)], [row(9, 7), row(1, 8)]]
+    write_files(spark, str(tmp_path), parts, schema)
+    stream = events.file_stream(spark, f"{tmp_path}/*", spark.createDataFrame([], schema).schema, max_files=1)
+    flags = drift_state.drift_stream(stream, DriftRule(reference_batches=2), late_batches=3)
+    got = sinks.run_latest(spark, flags, ["store_id", "product_id", "batch_number"], "late").collect()
+    assert {r.batch_number: r.rows_skipped for r in got} == {1: 0, 9: 4}

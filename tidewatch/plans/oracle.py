@@ -601,9 +601,9 @@ FROM a_model_run WHERE rmse IS NOT NULL GROUP BY 1, 2""",
     sql["stream_daily"] = _event_totals(1, 1)
     sql["stream_sliding"] = _event_totals(7, 1)
     sql["stream_executions"] = with_(
-        _executions("events", "ts", "6 hours", "user_id"),
-        """SELECT user_id, started_at, ended_at, n_runs FROM grouped
-WHERE ended_at + INTERVAL 6 HOUR <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 DAY FROM events)""",
+        _executions("events", "ts", "6 hours", "user_id"), "SELECT user_id, started_at, ended_at, n_runs FROM grouped"
+    )
+    sql["stream_drift"] = with_(
+        f"{batched()}, {flags()}", f"SELECT {KEY}, {rs('drift_score')}, has_concept_drift, CAST(0 AS BIGINT) AS rows_skipped FROM flags"
     )
-    sql["stream_drift"] = sql["drift_flags"]
     return sql

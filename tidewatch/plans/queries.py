@@ -29,7 +29,7 @@ from tidewatch.sources.tables import (
     write_panel,
     write_runs,
 )
-from tidewatch.streaming import arrivals, drift_state, events, sinks
+from tidewatch.streaming import arrivals, drift_state, events, sessions, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -678,27 +678,39 @@ def stream_sliding(spark: SparkSession, sf: str) -> DataFrame:
     return sinks.run_latest(spark, totals, WINDOW, "sliding")
 
 
+def with_state_store(spark: SparkSession, run: Callable[[], DataFrame]) -> DataFrame:
+    """Run a stream with the state store that stateful processors need."""
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, STATE_STORE)
+    try:
+        return run()
+    finally:
+        spark.conf.set(provider, before)
+
+
 def stream_executions(spark: SparkSession, sf: str) -> DataFrame:
-    groups = events.idle_sessions(event_stream(spark, sf), ["user_id"], "6 hours")
-    return sinks.run_available(spark, groups, "executions")
+    """Executions of every user, the open ones too."""
+    changes = sessions.open_sessions(event_stream(spark, sf), ["user_id"], 6 * 3600)
+    newest = with_state_store(spark, lambda: sinks.run_latest(spark, changes, ["user_id", "started_at"], "executions"))
+    return newest.filter("n_runs > 0")
 
 
 def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
-    """Drift of every batch from a stream of the panel in which each batch comes in two parts."""
+    """Drift of every batch from a stream of the panel in which each batch comes in two parts.
+
+    Ten batches at a time come as a first and a second half, so a row is at most ten batches late however long the table.
+    """
     base = shared_dir(spark, "panel")
-    rows = batched(spark, sf)
-    for part in range(3):
+    rows = stage(batched(spark, sf), "batches")
+    last = rows.agg(F.max("batch_number")).first()[0] or 0
+    for part in range(last // 10 + 1):
         for half in (0, 1):
-            own = (F.least(F.floor(F.col("batch_number") / 10), F.lit(2)) == part) & (F.dayofyear("day") % 2 == half)
-            rows.filter(own).coalesce(1).write.parquet(f"{base}/part{part}{half}")
+            own = (F.floor(F.col("batch_number") / 10) == part) & (F.dayofyear("day") % 2 == half)
+            rows.filter(own).coalesce(1).write.parquet(f"{base}/part{part:06}{half}")
     arriving = events.file_stream(spark, f"{base}/*", rows.schema, max_files=1)
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
-    spark.conf.set(provider, STATE_STORE)
-    try:
-        return sinks.run_latest(spark, drift_state.drift_stream(arriving, late_batches=12), RUN_KEY, "drift")
-    finally:
-        spark.conf.set(provider, before)
+    flags = drift_state.drift_stream(arriving, late_batches=10)
+    return with_state_store(spark, lambda: sinks.run_latest(spark, flags, RUN_KEY, "drift"))
 
 
 QUERIES: list[Query] = [
