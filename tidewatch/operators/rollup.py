@@ -87,3 +87,64 @@ def audit_rollups(runs: DataFrame, rollups: DataFrame, tolerance: float = 1e-9)
         F.col("r.modeles_avec_derive").alias("reported_in_drift"),
         F.coalesce(agrees & F.col("r.run_id").isNotNull(), F.lit(False)).alias("agrees"),
     )
+
+
+#: Scores of a record that roll-ups average.
+ROLLED = ("rmse", "mae", "r2")
+
+
+def batch_moments(runs: DataFrame) -> DataFrame:
+    """What a roll-up can be revised from: models, flags and, of each score, its count, mean and squared deviation."""
+    parts = [F.count("*").alias("models"), F.count_if("has_concept_drift").alias("flagged")]
+    for m in ROLLED:
+        parts += [F.count(m).alias(f"n_{m}"), F.avg(m).alias(f"mean_{m}"), (F.var_pop(m) * F.count(m)).alias(f"m2_{m}")]
+    return runs.groupBy("batch_number").agg(*parts)
+
+
+def revise(moments: DataFrame, taken_out: DataFrame, put_in: DataFrame) -> DataFrame:
+    """Moments after some records are taken out and others put in, without reading those that stay.
+
+    Changes are summed as deviations from the mean before, or from that of the new records where there was none, so nothing
+    large cancels. A batch that lost all its records has counts of 0. Both sides of the join have one row per batch, and the
+    changed records are combined before they move.
+    """
+    signed = taken_out.withColumn("_sign", F.lit(-1)).unionByName(put_in.withColumn("_sign", F.lit(1)))
+    fresh = put_in.groupBy("batch_number").agg(*[F.avg(m).alias(f"_f_{m}") for m in ROLLED])
+    known = moments.select("batch_number", *[f"mean_{m}" for m in ROLLED]).join(fresh, "batch_number", "full")
+    centres = known.select("batch_number", *[F.coalesce(f"mean_{m}", f"_f_{m}", F.lit(0.0)).alias(f"_c_{m}") for m in ROLLED])
+    s = F.col("_sign")
+    sums = [F.sum(s).alias("_models"), F.sum(F.when(F.col("has_concept_drift"), s).otherwise(0)).alias("_flagged")]
+    for m in ROLLED:
+        gap = F.col(m) - F.col(f"_c_{m}")
+        sums += [
+            F.max(f"_c_{m}").alias(f"_c_{m}"),
+            F.coalesce(F.sum(F.when(F.col(m).isNotNull(), s)), F.lit(0)).alias(f"_n_{m}"),
+            F.coalesce(F.sum(gap * s), F.lit(0.0)).alias(f"_s_{m}"),
+            F.coalesce(F.sum(gap * gap * s), F.lit(0.0)).alias(f"_q_{m}"),
+        ]
+    changed = signed.join(centres, "batch_number", "left").groupBy("batch_number").agg(*sums)
+    both = moments.join(changed, "batch_number", "full")
+    plus = lambda name: (F.coalesce(name, F.lit(0)) + F.coalesce(f"_{name}", F.lit(0))).alias(name)
+    out = [plus("models"), plus("flagged")]
+    for m in ROLLED:
+        n = F.coalesce(f"n_{m}", F.lit(0)) + F.coalesce(f"_n_{m}", F.lit(0))
+        step = F.coalesce(f"_s_{m}", F.lit(0.0)) / F.nullif(n, F.lit(0))  # of the mean
+        spread = F.coalesce(f"m2_{m}", F.lit(0.0)) + F.coalesce(f"_q_{m}", F.lit(0.0)) - n * step * step
+        out += [
+            plus(f"n_{m}"),
+            F.when(n > 0, F.coalesce(f"mean_{m}", f"_c_{m}") + step).alias(f"mean_{m}"),
+            F.when(n > 0, F.greatest(spread, F.lit(0.0))).alias(f"m2_{m}"),
+        ]
+    return both.select("batch_number", *out)
+
+
+def measures_of(moments: DataFrame) -> DataFrame:
+    """The measures of `batch_rollup` from moments; batches without a record are left out."""
+    std = lambda m: F.sqrt(F.col(f"m2_{m}") / F.nullif(F.col(f"n_{m}"), F.lit(0)))
+    return moments.filter("models > 0").select(
+        "batch_number",
+        *[F.col(f"mean_{m}").alias(f"{m}_global") for m in ROLLED],
+        *[std(m).alias(f"{m}_std") for m in ROLLED],
+        F.col("models").alias("nombre_modeles"),
+        F.col("flagged").alias("modeles_avec_derive"),
+    )

@@ -591,6 +591,45 @@ FROM f WHERE o OR n""",
 FROM a_model_run WHERE rmse IS NOT NULL GROUP BY 1, 2""",
     )
 
+    again = "(product_id = 'P001' OR (product_id = 'P002' AND store_id <= 'S005'))"
+    sql["revised_rollup"] = with_(
+        chains(),
+        f"""SELECT batch_number, {rs(*MEASURE_NAMES)}, nombre_modeles, modeles_avec_derive FROM (
+  SELECT batch_number, {MEASURES} FROM (
+    SELECT * FROM a_model_run WHERE NOT {again} UNION ALL SELECT * FROM b_model_run WHERE {again}) GROUP BY batch_number)""",
+    )
+    sql["doubled_loads"] = f"""
+WITH sent AS (
+  SELECT 'S' || lpad(CAST(l_suppkey % 10 + 1 AS VARCHAR), 3, '0') AS store_id,
+    'P' || lpad(CAST(l_partkey % 5 + 1 AS VARCHAR), 3, '0') AS product_id,
+    CAST(floor(date_diff('day', {STREAM_ORIGIN}, CAST(l_shipdate AS DATE)) / 90) AS INTEGER) + 1 AS batch_number,
+    unnest(CASE WHEN l_linenumber % 2 = 1 THEN [1] ELSE [2, 3] END) AS load,
+    concat_ws('|', l_shipdate, l_quantity, l_linenumber, l_extendedprice) AS row FROM lineitem),
+listed AS (SELECT {KEY}, load, count(*) AS n_rows, string_agg(row, '/' ORDER BY row) AS rows FROM sent GROUP BY ALL)
+SELECT {KEY}, CAST(b.load AS INTEGER) AS load, CAST(min(a.load) AS INTEGER) AS repeats, b.n_rows
+FROM listed a JOIN listed b USING (store_id, product_id, batch_number) WHERE a.load < b.load AND a.rows = b.rows
+GROUP BY {KEY}, b.load, b.n_rows"""
+    sql["distribution_flags"] = with_(
+        batched(),
+        f""", binned AS (
+  SELECT *, CASE WHEN y < 0 THEN 0 WHEN y >= 200 THEN 41 ELSE floor(y / 5.0) + 1 END AS bin FROM batched),
+sides AS (
+  SELECT k.store_id, k.product_id, k.batch_number, b,
+    count(*) FILTER (p.batch_number = k.batch_number) AS n, count(*) FILTER (p.batch_number < k.batch_number) AS m,
+    count(*) FILTER (p.batch_number = k.batch_number AND bin <= b) AS below_n,
+    count(*) FILTER (p.batch_number < k.batch_number AND bin <= b) AS below_m
+  FROM (SELECT DISTINCT {KEY} FROM batched) k CROSS JOIN range(0, 42) AS g(b) JOIN binned p
+    ON p.store_id = k.store_id AND p.product_id = k.product_id AND p.batch_number BETWEEN k.batch_number - 3 AND k.batch_number
+  GROUP BY ALL),
+d AS (
+  SELECT {KEY}, n, m, max(CASE WHEN n >= 2 AND m >= 2 THEN abs(below_n / n - below_m / m) END) AS distance FROM sides GROUP BY ALL)
+SELECT {KEY}, {r('distance', 'distance')},
+  coalesce(distance > 1.358 * sqrt((n + m) / nullif(CAST(n * m AS DOUBLE), 0)), false) AS has_concept_drift FROM d""",
+    )
+    sql["sketched_prices"] = """
+SELECT l_returnflag, CAST(p AS DOUBLE) AS probability, count(*) AS n_rows, true AS within
+FROM lineitem, (SELECT unnest([0.01, 0.25, 0.5, 0.75, 0.99]) AS p) GROUP BY ALL"""
+
     sql["stream_pickup"] = f"SELECT event_id, ts, user_id, event_type, {rs('value')} FROM events"
     sql["stream_monitor"] = with_(
         f"{job(origin=STREAM_ORIGIN)},\n{global_run()}",

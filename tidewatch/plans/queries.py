@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.scores import rounded
 from tidewatch.functions.text import parse_metric_line, parse_run_name
-from tidewatch.operators import drift, forecast, history, holidays, panel, rollup, running, scoring, selection, timeline
+from tidewatch.operators import distributions, drift, forecast, history, holidays, loads, panel, rollup, running, scoring, selection, timeline
 from tidewatch.plans.monitor import (
     MonitorConfig,
     batched_panel,
@@ -223,6 +223,15 @@ def doubled_target(spark: SparkSession, sf: str) -> DataFrame:
     return both.withColumn("ratio", F.col("doubled") / F.nullif(F.col("clean"), F.lit(0.0)))
 
 
+def doubled_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Three loads of order lines, of which the third holds the rows of the second again: named per series and batch."""
+    lines = sales_from_lineitem(read_table(spark, sf, "lineitem"), keep=["l_linenumber", "l_extendedprice"])
+    odd = F.col("l_linenumber") % 2 == 1
+    sent = lines.withColumn("load", F.explode(F.when(odd, F.array(F.lit(1))).otherwise(F.array(F.lit(2), F.lit(3)))))
+    placed = name_series(panel.assign_batch(sent, 90, F.lit(ORIGIN).cast("date")))
+    return loads.repeated_loads(placed, "load", RUN_KEY, ["day", "y", "l_linenumber", "l_extendedprice"])
+
+
 def batch_assignment(spark: SparkSession, sf: str) -> DataFrame:
     return batched(spark, sf).groupBy("batch_number").agg(
         F.count("*").alias("n_rows"),
@@ -411,6 +420,11 @@ def drift_flags(spark: SparkSession, sf: str) -> DataFrame:
     return drift.drift_flags(batched(spark, sf))
 
 
+def distribution_flags(spark: SparkSession, sf: str) -> DataFrame:
+    """Drift of whole distributions: each batch against the merged histograms of the three before."""
+    return distributions.distribution_drift(distributions.batch_histograms(batched(spark, sf), 0.0, 200.0, 40))
+
+
 def train_windows(spark: SparkSession, sf: str) -> DataFrame:
     rows = drift.training_windows(batched(spark, sf))
     return rows.groupBy(*RUN_KEY, "has_concept_drift").agg(
@@ -502,6 +516,15 @@ def rollup_audit(spark: SparkSession, sf: str) -> DataFrame:
     return rollup.audit_rollups(records.filter(F.col("execution_number") == 1), chain_rollups(records))
 
 
+def revised_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Roll-ups of the first chain after 15 series were run again: moments revised by the old and new records of those only."""
+    records = stored_chains(spark, sf)
+    again = (F.col("product_id") == "P001") | ((F.col("product_id") == "P002") & (F.col("store_id") <= "S005"))
+    first, second = (records.filter(F.col("execution_number") == n) for n in (1, 2))
+    moments = stage(rollup.batch_moments(first), "moments")
+    return rollup.measures_of(rollup.revise(moments, first.filter(again), second.filter(again)))
+
+
 # --- history -------------------------------------------------------------------------------------
 
 
@@ -621,6 +644,18 @@ def price_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     return selection.quantiles(lines, ["l_returnflag"], "l_extendedprice", [0.25, 0.5, 0.75, 0.99])
 
 
+def sketched_prices(spark: SparkSession, sf: str) -> DataFrame:
+    """Approximate price quantiles from sketches stored per return flag and year, with whether their rank is within 1 %."""
+    lines = read_table(spark, sf, "lineitem").select("l_returnflag", F.year("l_shipdate").alias("year"), "l_extendedprice")
+    stored = stage(distributions.sketches(lines, ["l_returnflag", "year"], ["l_extendedprice"]), "sketches")
+    found = distributions.sketched_quantiles(stored, ["l_returnflag"], "l_extendedprice", [0.01, 0.25, 0.5, 0.75, 0.99])
+    below = lines.join(found, "l_returnflag").groupBy("l_returnflag", "probability").agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("l_extendedprice") <= F.col("quantile")).alias("_rank")
+    )
+    off = F.abs(F.col("_rank") / F.col("n_rows") - F.col("probability"))
+    return below.select("l_returnflag", "probability", "n_rows", (off <= 0.01 + 1 / F.col("n_rows")).alias("within"))
+
+
 def score_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return history.histogram(chain(spark, sf, 1), "rmse", 0.0, 60.0, 12)
 
@@ -716,19 +751,19 @@ def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: list[Query] = [
     metric_lines, run_names, run_files, identity_check, wide_model_records, wide_global_records,
     latest_metric_points, record_kinds, written_runs, batch_extract,
-    daily, dedup_panel, dedup_by_key, doubled_target, batch_assignment, history_asof, history_profile,
+    daily, dedup_panel, dedup_by_key, doubled_target, doubled_loads, batch_assignment, history_asof, history_profile,
     long_window, short_window, rows_not_days, window_profile, gap_list, missing_series, dense_calendar,
     trend_fit, weekly_fit, fourier_columns, predicted_days, scoring_split,
     running_weekly, additive_weekly, additive_by_days, holiday_calendar, holiday_effects,
     additive_models, additive_trend, additive_predictions, additive_scores,
     model_scores, in_sample_scores, score_audit, implied_variance,
-    drift_flags, train_windows, window_sizes, window_recovery, drift_episodes,
+    drift_flags, distribution_flags, train_windows, window_sizes, window_recovery, drift_episodes,
     batch_rollup, batch_rollup_dedup, partial_batches, sample_std_rollup, dimension_rollup,
-    rollup_audit,
+    rollup_audit, revised_rollup,
     latest_runs, closing_rollups, next_purchase, next_purchase_of_all, compare_chains, score_change,
     worst_series, product_ranking, flag_changes, flag_transitions, coverage, model_executions,
     user_executions, event_executions, log_seconds, log_seconds_median, model_seconds,
-    score_quantiles, price_quantiles, score_histogram,
+    score_quantiles, price_quantiles, sketched_prices, score_histogram,
     stream_pickup, stream_monitor, stream_monitor_dedup, stream_dedup, stream_daily, stream_sliding, stream_executions,
     stream_drift,
 ]
