@@ -96,14 +96,26 @@ def _keyed(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _inside(known: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
-    """Each row once for every bracket of its key that it lies in: (keys, _v, _b). One array per key is joined."""
-    state = F.struct("_rank", "_lo", "_hi", "_below", "_inside")
-    per_key = brackets.groupBy(*keys).agg(F.collect_list(state).alias("_all"))
+    """Each row once for every bracket of its key that it lies in: (keys, _v, _b).
+
+    Ranks that share a bracket, as all do at first, share its rows. One array per key is joined.
+    """
+    per_key = brackets.groupBy(*keys).agg(F.collect_set(F.struct("_lo", "_hi")).alias("_all"))
     v = F.col("_v")
     hit = F.filter("_all", lambda b: (v >= b["_lo"]) & (v <= b["_hi"]))
     return _keyed(known, per_key, keys).select(*keys, "_v", F.explode(hit).alias("_b"))
 
 
+#: What a bracket is told by, beside the keys.
+ENDS = ["_from", "_to"]
+
+
+def _of_ranks(brackets: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """What was found per bracket, for each rank in it."""
+    ranks = brackets.select(*keys, "_rank", F.col("_below").alias("_under"), F.col("_lo").alias("_from"), F.col("_hi").alias("_to"))
+    return _keyed(ranks, found, [*keys, *ENDS])
+
+
 def _step(v: Column, lo: Column, hi: Column, logarithmic: bool) -> Column:
     """Step of a value in the ladder from lo to hi; it never falls as the value grows. `hi` itself has the last one."""
     # Halves keep the difference of two large values finite.
@@ -114,18 +126,24 @@ def _step(v: Column, lo: Column, hi: Column, logarithmic: bool) -> Column:
     return F.when(v == hi, F.lit(STEPS)).otherwise(F.least(F.lit(STEPS - 1), F.floor(step).cast("int")))
 
 
+def _ends() -> list[Column]:
+    return [F.col("_b._lo").alias("_from"), F.col("_b._hi").alias("_to")]
+
+
 def _narrowed(known: DataFrame, brackets: DataFrame, keys: list[str], logarithmic: bool) -> DataFrame:
     """The step of each bracket that holds its rank, as the new bracket."""
     step = _step(F.col("_v"), F.col("_b._lo"), F.col("_b._hi"), logarithmic)
     counted = (
         _inside(known, brackets, keys)
-        .groupBy(*keys, F.col("_b._rank").alias("_rank"), F.col("_b._below").alias("_from"), step.alias("_step"))
+        .groupBy(*keys, *_ends(), step.alias("_step"))
         .agg(F.count("*").alias("_inside"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     )
-    order = Window.partitionBy(*keys, "_rank").orderBy("_step")
-    upto = F.col("_from") + F.sum("_inside").over(order)
+    order = Window.partitionBy(*keys, *ENDS).orderBy("_step")
+    summed = counted.withColumn("_upto", F.sum("_inside").over(order)).drop("_step")
+    below = F.col("_under") + F.col("_upto") - F.col("_inside")
     return (
-        counted.withColumn("_below", upto - F.col("_inside"))
+        _of_ranks(brackets, summed, keys)
+        .withColumn("_below", below)
         .filter((F.col("_below") <= F.col("_rank")) & (F.col("_rank") < F.col("_below") + F.col("_inside")))
         .select(*keys, "_rank", "_lo", "_hi", "_below", "_inside")
     )
@@ -134,11 +152,10 @@ def _narrowed(known: DataFrame, brackets: DataFrame, keys: list[str], logarithmi
 def _selected(known: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, _rank, _value): the value at each rank. Brackets of a single value need no rows."""
     single = brackets.filter(F.col("_lo") == F.col("_hi")).select(*keys, "_rank", F.col("_lo").alias("_value"))
-    several = _inside(known, brackets.filter(F.col("_lo") != F.col("_hi")), keys)
-    place = (F.col("_rank") - F.col("_below") + 1).cast("int")
-    picked = (
-        several.groupBy(*keys, F.col("_b._rank").alias("_rank"), F.col("_b._below").alias("_below"))
-        .agg(F.sort_array(F.collect_list("_v")).alias("_values"))
-        .select(*keys, "_rank", F.element_at("_values", place).alias("_value"))
+    open_ones = brackets.filter(F.col("_lo") != F.col("_hi"))
+    sorted_ones = (
+        _inside(known, open_ones, keys).groupBy(*keys, *_ends()).agg(F.sort_array(F.collect_list("_v")).alias("_values"))
     )
+    place = (F.col("_rank") - F.col("_under") + 1).cast("int")
+    picked = _of_ranks(open_ones, sorted_ones, keys).select(*keys, "_rank", F.element_at("_values", place).alias("_value"))
     return single.unionByName(picked)
