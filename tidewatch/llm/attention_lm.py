@@ -8,8 +8,11 @@ documents hold has an input and an output of its own: the most frequent ones dir
 prediction costs a choice of group and one inside it. Ids that never came share one.
 
 The probability of a token mixes the network with the base: additive smoothing of the token counts, in which all words that
-were never seen are one event. Word and id counts come from all training documents, and so do the weights: every task
-trains on its own windows, the weights are averaged in a tree, and the next round goes on from there.
+were never seen are one event. So the mixture is one over the seen words and that event, of which the network's share is
+the sum over all unseen words; of this sum the score takes the word at hand alone, so it is a lower bound of the event's
+probability and the whole sums to 1 at most. The weight of the base is learned on training documents that were set aside.
+Word and id counts come from all training documents, and the weights from all but those: every task trains on its own
+windows, the weights are averaged in a tree, and the next round goes on from there.
 
 A null text is taken as empty and has its end as the only token. A null doc_id counts as a training document. Equal rows are
 scored each; long words and texts are scored whole; without training tokens all counts are 0 and the
@@ -20,12 +23,11 @@ from __future__ import annotations
 
 import hashlib
 import json
-import math
 import pickle
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -46,13 +48,16 @@ class Shape:
     """`words` and `starts` are (context, new) slots of a window inside a word and over first ids.
 
     `frequent` words are known to every worker, at most `longest` bytes each; rarer ones get their counts by a join.
-    `outputs` classes are predicted directly, the others in groups of `group`. All training documents fit the weights, in
+    `outputs` classes are predicted directly, the others in groups of `group`. Training documents fit the weights, in
     `rounds` parts between which weights are averaged; a worker holds `sample` of them at a time, a task gets about
-    `share` tokens and makes `steps` steps or more, by further passes if it has few windows. `mixed` is the weight of the base.
+    `share` tokens and goes over each part `passes` times, with `batch` windows of texts a step, whatever the size of the table.
+    Rows of the large tables move `row_rate` times as fast as other weights.
+    One training document in `aside` fits no weights: the weight of the base in the mixture is learned on these; `mixed` is
+    its first value.
     """
 
-    outputs: int = 256
-    group: int = 512
+    outputs: int = 128
+    group: int = 128
     width: int = 16
     hidden: int = 32
     words: tuple[int, int] = (8, 8)
@@ -60,10 +65,13 @@ class Shape:
     frequent: int = 131_072
     longest: int = 48
     sample: int = 1200
-    steps: int = 1000
+    batch: int = 256
+    passes: int = 1
+    aside: int = 20
     rounds: int = 4
     share: int = 2_000_000
-    rate: float = 4e-3
+    rate: float = 1.5e-2
+    row_rate: float = 20
     mixed: float = 0.6
     seed: int = 11
 
@@ -128,9 +136,9 @@ class Network:
             yield rows, part, at - part.start, z
 
     def forward(self, kind: str, context: int, ids: np.ndarray, ok: np.ndarray, want: np.ndarray) -> dict:
-        """Outputs of the slots in `want` (windows x new slots); `ok` marks the filled slots of the windows."""
+        """What the outputs of the slots in `want` (windows x new slots) come from; `ok` marks the filled slots of the windows."""
         w, size = self.w, ids.shape[1]
-        x = w["embed"][ids] + w[kind][:size]
+        x = w["embed"][ids] + w[kind][-size:]
         new = np.ascontiguousarray(x[:, context:])
         q, k, v = new @ w["query"], x @ w["key"], x @ w["value"]
         seen = (np.arange(size)[None, :] <= np.arange(context, size)[:, None])[None] & ok[:, None, :]
@@ -142,41 +150,70 @@ class Network:
         h = (new + o @ w["mix"])[want]
         u = np.maximum(h @ w["up"] + w["up0"], 0)
         y = h + u @ w["down"]
-        return {"x": x, "new": new, "q": q, "k": k, "v": v, "a": a, "o": o, "h": h, "u": u, "y": y, "z": y @ w["out"] + w["out0"]}
-
-    def log_probability(self, kind: str, context: int, ids, ok, want, target) -> np.ndarray:
-        """Natural logarithm of the probability of each wanted slot's target."""
-        f = self.forward(kind, context, ids, ok, want)
-        z = f["z"]
-        np.clip(z, -60, 60, out=z)
-        picked = z[np.arange(len(z)), self.heads(target)]
-        out = picked - np.log(np.exp(z, out=z).sum(1))
-        for rows, _, at, logs in self.inside(f["y"], target):
-            out[rows] += logs[np.arange(len(rows)), at]
+        return {"x": x, "new": new, "q": q, "k": k, "v": v, "a": a, "o": o, "h": h, "u": u, "y": y}
+
+    def log_probability(self, kind: str, context: int, ids, ok, want, target, rows: int = 256) -> np.ndarray:
+        """Natural logarithm of the probability of each wanted slot's target; `rows` windows at a time up to the outputs."""
+        return self.target_logs(self.reach(kind, context, ids, ok, want, rows), target)
+
+    def reach(self, kind: str, context: int, ids, ok, want, rows: int = 256) -> np.ndarray:
+        """The last layer below the outputs for every wanted slot; windows without context go through without its slots."""
+        bare = ~ok[:, :context].any(1)
+        owner = np.repeat(bare, want.sum(1))
+        out = np.empty((len(owner), self.w["out"].shape[0]), self.w["out"].dtype)
+        for alone, cut in ((True, context), (False, 0)):
+            at = np.flatnonzero(bare == alone)
+            parts = [at[low : low + rows] for low in range(0, len(at), rows)]
+            if parts:
+                found = [self.forward(kind, context - cut, ids[p, cut:], ok[p, cut:], want[p])["y"] for p in parts]
+                out[owner == alone] = np.concatenate(found)
         return out
 
-    def gradients(self, kind: str, context: int, ids, ok, want, target, weight=None) -> tuple[dict, float]:
-        """Gradients of the mean loss of the targets, or of their mean under `weight`."""
+    def target_logs(self, y: np.ndarray, target: np.ndarray, rows: int = 2048) -> np.ndarray:
+        """Log probability of the targets; the direct outputs in parts that fit a cache, each group once for all rows."""
+        head, out = self.heads(target), np.empty(len(y), y.dtype)
+        for low in range(0, len(y), rows):
+            z = y[low : low + rows] @ self.w["out"] + self.w["out0"]
+            np.clip(z, -60, 60, out=z)
+            picked = z[np.arange(len(z)), head[low : low + rows]]
+            out[low : low + rows] = picked - np.log(np.exp(z, out=z).sum(1))
+        for at_rows, _, at, logs in self.inside(y, target):
+            out[at_rows] += logs[np.arange(len(at_rows)), at]
+        return out
+
+    def gradients(self, kind: str, context: int, ids, ok, want, target, weight=None, whole=None, rows: int = 2048) -> tuple[dict, dict, float]:
+        """Gradients of the mean loss of the targets, or of their mean under `weight`, of which `whole` is the sum: arrays, and rows of the large tables.
+
+        Of inputs and grouped outputs only the rows that the batch holds are computed, as lists of (rows, gradient).
+        """
         w, f = self.w, self.forward(kind, context, ids, ok, want)
         m, scale = len(target), np.float32(w["query"].shape[0] ** -0.5)
-        p = f["z"] - f["z"].max(1, keepdims=True)
-        p = np.exp(p)
-        p /= p.sum(1, keepdims=True)
-        part = np.full(m, 1 / m, p.dtype) if weight is None else (weight / weight.sum()).astype(p.dtype)
-        head = self.heads(target)
-        losses = -np.log(p[np.arange(m), head] + 1e-30)
-        p[np.arange(m), head] -= 1
-        p *= part[:, None]
-        g = {"out": f["y"].T @ p, "out0": p.sum(0), "tail": np.zeros_like(w["tail"])}
-        dy = p @ w["out"].T
-        for rows, place, at, logs in self.inside(f["y"], target):
-            each = np.arange(len(rows))
-            losses[rows] -= logs[each, at]
-            q = np.exp(logs)
-            q[each, at] -= 1
-            q *= part[rows, None]
-            g["tail"][place] = np.concatenate([q.T @ f["y"][rows], q.sum(0)[:, None]], 1)
-            dy[rows] += q @ w["tail"][place, :-1]
+        y = f["y"]
+        part = np.full(m, 1 / m, y.dtype) if weight is None else (weight / (weight.sum() if whole is None else whole)).astype(y.dtype)
+        head, losses, dy = self.heads(target), np.empty(m, y.dtype), np.empty_like(y)
+        g: dict = {"out": np.zeros_like(w["out"]), "out0": np.zeros_like(w["out0"])}
+        sparse: dict = {"tail": []}
+        for low in range(0, m, rows):
+            at = slice(low, low + rows)
+            p = y[at] @ w["out"] + w["out0"]
+            p -= p.max(1, keepdims=True)
+            each, goal = np.arange(len(p)), head[at]
+            picked = p[each, goal]
+            total = np.exp(p, out=p).sum(1)
+            losses[at] = np.log(total) - picked
+            p *= (part[at] / total)[:, None]
+            p[each, goal] -= part[at]
+            g["out"] += y[at].T @ p
+            g["out0"] += p.sum(0)
+            dy[at] = p @ w["out"].T
+        for late, place, at, logs in self.inside(y, target):
+            each = np.arange(len(late))
+            losses[late] -= logs[each, at]
+            q = np.exp(logs, out=logs)
+            q *= part[late, None]
+            q[each, at] -= part[late]
+            sparse["tail"].append((place, np.concatenate([q.T @ y[late], q.sum(0)[:, None]], 1)))
+            dy[late] += q @ w["tail"][place, :-1]
         loss = float((losses * part).sum())
         g["down"] = f["u"].T @ dy
         du = (dy @ w["down"].T) * (f["u"] > 0)
@@ -194,10 +231,11 @@ class Network:
         dx = dk @ w["key"].T + dv @ w["value"].T
         dx[:, context:] += dh + dq @ w["query"].T
         g[kind] = np.zeros_like(w[kind])
-        g[kind][: dx.shape[1]] = dx.sum(0)
-        g["embed"] = np.zeros_like(w["embed"])
-        np.add.at(g["embed"], ids.reshape(-1), flat(dx))
-        return g, loss
+        g[kind][-dx.shape[1] :] = dx.sum(0)
+        order = np.argsort(ids, axis=None, kind="stable")
+        found, first = np.unique(ids.reshape(-1)[order], return_index=True)
+        sparse["embed"] = [(found, np.add.reduceat(flat(dx)[order], first))]
+        return g, sparse, loss
 
 
 def windows(sizes: np.ndarray, ids: np.ndarray, context: int, new: int, empty: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -242,6 +280,7 @@ class Model:
     ends: int
     total: int
     distinct: int
+    mixed: float
 
     OTHER, END, EOW = 0, 1, 2
 
@@ -316,77 +355,97 @@ def id_counts(words: DataFrame, vocabulary: str, size: int) -> tuple[np.ndarray,
     return out[0], out[1]
 
 
-class Adam:
-    """Steps on the weights of a network; of the input and grouped output rows only those move that a step concerns.
+class Steps:
+    """Steps on the weights of a network: Adam for the small arrays, for the large tables a scale per row from its squared gradients.
 
-    `moved` counts the steps of each such row, so that averages give a row the weights of the tasks that met it.
+    Of the input and grouped output rows only those move that a step concerns. `moved` counts the steps of each such row,
+    so that averages give a row the weights of the tasks that met it.
     """
 
     SPARSE = ("embed", "tail")
 
     def __init__(self, network: Network, shape: Shape, rate: float) -> None:
         self.network, self.shape, self.rate, self.step = network, shape, rate, 0
-        self.first = {k: np.zeros_like(v) for k, v in network.w.items()}
-        self.second = {k: np.zeros_like(v) for k, v in network.w.items()}
+        small = {k: v for k, v in network.w.items() if k not in self.SPARSE}
+        self.first = {k: np.zeros_like(v) for k, v in small.items()}
+        self.second = {k: np.zeros_like(v) for k, v in small.items()}
         self.moved = {k: np.zeros(len(network.w[k]), np.float32) for k in self.SPARSE}
+        self.scale = {k: np.zeros(len(network.w[k]), np.float32) for k in self.SPARSE}
 
     def __call__(self, batches: list[tuple]) -> None:
-        """One step on the sum of the mean losses of `batches`, which are (kind, ids, ok, wanted, targets, weights)."""
+        """One step on the sum of the mean losses of both kinds of `batches`, which are (kind, ids, ok, wanted, targets, weights)."""
         total: dict[str, np.ndarray] = {}
+        found, sums = [], Counter()
+        for kind, _, _, wanted, _, weights in batches:
+            sums[kind] += float(wanted.sum(1) @ weights)
         for kind, ids, ok, wanted, targets, weights in batches:
             each = np.broadcast_to(weights[:, None], wanted.shape)[wanted]
-            g, _ = self.network.gradients(kind, getattr(self.shape, kind)[0], ids, ok, wanted, targets[wanted], each)
+            g, sparse, _ = self.network.gradients(kind, ids.shape[1] - wanted.shape[1], ids, ok, wanted, targets[wanted], each, sums[kind])
+            found.append(sparse)
             for name, value in g.items():
                 total[name] = total[name] + value if name in total else value
         self.step += 1
-        rate = self.rate * min(1, self.step / 50)
+        rate = self.rate * min(1, self.step / 10)
         for name, g in total.items():
-            at = slice(None)
-            if name in self.moved:
-                at = np.flatnonzero(g.any(1))
-                self.moved[name][at] += 1
-                g = g[at]
-            first = self.first[name][at] + 0.1 * (g - self.first[name][at])
-            second = self.second[name][at] + 0.01 * (g * g - self.second[name][at])
-            self.first[name][at], self.second[name][at] = first, second
+            first, second = self.first[name], self.second[name]
+            first += 0.1 * (g - first)
+            second += 0.01 * (g * g - second)
             a, b = first / (1 - 0.9**self.step), second / (1 - 0.99**self.step)
-            self.network.w[name][at] -= (rate * a / (np.sqrt(b) + 1e-8)).astype(np.float32)
+            self.network.w[name] -= (rate * a / (np.sqrt(b) + 1e-8)).astype(np.float32)
+        for sparse in found:
+            for name, parts in sparse.items():
+                for rows, g in parts:
+                    self.row_step(name, rows, g, self.shape.row_rate * rate)
+
+    def row_step(self, name: str, rows, g: np.ndarray, rate: float) -> None:
+        scale = self.scale[name][rows] + np.einsum("ij,ij->i", g, g) / g.shape[1]
+        self.scale[name][rows] = scale
+        g *= (rate / np.sqrt(scale + 1e-20))[:, None]
+        self.network.w[name][rows] -= g
+        self.moved[name][rows] += 1
+
+
+def by_context(kind: str, ids, ok, want, goal, weights, context: int) -> list[tuple]:
+    """The windows without context, cut to their new slots, and the others."""
+    bare = ~ok[:, :context].any(1)
+    out = [(kind, ids[bare, context:], ok[bare, context:], *(v[bare] for v in (want, goal, weights)))]
+    return [x for x in [*out, (kind, *(v[~bare] for v in (ids, ok, want, goal, weights)))] if len(x[1])]
 
 
-def train_on(adam: Adam, lines: list[np.ndarray], words: list[np.ndarray], counts: list[int], passes: int, rng: np.random.Generator) -> None:
+def train_on(stepper: Steps, lines: list[np.ndarray], words: list[np.ndarray], counts: list[int], passes: int, rng: np.random.Generator) -> None:
     """`passes` passes over all windows of `lines` (first ids of texts) and of `words`, which count as often as they came."""
-    shape, begin = adam.shape, len(adam.network.w["embed"]) - 1
+    shape, begin = stepper.shape, len(stepper.network.w["embed"]) - 1
     sets = []
     if lines:
         found = sequences([[begin, *x] for x in lines], [[*x, Model.END] for x in lines], shape.starts, begin)
-        sets.append(("starts", *found, np.ones(len(found[0]), np.float32)))
+        sets += by_context("starts", *found, np.ones(len(found[0]), np.float32), shape.starts[0])
     if words:
         found = sequences(words, [[*x[1:], Model.EOW] for x in words], shape.words, begin)
         each = np.repeat(np.array(counts, np.float32), [-(-len(x) // shape.words[1]) for x in words])
-        sets.append(("words", *found, each))
-    sizes = {"starts": 48, "words": 192}
+        sets += by_context("words", *found, each, shape.words[0])
+    sizes = {"starts": shape.batch, "words": 4 * shape.batch}
     for _ in range(passes):
         steps = max(1, *(-(-len(x[1]) // sizes[x[0]]) for x in sets)) if sets else 0
         dealt = [[x, np.array_split(rng.permutation(len(x[1])), steps)] for x in sets]
         for k in range(steps):
             some = [(x[0], *(v[part[k]] for v in x[1:])) for x, part in dealt if len(part[k])]
-            adam(some)
+            stepper(some)
 
 
-def packed(before: dict[str, np.ndarray], adam: Adam) -> np.ndarray:
+def packed(before: dict[str, np.ndarray], stepper: Steps) -> np.ndarray:
     """What the steps changed times their number, and that number; by row where only rows were moved."""
     out = []
     for name, old in before.items():
-        change = adam.network.w[name] - old
-        if name in adam.moved:
-            n = adam.moved[name][:, None]
+        change = stepper.network.w[name] - old
+        if name in stepper.moved:
+            n = stepper.moved[name][:, None]
             out.append(np.concatenate([change * n, n], 1).ravel())
         else:
-            out.append(np.r_[change.ravel() * np.float32(adam.step), np.float32(adam.step)])
+            out.append(np.r_[change.ravel() * np.float32(stepper.step), np.float32(stepper.step)])
     return np.concatenate(out).astype("<f4")
 
 
-def averaged(before: dict[str, np.ndarray], total: np.ndarray, sparse: tuple = Adam.SPARSE) -> dict[str, np.ndarray]:
+def averaged(before: dict[str, np.ndarray], total: np.ndarray, sparse: tuple = Steps.SPARSE) -> dict[str, np.ndarray]:
     """The weights after the mean of the changes in `total`, the sum of `packed` vectors."""
     out, at = {}, 0
     for name, old in before.items():
@@ -431,9 +490,9 @@ def training_rows(docs: DataFrame, words: DataFrame, vocabulary: str, classes: n
     return staged(docs.select("text").mapInArrow(of_texts, TRAINING).unionByName(own).repartition(tasks), "training")
 
 
-def fit(network: Network, rows: DataFrame, shape: Shape, rounds: int, passes: int, slices: int = 16) -> None:
+def fit(network: Network, rows: DataFrame, shape: Shape, slices: int = 16) -> None:
     """Rounds of training in every task on its own rows; the changes are summed in a tree and averaged on the driver."""
-    context = rows.sparkSession.sparkContext
+    context, rounds, passes = rows.sparkSession.sparkContext, shape.rounds, shape.passes
     for round_ in range(rounds):
         sent = context.broadcast(network)
         rate = shape.rate * (1 - round_ / rounds)
@@ -441,7 +500,7 @@ def fit(network: Network, rows: DataFrame, shape: Shape, rounds: int, passes: in
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = pickle.loads(pickle.dumps(sent.value))  # noqa: B023
             task = TaskContext.get().partitionId()
-            adam, rng = Adam(own, shape, rate), np.random.default_rng((shape.seed, round_, task))  # noqa: B023
+            stepper, rng = Steps(own, shape, rate), np.random.default_rng((shape.seed, round_, task))  # noqa: B023
             lines, words, counts, size = [], [], [], 0
             for batch in batches:
                 for line, c in zip(batch.column("line").to_pylist(), batch.column("c").to_pylist(), strict=True):
@@ -453,12 +512,12 @@ def fit(network: Network, rows: DataFrame, shape: Shape, rounds: int, passes: in
                         counts.append(c)
                     size += len(line)
                     if len(lines) >= shape.sample or size >= 250_000:
-                        train_on(adam, lines, words, counts, passes, rng)
+                        train_on(stepper, lines, words, counts, passes, rng)
                         lines, words, counts, size = [], [], [], 0
             if lines or words:
-                train_on(adam, lines, words, counts, passes, rng)
-            if adam.step:
-                parts = [x.tobytes() for x in np.array_split(packed(sent.value.w, adam), slices)]  # noqa: B023
+                train_on(stepper, lines, words, counts, passes, rng)
+            if stepper.step:
+                parts = [x.tobytes() for x in np.array_split(packed(sent.value.w, stepper), slices)]  # noqa: B023
                 columns = [pa.array(range(slices), pa.int32()), pa.array([task % 16] * slices, pa.int32()), pa.array(parts, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["slice", "branch", "sums"])
 
@@ -471,7 +530,7 @@ def fit(network: Network, rows: DataFrame, shape: Shape, rounds: int, passes: in
             columns = [table.column("slice").slice(0, 1), pa.array([branch], pa.int32()), pa.array([total.astype("<f4").tobytes()], pa.binary())]
             return pa.table(columns, names=["slice", "branch", "sums"])
 
-        kept = rows if rounds == 1 else rows.filter(F.col("part") == round_)
+        kept = rows.filter(F.col("part") == round_)
         form = "slice int, branch int, sums binary"
         sums = kept.mapInArrow(run, form).groupBy("slice", "branch").applyInArrow(added, form)
         found = dict(sums.groupBy("slice").applyInArrow(added, form).select("slice", "sums").collect())
@@ -508,19 +567,38 @@ def train(docs: DataFrame, words: DataFrame, vocabulary: str, shape: Shape) -> M
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     counts = {bytes(r[0]): r[1] for r in frequent_words(words, shape).collect()}
     end = words.filter(F.octet_length("word") == 0).first()
-    model = Model(shape, vocabulary, network, classes, first_rest, later_rest, counts, end[1] if end else 0, total, distinct)
+    model = Model(shape, vocabulary, network, classes, first_rest, later_rest, counts, end[1] if end else 0, total, distinct, shape.mixed)
     if total > model.ends:
         seen = np.bincount(classes, first + later, outputs)
         seen[Model.END], seen[Model.EOW] = model.ends, total - model.ends
         network.start_at(seen)
-        tasks = -(-total // shape.share)
-        windows_ = total / shape.starts[1] + model.ends / 2
-        passes = max(1, math.ceil(shape.steps * 48 * tasks / windows_))
-        rows = training_rows(docs, words, vocabulary, classes, shape, tasks)
-        fit(network, rows, shape, shape.rounds if tasks > 1 else 1, passes)
+        aside = F.pmod(F.xxhash64("text"), F.lit(shape.aside)) == 0
+        rows = training_rows(docs.filter(~aside | F.col("text").isNull()), words, vocabulary, classes, shape, -(-total // shape.share))
+        fit(network, rows, shape)
+        model.mixed = learned_weight(docs.filter(aside), words, model)
     return model
 
 
+def learned_weight(docs: DataFrame, words: DataFrame, model: Model, rounds: int = 100) -> float:
+    """The weight of the base under which the mixture gives `docs` the highest probability.
+
+    The counts hold these documents, so one is taken from the count of each token. What the weight depends on is the
+    ratio of both probabilities: a histogram of its logarithm is all that comes to the driver.
+    """
+    floor = model.total + 0.5 * (model.distinct + 1)
+    every = parts(docs, replace(model, counts={}, ends=-1)).filter(F.col("lp").isNotNull())
+    ratio = F.col("lp") - F.log((F.greatest(F.col("c") - 1, F.lit(0)) + 0.5) / floor)
+    level = F.round(F.greatest(F.least(ratio, F.lit(40.0)), F.lit(-40.0)) * 10).cast("int")
+    bins = every.join(words.withColumnRenamed("word", "w"), F.col("word") == F.col("w")).groupBy(level).count().collect()
+    if not bins:
+        return model.mixed
+    ratios, n = np.exp(np.array([b[0] for b in bins]) / 10), np.array([b[1] for b in bins], float)
+    weight = model.mixed
+    for _ in range(rounds):
+        weight = float(np.average(weight / (weight + (1 - weight) * ratios), weights=n))
+    return min(max(weight, 0.01), 0.99)
+
+
 def sequences(inputs: list[list[int]], targets: list[list[int]], sizes: tuple[int, int], empty: int) -> tuple:
     lengths = np.array([len(x) for x in inputs])
     join = lambda lists: np.fromiter((i for x in lists for i in x), np.int64, lengths.sum())
@@ -561,16 +639,15 @@ class Scorer:
         self.inside = np.r_[self.inside, np.add.reduceat(gained, begins) + m.first_rest[flat[begins]]]
         self.count = np.r_[self.count, [m.counts.get(w, -1) for w in words]]
 
-    def logs(self, kind: str, sizes: tuple[int, int], lengths, inputs, targets, rows: int = 256) -> np.ndarray:
+    def logs(self, kind: str, sizes: tuple[int, int], lengths, inputs, targets, rows: int = 16_384) -> np.ndarray:
         """Log probability of every target, window by window in batches of bounded size."""
         context, new = sizes
         ids, ok, want = windows(lengths, inputs, context, new, self.model.begin)
         out, at = np.zeros(len(inputs)), 0
-        rows = max(1, rows * 32 // new)
         for low in range(0, len(ids), rows):
             part = slice(low, low + rows)
             n = int(want[part].sum())
-            out[at : at + n] = self.model.network.log_probability(kind, context, ids[part], ok[part], want[part], targets[at : at + n])
+            out[at : at + n] = self.model.network.log_probability(kind, context, ids[part], ok[part], want[part], targets[at : at + n], 8192 // new)
             at += n
         return out
 
@@ -604,7 +681,7 @@ def parts(docs: DataFrame, model: Model, chunk_words: int = 60_000) -> DataFrame
     The row of a document has a key in place of the word that no word can equal: it starts with a space.
     """
     sent, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
-    mixed, floor = model.shape.mixed, model.total + 0.5 * (model.distinct + 1)
+    mixed, floor = model.mixed, model.total + 0.5 * (model.distinct + 1)
 
     def described(scorer: Scorer, ids: list, rows: list[int], texts: list[list[bytes]]) -> pa.RecordBatch:
         spots, logs, lengths = scorer.score(texts)
@@ -622,7 +699,7 @@ def parts(docs: DataFrame, model: Model, chunk_words: int = 60_000) -> DataFrame
         late = np.flatnonzero(~settled)
         who = owner[late]
         place = late - (ends - lengths)[who]
-        rare = [texts[i][k] for i, k in zip(who.tolist(), place.tolist(), strict=True)]
+        rare = [texts[i][k] if k < len(texts[i]) else END_WORD for i, k in zip(who.tolist(), place.tolist(), strict=True)]
         none, row = [None] * len(rare), np.array(rows, np.int64)
         zeros = np.zeros(len(rare))
         return pa.RecordBatch.from_arrays(
@@ -671,7 +748,7 @@ def score_documents(docs: DataFrame, vocabulary: str, shape: Shape = Shape(), fo
     both = parts(rows, model).join(known, F.col("word") == F.col("w"), "left")
     rare, c = F.col("lp").isNotNull(), F.coalesce("c", F.lit(0)).cast("double")
     share = (c + 0.5) / floor
-    mixed = model.shape.mixed
+    mixed = model.mixed
     base = F.when(rare, F.log10(share)).otherwise(F.col("base"))
     score = F.when(rare, F.log10(share * mixed + F.exp("lp") * (1 - mixed))).otherwise(F.col("score"))
     summed = both.groupBy("row").agg(
