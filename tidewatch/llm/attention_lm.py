@@ -417,11 +417,21 @@ def train_on(stepper: Steps, lines: list[np.ndarray], words: list[np.ndarray], c
     shape, begin = stepper.shape, len(stepper.network.w["embed"]) - 1
     sets = []
     if lines:
-        found = sequences([[begin, *x] for x in lines], [[*x, Model.END] for x in lines], shape.starts, begin)
+        lengths = np.array([len(x) + 1 for x in lines])
+        ends = np.cumsum(lengths)
+        inputs, targets = np.full(ends[-1], begin), np.full(ends[-1], Model.END)
+        rest = np.ones(ends[-1], bool)
+        rest[ends - 1] = False
+        targets[rest] = np.concatenate(lines)
+        inputs[1:][rest[:-1]] = targets[rest]
+        found = sequences(inputs, targets, lengths, shape.starts, begin)
         sets += by_context("starts", *found, np.ones(len(found[0]), np.float32), shape.starts[0])
     if words:
-        found = sequences(words, [[*x[1:], Model.EOW] for x in words], shape.words, begin)
-        each = np.repeat(np.array(counts, np.float32), [-(-len(x) // shape.words[1]) for x in words])
+        lengths, inputs = np.array([len(x) for x in words]), np.concatenate(words)
+        targets = np.r_[inputs[1:], Model.EOW]
+        targets[np.cumsum(lengths) - 1] = Model.EOW
+        found = sequences(inputs, targets, lengths, shape.words, begin)
+        each = np.repeat(np.array(counts, np.float32), -(-lengths // shape.words[1]))
         sets += by_context("words", *found, each, shape.words[0])
     sizes = {"starts": shape.batch, "words": 4 * shape.batch}
     for _ in range(passes):
@@ -599,12 +609,11 @@ def learned_weight(docs: DataFrame, words: DataFrame, model: Model, rounds: int
     return min(max(weight, 0.01), 0.99)
 
 
-def sequences(inputs: list[list[int]], targets: list[list[int]], sizes: tuple[int, int], empty: int) -> tuple:
-    lengths = np.array([len(x) for x in inputs])
-    join = lambda lists: np.fromiter((i for x in lists for i in x), np.int64, lengths.sum())
-    ids, ok, want = windows(lengths, join(inputs), *sizes, empty)
+def sequences(inputs: np.ndarray, targets: np.ndarray, lengths: np.ndarray, sizes: tuple[int, int], empty: int) -> tuple:
+    """Windows over sequences of `lengths` that lie end to end: ids, filled slots, wanted slots, targets of the slots."""
+    ids, ok, want = windows(lengths, inputs, *sizes, empty)
     goal = np.zeros(want.shape, np.int64)
-    goal[want] = join(targets)
+    goal[want] = targets
     return ids, ok, want, goal
 
 
