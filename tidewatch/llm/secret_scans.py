@@ -1,8 +1,11 @@
 """Secrets in texts: candidates by pattern, false findings removed by a random forest.
 
 All of it is DataFrame and SQL functions in the JVM. A candidate is a word with a digit, or with a credential keyword
-and a sign of assignment, or one that follows both within the two words before. The forest sees length, composition, character transitions, dictionary coverage, the
-path and the neighbouring words, and learns from labelled findings.
+and a sign of assignment, or one that follows both within the two words before, or an address with a user's password. A
+word that holds assignments to keywords, issued keys or such a password gives each of these values as a candidate of its own
+(parts of URLs and of JSON), any other word gives one. The forest sees length, composition, character transitions, dictionary coverage, the
+path and the neighbouring words, and learns from labelled findings. Without findings that were looked at it learns the
+shapes in `weak_label`, so it can't know more than their likes.
 
 A null or empty text has no candidates; repeated rows have the same findings each; null paths form one of their own;
 without labelled findings of both kinds every labelled-true or unlabelled candidate is kept as a secret; columns of
@@ -22,7 +25,17 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import hashed_sample, staged
 
 KEYWORD = "passw|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer"
-CANDIDATE = f"(?<!\\S)(?:(?=[^\\s\\d]*+\\d)\\S{{8,}}|(?=\\S{{0,40}}(?i:{KEYWORD}))\\S{{1,60}}[=:]\\S{{6,}})"
+#: What stands between the colon and the @ of an address with a user.
+USER_INFO = "://[^/\\s:@]*:([^/\\s@]{6,})@"
+CANDIDATE = (
+    f"(?<!\\S)(?:(?=[^\\s\\d]*+\\d)\\S{{8,}}|(?=\\S*?(?i:{KEYWORD}))\\S+?[=:]\\S{{6,}}|[\\w+.-]{{1,20}}{USER_INFO})"
+)
+
+#: A keyword at the front of a word or of a part of it, and what is assigned to it: up to a quote or the next assignment.
+PART = (
+    f"(?:^|[\"'`?&;,{{(\\[|#])(?i:[\\w.-]*(?:{KEYWORD})[\\w.-]*)[\"'`]?[=:]+[\"'`]*"
+    "([^\"'`\\s<>{}]{6,}?)(?=[,;&?]+[\"'`]?[\\w.-]+[\"'`]?[=:]|[\"'`\\s<>{}]|[,;.)\\]]*$)"
+)
 
 #: A keyword and a sign of assignment with nothing assigned in the same word.
 ASSIGNING = f"(?i:{KEYWORD})[^\\s=:]*\\s*[=:]+>?[\"'`]?(?:\\s|$)"
@@ -35,6 +48,12 @@ ISSUED = (
     "^(?:AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^sk_live_[A-Za-z0-9]{16,}$|^xox[abprs]-[A-Za-z0-9-]{10,}$"
     "|^AIza[A-Za-z0-9_-]{35}$|^glpat-[A-Za-z0-9_-]{20}$|^eyJ[A-Za-z0-9_-]{8,}\\.eyJ[A-Za-z0-9_-]{8,}\\."
 )
+#: The same inside of a word.
+EMBEDDED = (
+    "(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}"
+    "|AIza[A-Za-z0-9_-]{35}|glpat-[A-Za-z0-9_-]{20}|eyJ[A-Za-z0-9_-]{8,}\\.eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]*)(?![A-Za-z0-9_-])"
+)
+
 #: Shapes that hold digits and are no secrets: addresses, numbers, dates, phones, hosts, versions.
 HARMLESS = (
     "^[0-9]+$|^[0-9]{1,3}(?:\\.[0-9]{1,3}){3}(?::[0-9]+)?$|@|^\\+?[(]?[0-9][0-9()./ -]*$|^https?:|^www\\."
@@ -81,21 +100,27 @@ def candidates(docs: DataFrame, path: Column) -> DataFrame:
     )
     inner = F.regexp_replace("word", "^[^\\p{L}\\p{N}+]+|[^\\p{L}\\p{N}=_-]+$", "")
     named = f"^(?i:[\\w.-]*(?:{KEYWORD})[\\w.-]*)[\"']?[=:]+[\"'`]*(.+)$"
-    value = F.when(inner.rlike(named), F.regexp_extract(inner, named, 1)).otherwise(inner)
-    return found.withColumn("value", F.regexp_replace(value, "^[\"'`]+", "")).filter("value <> ''")
+    whole = F.regexp_replace(F.when(inner.rlike(named), F.regexp_extract(inner, named, 1)).otherwise(inner), "^[\"'`]+", "")
+    parts = F.array_distinct(
+        F.concat(*(F.regexp_extract_all("word", F.lit(p), F.lit(g)) for p, g in ((EMBEDDED, 0), (PART, 1), (USER_INFO, 1))))
+    )
+    # Of a part that holds an issued key only the key counts.
+    own = F.filter(parts, lambda v: ~(v.rlike(EMBEDDED) & ~v.rlike(f"^{EMBEDDED}$")))
+    values = F.when(F.size(own) > 0, own).otherwise(F.array(whole))
+    return found.withColumn("value", F.explode(values)).filter("value <> ''")
 
 
 def dictionary(found: DataFrame, docs: DataFrame, common: int) -> DataFrame:
     """Letter runs of the candidates and their neighbours that stand as words in the corpus at least `common` times.
 
-    Only those runs are counted. They are a written table: Spark broadcasts it if its size is small, else shuffles.
+    Counts are combined in each task before they move, so a frequent word costs no more than a rare one. The runs are a written table: Spark broadcasts it if its size is small, else shuffles.
     """
     text = F.lower(F.concat_ws(" ", "value", "before", "before2", "after"))
     runs = found.select(F.explode(F.regexp_extract_all(text, F.lit("(\\p{L}{3,20})"), 1)).alias("run"))
     wanted = staged(runs.distinct(), "runs")
     words = docs.select(F.explode(F.split(F.lower("text"), "[^\\p{L}\\p{N}]+")).alias("run"))
-    counted = words.filter(F.length("run").between(3, 20)).join(wanted, "run", "left_semi").groupBy("run").count()
-    return staged(counted.filter(F.col("count") >= common).select("run"), "dictionary")
+    counted = words.filter(F.length("run").between(3, 20)).groupBy("run").count().filter(F.col("count") >= common)
+    return staged(counted.join(wanted, "run", "left_semi").select("run"), "dictionary")
 
 
 def covered(found: DataFrame, words: DataFrame) -> DataFrame:
@@ -155,7 +180,7 @@ def described(found: DataFrame) -> DataFrame:
             "transitions": count(edges) / F.greatest(size - 1, F.lit(1.0)),
             "distinct_share": F.size(F.array_distinct(F.split("value", ""))) / size,
             "longest_run": F.coalesce(F.array_max(F.transform(F.regexp_extract_all(value, F.lit("(\\p{L}+)"), 1), F.length)), F.lit(0)).cast("double"),
-            "keyword_inside": flag(F.col("word").rlike(f"(?i)(?:{KEYWORD})[\\w.-]*[\"']?[=:]")),
+            "keyword_inside": flag(F.col("word").rlike(f"(?i)(?:{KEYWORD})[\\w.-]*[\"']?[=:]") | F.col("word").rlike(USER_INFO)),
             "keyword_before": flag(near.rlike(f"(?i)(?:{KEYWORD})")),
             "assigned": flag(F.col("before").rlike("[=:]$") | F.col("word").rlike("[=:]")),
             "quoted": flag(F.col("word").rlike("^[\"'`]|[=:][\"'`]")),
@@ -164,13 +189,14 @@ def described(found: DataFrame) -> DataFrame:
 
 
 def with_path_rates(found: DataFrame) -> DataFrame:
-    """Adds the share of labelled findings of the path that are true, drawn toward the whole by ten findings."""
+    """Adds the share of labelled findings of the path that are true, its own label left out, drawn toward the whole by ten findings."""
     sums = found.groupBy("path").agg(F.sum("label").alias("good"), F.count("label").alias("n"))
     sums = staged(sums, "paths").withColumnRenamed("path", "p")
     whole = sums.agg(F.sum("good") / F.nullif(F.sum("n"), F.lit(0))).first()[0]
     whole = 0.5 if whole is None else whole
-    rate = (F.coalesce("good", F.lit(0.0)) + 10 * whole) / (F.col("n") + 10)
-    return found.join(sums.select("p", rate.alias("path_rate")), F.col("path").eqNullSafe(F.col("p"))).drop("p")
+    good = F.coalesce("good", F.lit(0.0)) - F.coalesce("label", F.lit(0.0))
+    rate = (good + 10 * whole) / (F.col("n") - F.col("label").isNotNull().cast("int") + 10)
+    return found.join(sums, F.col("path").eqNullSafe(F.col("p"))).withColumn("path_rate", rate).drop("p", "good", "n")
 
 
 def quotas(truth: dict[float, int], size: int) -> dict[float, int]:
@@ -191,7 +217,7 @@ def grown_on(known: DataFrame, truth: dict[float, int], size: int) -> DataFrame:
 def scan(docs: DataFrame, path: Column, labelled: DataFrame | None = None, forest: Forest = Forest()) -> DataFrame:
     """All candidates with score and is_secret.
 
-    `labelled` (doc_id, word_no, label 0/1) holds findings that were looked at. Without it, findings of unmistakable shape
+    `labelled` (doc_id, word_no, label 0/1) holds findings that were looked at; a label holds for all values of its word. Without it, findings of unmistakable shape
     serve as labelled ones. A true label of a finding that was looked at, or of an issued format, stands whatever its score.
     """
     found = staged(candidates(docs, path), "candidates")
