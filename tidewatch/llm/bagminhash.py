@@ -7,8 +7,8 @@ multiplicity; a register keeps the earliest point that falls on it. Two document
 probability of their weighted Jaccard similarity. Points are drawn only up to a time that fills all registers, so
 the work per document hardly depends on its length.
 
-Equal texts form a class and are compared once. A null text is taken as empty; a text without a word is like no other, not
-even an equal one; a text of fewer than five words has one shingle of all of them. Null ids and repeated rows
+Equal texts form a class and are compared once. A null text is taken as empty; a text without a word has its class of equal
+texts, but is like no other one; a text of fewer than five words has one shingle of all of them. Null ids and repeated rows
 are kept as rows; extra columns pass through `first_of_groups`; an empty table gives an empty one.
 """
 
@@ -381,18 +381,17 @@ def groups(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
     """
     sketched = staged(sketches(docs, scheme), "sketches")
     found = linked(docs, sketched, scheme)
-    rows = sketched.select("doc_id", "node", "n")
-    classes = rows.groupBy("node").agg(F.min("doc_id").alias("class_id"), F.max("n").alias("n"))
+    rows = sketched.select("doc_id", "node")
+    classes = rows.groupBy("node").agg(F.min("doc_id").alias("class_id"))
     placed = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     firsts = placed.groupBy("component").agg(F.min(F.struct(F.col("class_id").isNull(), "class_id", "node")).alias("first"))
     known = placed.join(firsts, "component").select("node", "class_id", F.col("first.class_id").alias("group_id"), F.col("first.node").alias("group_node"))
-    alone = F.col("n") == 0
     both = rows.join(staged(known, "groups"), "node")
     return both.select(
         "doc_id",
-        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(alone, F.col("doc_id")).otherwise(F.col("group_id")).alias("group_id"),
-        (alone | (F.col("node") == F.col("group_node")) & F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("kept"),
+        "class_id",
+        "group_id",
+        ((F.col("node") == F.col("group_node")) & F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("kept"),
         "node",
     )
 
