@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators.drift import DriftRule, drift_flags
 from tidewatch.operators.rollup import batch_rollup
+from tidewatch.plans import queries
 from tidewatch.plans.monitor import MonitorConfig, batched_panel, model_run
 from tidewatch.operators.timeline import idle_groups
 from tidewatch.streaming import arrivals, drift_state, events, sessions, sinks
@@ -76,6 +77,26 @@ def test_monitor_stream_equals_batch(spark, tmp_path, cuts):
     assert pick(totals) == pick(rollup)
 
 
+def test_lines_sent_twice_are_written_by_as_many_tasks_as_read_them(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(4)
+    form = "l_orderkey bigint, l_linenumber int, l_suppkey bigint, l_partkey bigint, l_shipdate timestamp, l_quantity double, l_extendedprice double"
+    day = lambda i: datetime.datetime(1997, 10, 1) + datetime.timedelta(days=i // 4)
+    rows = [(i // 3, i % 3, 1, 1, day(i), float(rng.integers(1, 50)), float(i)) for i in range(800)]
+    for part in range(5):
+        spark.createDataFrame(rows[part::5], form).coalesce(1).write.mode("append").parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(queries, "shared_dir", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        got = queries.stream_monitor_dedup(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(list(tmp_path.glob("lines/part-*.parquet"))) >= 3 * 5
+    assert len(list(tmp_path.glob("replay/history/arrival=*"))) == 3
+    want = queries.batch_rollup_dedup(spark, str(tmp_path)).collect()
+    pick = lambda found: sorted((r.batch_number, r.nombre_modeles, round(r.rmse_global, 9)) for r in found)
+    assert pick(got) == pick(want) and len(got) > 1
+
+
 def test_repeated_arrival_changes_nothing(spark, tmp_path):
     parts = [sales_rows(range(0, 60)), sales_rows(range(60, 120), 1)]
     out = arrivals.Outputs.below(str(tmp_path))
