@@ -3,6 +3,7 @@
 import datetime
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -216,6 +217,53 @@ def test_sessions_merge_split_keys_and_keep_open_ones(spark, tmp_path):
     assert key(got) == key(want) and sum(r.n_runs for r in got.collect()) == 550
 
 
+def test_sessions_of_a_key_are_read_and_written_once():
+    """Three keys in one bucket, twenty sessions each; a key without rows isn't touched, and a timer forgets what is closed."""
+
+    class Held(dict):
+        calls = 0
+
+        def getValue(self, key):
+            self.calls += 1
+            return self.get(key)
+
+        def updateValue(self, key, value):
+            self.calls += 1
+            self[key] = value
+
+        def removeKey(self, key):
+            del self[key]
+
+        def iterator(self):
+            return iter(self.items())
+
+    class Handle:
+        def __init__(self):
+            self.held, self.timers = Held(), []
+            self.registerTimer = self.timers.append
+
+        def getMapState(self, *form):
+            return self.held
+
+    class At:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = lambda: ms
+
+    handle, processor = Handle(), sessions.OpenSessions(1_000, ["session_key", "first", "last", "n_runs"])
+    processor.init(handle)
+    rows = pd.DataFrame({"session_key": list("abc") * 20, "event_micros": np.repeat(np.arange(20) * 10_000 + 5_000_000, 3)})
+    (out,) = processor.handleInputRows((7,), iter([rows[:31], rows[31:]]), At(0))
+    assert len(out) == 60 and set(out.n_runs) == {1} and handle.held.calls == 6
+    late = pd.DataFrame({"session_key": ["b"], "event_micros": [5_000_900]})
+    (out,) = processor.handleInputRows((7,), iter([late]), At(0))
+    assert out.values.tolist() == [["b", 5_000_000, 5_000_900, 2]] and handle.held.calls == 8
+    assert max(handle.timers) == 5_000_000 // 1000 + 192
+    next(processor.handleExpiredTimer((7,), At(5_190), None))
+    assert [len(blob) for (blob,) in handle.held.values()] == [24] * 3
+    next(processor.handleExpiredTimer((7,), At(5_192), None))
+    assert not handle.held
+
+
 def test_cut_and_merged_sessions():
     assert sessions.cut(np.array([], np.int64), 5) == []
     assert sessions.cut(np.array([20, 1, 6, 14]), 5) == [(1, 6, 2), (14, 14, 1), (20, 20, 1)]
