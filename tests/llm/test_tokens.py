@@ -36,6 +36,14 @@ def test_ids_and_counts_equal_the_library(library, own, text):
     assert counter.count(text) == len(library[1].encode(text, add_special_tokens=False).ids)
 
 
+def test_letters_that_only_newer_tables_hold(library, own):
+    """U+3D000 is a letter of Unicode 18 and a symbol for the library; U+A7CB and U+10D50 have small letters since Unicode 16."""
+    assert bpe.pieces_of(own[0]._pieces, "aâ\U0003d000b \U000323b0 \ua7ce") == ["aâ", "\U0003d000", "b", " \U000323b0", " \ua7ce"]
+    for text in ("Â\U0003d000", "x\ua7cby", "\ua7dc", "\U00010d50\U00010d70", "é\U00016ea0", "Â\U000323b0a Â\U0003fc3f1"):
+        assert np.frombuffer(own[0].encode(text), "<u4").tolist() == library[0].encode(text, add_special_tokens=False).ids
+        assert own[2].count(text) == len(library[1].encode(text, add_special_tokens=False).ids)
+
+
 def test_special_strings_and_long_words(library, own):
     for text in ("a<|endoftext|>b <|endoftext|>", "<|startoftext|>X<|endoftext|><|STARTOFTEXT|>", "ab" * 4000, "a   b\n  c"):
         assert np.frombuffer(own[0].encode(text), "<u4").tolist() == library[0].encode(text, add_special_tokens=False).ids

@@ -24,6 +24,18 @@ from tidewatch.llm.common import Bounded, per_process, read_local
 # Fixed value: the pre-tokenization pattern of the public byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# Fixed value: letters and numbers of Unicode 17 and 18, which the engine of the tokenizers library takes for symbols.
+NEWER = re.compile(
+    "[\u0558\u058b\u058c\u088f\u0c5c\u0cdc\u208f\u209d-\u209f\ua7ce\ua7cf\ua7d2\ua7d4\ua7dd\ua7e2\ua7f1\uab6c\uab6d"
+    "\U000107bb-\U000107bf\U00010940-\U00010959\U00010ec5-\U00010ec7\U00010ed9-\U00010eee\U00011b0a\U00011db0-\U00011ddb"
+    "\U00011de0-\U00011de9\U00011df1\U0001246f\U00012475-\U0001247f\U00012550-\U00012686\U00016ea0-\U00016eb8"
+    "\U00016ebb-\U00016ed3\U00016ff2-\U00016ff6\U000187f8-\U000187ff\U00018cd6-\U00018cda\U00018d09-\U00018d20"
+    "\U00018d80-\U00018df2\U00018e00-\U00019191\U000191a0-\U000191d2\U0001b123-\U0001b128\U0001b168\U0001d6a6"
+    "\U0001df1f-\U0001df24\U0001df2b-\U0001df81\U0001df90-\U0001df96\U0001dfcd-\U0001dfff\U0001e6c0-\U0001e6de"
+    "\U0001e6e0-\U0001e6e2\U0001e6e4\U0001e6e5\U0001e6e7-\U0001e6ed\U0001e6f0-\U0001e6f4\U0001e6fe\U0001e6ff"
+    "\U0002b73a-\U0002b73f\U0002b81e\U0002cea2-\U0002cead\U000323b0-\U00033479\U0003d000-\U0003fc3f]"
+)
+
 #: Above every id, so that a pair of ids is one number.
 WIDTH = 1 << 20
 
@@ -79,6 +91,14 @@ def merge(symbols: Sequence[int], ranks: dict[int, int], products: Sequence[int]
     return [x for x in item if x >= 0]
 
 
+def pieces_of(pattern: regex.Pattern, text: str) -> list[str]:
+    """What `pattern` finds in a text, by the letters and numbers that the library knows."""
+    if text.isascii() or not NEWER.search(text):
+        return pattern.findall(text)
+    known = NEWER.sub("\U0010ffff", text)  # neither letter nor number in any version
+    return [text[m.start() : m.end()] for m in pattern.finditer(known)]
+
+
 class Codec:
     """Encoder and decoder of one vocabulary file; ids travel as little-endian unsigned 32-bit bytes."""
 
@@ -103,7 +123,7 @@ class Codec:
         return pack(f"<{len(ids)}I", *ids)
 
     def _ids_of(self, text: str) -> bytes:
-        return b"".join(map(self._piece.__getitem__, self._pieces.findall(text)))
+        return b"".join(map(self._piece.__getitem__, pieces_of(self._pieces, text)))
 
     def _plain(self, text: str) -> bytes:
         """A text without special strings.

@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.bpe import WIDTH, byte_letters
+from tidewatch.llm.bpe import WIDTH, byte_letters, pieces_of
 from tidewatch.llm.common import Bounded, per_process, read_local
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"
@@ -26,6 +26,11 @@ SCHEMA = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"
 #: Characters at which str.split cuts although the vocabulary's pattern takes them for symbols.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
+#: Capitals of Unicode 16 and 17, whose small letters the library knows and str.lower may not.
+_SMALL = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7DC: 0x19B} | {c: c + 1 for c in (0xA7CC, 0xA7CE, 0xA7D2, 0xA7D4, 0xA7DA)}
+_SMALL |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
+_CAPITALS = re.compile("[" + "".join(map(chr, _SMALL)) + "]")
+
 
 def count_merges(symbols: list[int], ranks: dict[int, int], products: list[int]) -> int:
     """How many merges a word allows: the lowest-ranked adjacent pair, leftmost first, until none is left."""
@@ -81,13 +86,15 @@ class Counter:
         return n - count_merges(symbols, self.ranks, self.products) if n > 1 else n
 
     def _of_text(self, text: str) -> int:
-        return sum(map(self._piece.__getitem__, self._pieces.findall(text)))
+        return sum(map(self._piece.__getitem__, pieces_of(self._pieces, text)))
 
     def _plain(self, text: str) -> int:
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
         # Letter by letter as the library does: a capital sigma never becomes a final one.
         text = text.replace("Σ", "σ").lower()
+        if not text.isascii() and _CAPITALS.search(text):
+            text = text.translate(_SMALL)
         if _SEPARATORS.search(text):
             return self._of_text(text)
         return sum(map(self._word.__getitem__, text.split()))
