@@ -345,8 +345,7 @@ def linked(docs: DataFrame, sketched: DataFrame, scheme: Scheme = Scheme()) -> D
     left = staged(keyed.join(shared, "key", "left_semi"), "buckets").withColumn("component", F.col("node"))
     wanted = left.select("node").distinct().join(classes.select("node", "first"), "node")
     known = bags(docs, wanted, scheme)
-    tested = links = None
-    found = None
+    tested = found = None
     for round_ in range(scheme.stars + 1):
         # Each bucket has a star of its own, so a text meets as many different ones as it has bands.
         rank = F.struct(F.xxhash64("node", "key", F.lit(round_)).alias("r"), "node", "component")
@@ -364,7 +363,11 @@ def linked(docs: DataFrame, sketched: DataFrame, scheme: Scheme = Scheme()) -> D
             tested = pairs if tested is None else tested.unionByName(pairs)
         else:
             new = blocks(apart.drop("star").join(classes.select("node", "signature"), "node").join(known, "node"), scheme)
-        links = new if links is None else links.unionByName(new)
+        if not new.take(1):
+            left = apart.drop("star")
+            continue
+        # The components so far are stars, which stand for all links before.
+        links = new if found is None else new.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
         found = components(links, "near")
         left = apart.drop("star", "component").join(found, "node", "left")
         left = left.withColumn("component", F.coalesce("component", "node"))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -82,33 +83,60 @@ class Bounded(dict):
         return value
 
 
+def forest(batches: Iterator[pa.RecordBatch], limit: int = 200_000) -> Iterator[pa.RecordBatch]:
+    """The edges (a, b) of a task as (node, smallest node that they reach from it), for about `limit` edges at a time.
+
+    What the last `a` reached is carried on, so the edges of one `a` that come in order of `b` all get its smallest.
+    """
+    parent: dict = {}
+
+    def root(node):
+        while (above := parent[node]) != node:
+            parent[node] = parent[above]
+            node = parent[node]
+        return node
+
+    def out(schema: pa.Schema) -> pa.RecordBatch:
+        found = [(node, least) for node in parent if (least := root(node)) != node]
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], schema.field(k).type) for k in (0, 1)], ["a", "b"])
+
+    held, schema, a = 0, None, None
+    for batch in batches:
+        schema = batch.schema
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            parent.setdefault(a, a)
+            parent.setdefault(b, b)
+            p, q = root(a), root(b)
+            parent[max(p, q)] = min(p, q)
+        held += batch.num_rows
+        if held >= limit:
+            yield out(schema)
+            least = root(a)
+            parent.clear()
+            parent[a] = parent[least] = least
+            held = 0
+    if held:
+        yield out(schema)
+
+
 def components(edges: DataFrame, purpose: str = "components", rounds: int = 60) -> DataFrame:
     """(node, component) of an undirected graph given as (a, b): the smallest node that can be reached.
 
-    Alternates large-star and small-star steps, each a grouped minimum that is combined before the
-    shuffle, until no edge changes. Every node ends as a leaf of its smallest member, so a component of
-    any size is spread over as many rows as it has nodes and never gathered in one group. Rounds grow with the
-    logarithm of the component size; nodes without edges don't appear.
+    A round brings the neighbours of each node together and hangs them on the smallest one, until every node hangs on its
+    smallest member and on nothing else. Tasks join whatever their own edges connect and hold a bounded number of them, so a
+    component is spread over as many rows as it has nodes. Rounds grow with the logarithm of the longest way in a
+    component; nodes without edges don't appear.
     """
-    now = staged(
-        edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-        purpose,
-    )
+    pair = edges.select("a", "b")
+    form = pair.schema
+    now = staged(pair.filter("a != b").mapInArrow(forest, form), purpose)
     for _ in range(rounds):
+        ends = now.select(F.col("a").alias("node"), "b").unionByName(now.select(F.col("b").alias("node"), F.lit(None).cast(form["b"].dataType).alias("b")))
+        known = ends.groupBy("node").agg(F.min("b").alias("lo"), F.max("b").alias("hi"), F.bool_or(F.col("b").isNull()).alias("top"))
+        if not known.filter("lo != hi or (lo is not null and top)").take(1):
+            return known.select("node", F.coalesce("lo", "node").alias("component"))
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        # Larger neighbours of a node go to the smallest member of its neighbourhood.
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.filter("a != b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        # A node and its smaller neighbours go to the smallest of them.
-        small = large.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
-        after = staged(small.filter("a != b").distinct(), purpose)
-        moved = after.exceptAll(now).limit(1).count() + now.exceptAll(after).limit(1).count()
-        now = after
-        if not moved:
-            roots = now.select(F.col("b").alias("node"), F.col("b").alias("component"))
-            return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots.distinct())
+        now = staged(both.repartition("a").sortWithinPartitions("a", "b").mapInArrow(forest, form), purpose)
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
