@@ -24,23 +24,28 @@ from __future__ import annotations
 import hashlib
 import json
 import pickle
+import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.bpe import byte_letters
 from tidewatch.llm.common import Bounded, per_process, read_local, staged
 from tidewatch.llm.packing import Encoder
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: The key of the end of a text among the words; no word is empty.
 END_WORD = b""
+WHITE = re.compile(r"\s")
 
 
 @dataclass(frozen=True)
@@ -81,9 +86,75 @@ def tokens_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "replace").translate(LOWER).split()
 
 
+def word_pieces(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, pa.Array, np.ndarray]]:
+    """Consecutive rows with about `size` bytes of text (one row at least), their `tokens_of` end to end, and the number of each row."""
+    for batch in batches:
+        texts = batch.column("text")
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64) + 1)
+        low = 0
+        while low < len(texts):
+            before = ends[low - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(ends, before + size, "right")))
+            split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.slice(low, high - low), "")))
+            words = split.flatten()
+            some = pc.greater(pc.binary_length(words), 0)
+            borders = np.r_[0, np.cumsum(some.to_numpy(zero_copy_only=False))][split.offsets.to_numpy()]
+            yield batch.slice(low, high - low), words.filter(some).cast(pa.binary()), np.diff(borders)
+            low = high
+
+
+def indexed(words: pa.Array) -> tuple[list[bytes], np.ndarray]:
+    """The distinct words, and for each word its place among them."""
+    found = words.dictionary_encode()
+    return found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy()
+
+
+def binary_rows(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Per row the bytes of as many unsigned 32-bit numbers as `lengths` says, which lie end to end in `values`."""
+    borders = np.r_[0, np.cumsum(lengths) * 4].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(borders), pa.py_buffer(values.astype("<u4"))])
+
+
+def numbers_of(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of `binary_rows` end to end, and how many each row has."""
+    lengths = pc.binary_length(rows).to_numpy().astype(np.int64) // 4
+    borders = np.frombuffer(rows.buffers()[1], np.int32)[rows.offset : rows.offset + len(rows) + 1] if len(rows) else np.zeros(1, np.int32)
+    data = rows.buffers()[2]
+    held = np.frombuffer(data, np.uint8)[borders[0] : borders[-1]] if data is not None else np.zeros(0, np.uint8)
+    return held.view("<u4").astype(np.int64), lengths
+
+
+def inserted(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths with an end each, and which places of the rows end to end are no end."""
+    longer = lengths + 1
+    rest = np.ones(int(longer.sum()), bool)
+    rest[np.cumsum(longer) - 1] = False
+    return longer, rest
+
+
 # --- network -------------------------------------------------------------------------------------
 
 
+#: Logits within this are raised to powers as they are.
+LIMIT = 60
+
+
+def flat(t: np.ndarray) -> np.ndarray:
+    return t.reshape(-1, t.shape[-1])
+
+
+def powers(z: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of the logits `z`, which they overwrite, and the logits at `at`; by row less the largest if some are large."""
+    if max(z.max(initial=0), -z.min(initial=0)) > LIMIT:
+        z -= z.max(1, keepdims=True)
+    picked = z[np.arange(len(z)), at]
+    return np.exp(z, out=z), picked
+
+
+def totals(z: np.ndarray) -> np.ndarray:
+    return z @ np.ones(z.shape[1], z.dtype)
+
+
 class Network:
     """One layer of causal self-attention and one of rectified units, in float32.
 
@@ -120,47 +191,69 @@ class Network:
         """The direct output of each target, or that of its group."""
         return np.where(target < self.direct, target, self.direct + (target - self.direct) // self.group)
 
-    def inside(self, y: np.ndarray, target: np.ndarray) -> Iterator[tuple[np.ndarray, slice, np.ndarray, np.ndarray]]:
-        """Per group that `target` has: rows, place in the tail, place of the target in the group, log probabilities."""
+    def inside(self, y: np.ndarray, target: np.ndarray) -> Iterator[tuple[np.ndarray, slice, np.ndarray, np.ndarray, np.ndarray]]:
+        """Per group that `target` has: rows, place in the tail, place of the target in the group, powers of all its outputs, logs of the target."""
         late = np.flatnonzero(target >= self.direct)
         place = target[late] - self.direct
-        order = np.argsort(place, kind="stable")
+        order = np.argsort((place // self.group).astype(np.uint32 if len(self.w["tail"]) >> 16 else np.uint16), kind="stable")
         late, place = late[order], place[order]
-        groups, first = np.unique(place // self.group, return_index=True)
-        for g, rows, at in zip(groups.tolist(), np.split(late, first[1:]), np.split(place, first[1:]), strict=bool(len(groups))):
+        groups = place // self.group
+        borders = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(late)] if len(late) else [0]
+        of_late = y[late]
+        for low, high in zip(borders, borders[1:], strict=False):
+            g = int(groups[low])
             part = slice(g * self.group, (g + 1) * self.group)
-            tail = self.w["tail"][part]
-            z = y[rows] @ tail[:, :-1].T + tail[:, -1]
-            z -= z.max(1, keepdims=True)
-            z -= np.log(np.exp(z).sum(1, keepdims=True))
-            yield rows, part, at - part.start, z
+            at = place[low:high] - part.start
+            z, picked = powers(of_late[low:high] @ self.w["tail"][part].T, at)
+            yield late[low:high], part, at, z, picked
 
     def forward(self, kind: str, context: int, ids: np.ndarray, ok: np.ndarray, want: np.ndarray) -> dict:
-        """What the outputs of the slots in `want` (windows x new slots) come from; `ok` marks the filled slots of the windows."""
-        w, size = self.w, ids.shape[1]
-        x = w["embed"][ids] + w[kind][-size:]
+        """What the outputs of the slots in `want` (windows x new slots) come from; `ok` marks the filled slots of the windows.
+
+        Queries and keys meet in one matrix, as do values and `mix`, so the slots themselves serve as keys and values; a column of
+        ones gives the sums of the weights, and the bias of the outputs.
+        """
+        w, (n, size) = self.w, ids.shape
+        d, kept = len(w["query"]), w["query"].dtype
+        x1 = np.ones((n, size, d + 1), kept)
+        x = x1[..., :d]
+        np.add(w["embed"].take(ids, 0), w[kind][-size:], out=x)
         new = np.ascontiguousarray(x[:, context:])
-        q, k, v = new @ w["query"], x @ w["key"], x @ w["value"]
-        seen = (np.arange(size)[None, :] <= np.arange(context, size)[:, None])[None] & ok[:, None, :]
-        s = np.where(seen, (q @ k.transpose(0, 2, 1)) * np.float32(w["query"].shape[0] ** -0.5), np.float32(-1e9))
-        s -= s.max(2, keepdims=True)
-        a = np.exp(s)
-        a /= a.sum(2, keepdims=True)
-        o = a @ v
-        h = (new + o @ w["mix"])[want]
+        q = (flat(new) @ self.meeting()).reshape(new.shape)
+        e = q @ x.transpose(0, 2, 1)
+        seen = np.arange(size)[None, :] <= np.arange(context, size)[:, None]
+        whole = ok.all()
+        if max(e.max(initial=0), -e.min(initial=0)) > LIMIT:
+            e[~(seen & ok[:, None, :])] = -1e9
+            e -= e.max(2, keepdims=True)
+        np.exp(e, out=e)
+        e *= seen.astype(kept)
+        if not whole:
+            e *= ok[:, None, :].astype(kept)
+        c = e @ x1
+        at = np.flatnonzero(want)
+        c = flat(c)[at]
+        # Slots that see nothing are not wanted.
+        r = 1 / c[:, d:]
+        c = c[:, :d] * r
+        h = flat(new)[at] + c @ (w["value"] @ w["mix"])
         u = np.maximum(h @ w["up"] + w["up0"], 0)
-        y = h + u @ w["down"]
-        return {"x": x, "new": new, "q": q, "k": k, "v": v, "a": a, "o": o, "h": h, "u": u, "y": y}
+        y = np.ones((len(at), d + 1), kept)
+        np.add(h, u @ w["down"], out=y[:, :d])
+        return {"x1": x1, "new": new, "q": q, "e": e, "at": at, "r": r, "c": c, "h": h, "u": u, "y": y}
+
+    def meeting(self) -> np.ndarray:
+        return self.w["query"] @ self.w["key"].T * self.w["query"].dtype.type(len(self.w["query"]) ** -0.5)
 
-    def log_probability(self, kind: str, context: int, ids, ok, want, target, rows: int = 256) -> np.ndarray:
+    def log_probability(self, kind: str, context: int, ids, ok, want, target, rows: int = 64) -> np.ndarray:
         """Natural logarithm of the probability of each wanted slot's target; `rows` windows at a time up to the outputs."""
         return self.target_logs(self.reach(kind, context, ids, ok, want, rows), target)
 
-    def reach(self, kind: str, context: int, ids, ok, want, rows: int = 256) -> np.ndarray:
-        """The last layer below the outputs for every wanted slot; windows without context go through without its slots."""
+    def reach(self, kind: str, context: int, ids, ok, want, rows: int = 64) -> np.ndarray:
+        """The last layer below the outputs for every wanted slot, and a column of ones; windows without context go through without its slots."""
         bare = ~ok[:, :context].any(1)
         owner = np.repeat(bare, want.sum(1))
-        out = np.empty((len(owner), self.w["out"].shape[0]), self.w["out"].dtype)
+        out = np.empty((len(owner), len(self.w["out"]) + 1), self.w["out"].dtype)
         for alone, cut in ((True, context), (False, 0)):
             at = np.flatnonzero(bare == alone)
             parts = [at[low : low + rows] for low in range(0, len(at), rows)]
@@ -169,73 +262,95 @@ class Network:
                 out[owner == alone] = np.concatenate(found)
         return out
 
-    def target_logs(self, y: np.ndarray, target: np.ndarray, rows: int = 2048) -> np.ndarray:
+    def direct_outputs(self) -> np.ndarray:
+        return np.concatenate([self.w["out"], self.w["out0"][None]])
+
+    def target_logs(self, y: np.ndarray, target: np.ndarray, rows: int = 1024) -> np.ndarray:
         """Log probability of the targets; the direct outputs in parts that fit a cache, each group once for all rows."""
-        head, out = self.heads(target), np.empty(len(y), y.dtype)
+        head, out, weights = self.heads(target), np.empty(len(y), y.dtype), self.direct_outputs()
         for low in range(0, len(y), rows):
-            z = y[low : low + rows] @ self.w["out"] + self.w["out0"]
-            np.clip(z, -60, 60, out=z)
-            picked = z[np.arange(len(z)), head[low : low + rows]]
-            out[low : low + rows] = picked - np.log(np.exp(z, out=z).sum(1))
-        for at_rows, _, at, logs in self.inside(y, target):
-            out[at_rows] += logs[np.arange(len(at_rows)), at]
+            z, picked = powers(y[low : low + rows] @ weights, head[low : low + rows])
+            out[low : low + rows] = picked - np.log(totals(z))
+        for at, _, _, z, picked in self.inside(y, target):
+            out[at] += picked - np.log(totals(z))
         return out
 
-    def gradients(self, kind: str, context: int, ids, ok, want, target, weight=None, whole=None, rows: int = 2048) -> tuple[dict, dict, float]:
+    def gradients(
+        self, kind: str, context: int, ids, ok, want, target, weight=None, whole=None, rows: int = 1024, some: int = 2048
+    ) -> tuple[dict, dict, float]:
         """Gradients of the mean loss of the targets, or of their mean under `weight`, of which `whole` is the sum: arrays, and rows of the large tables.
 
-        Of inputs and grouped outputs only the rows that the batch holds are computed, as lists of (rows, gradient).
+        Of inputs and grouped outputs only the rows that the batch holds are computed, as lists of (rows, gradient). Up to the
+        outputs about `some` slots go through at a time, so that they stay in a cache.
         """
-        w, f = self.w, self.forward(kind, context, ids, ok, want)
-        m, scale = len(target), np.float32(w["query"].shape[0] ** -0.5)
-        y = f["y"]
+        w, size = self.w, ids.shape[1]
+        step = max(1, some // (size - context))
+        blocks = [slice(low, low + step) for low in range(0, len(ids), step)]
+        found = [self.forward(kind, context, ids[b], ok[b], want[b]) for b in blocks]
+        m, d, scale = len(target), len(w["query"]), w["query"].dtype.type(len(w["query"]) ** -0.5)
+        y = np.concatenate([f["y"] for f in found])
         part = np.full(m, 1 / m, y.dtype) if weight is None else (weight / (weight.sum() if whole is None else whole)).astype(y.dtype)
-        head, losses, dy = self.heads(target), np.empty(m, y.dtype), np.empty_like(y)
-        g: dict = {"out": np.zeros_like(w["out"]), "out0": np.zeros_like(w["out0"])}
+        head, losses, dy = self.heads(target), np.empty(m, y.dtype), np.empty((m, d), y.dtype)
+        weights = self.direct_outputs()
+        out = np.zeros_like(weights)
+        back = np.ascontiguousarray(w["out"].T)
         sparse: dict = {"tail": []}
         for low in range(0, m, rows):
             at = slice(low, low + rows)
-            p = y[at] @ w["out"] + w["out0"]
-            p -= p.max(1, keepdims=True)
-            each, goal = np.arange(len(p)), head[at]
-            picked = p[each, goal]
-            total = np.exp(p, out=p).sum(1)
+            p, picked = powers(y[at] @ weights, head[at])
+            total = totals(p)
             losses[at] = np.log(total) - picked
             p *= (part[at] / total)[:, None]
-            p[each, goal] -= part[at]
-            g["out"] += y[at].T @ p
-            g["out0"] += p.sum(0)
-            dy[at] = p @ w["out"].T
-        for late, place, at, logs in self.inside(y, target):
-            each = np.arange(len(late))
-            losses[late] -= logs[each, at]
-            q = np.exp(logs, out=logs)
-            q *= part[late, None]
-            q[each, at] -= part[late]
-            sparse["tail"].append((place, np.concatenate([q.T @ y[late], q.sum(0)[:, None]], 1)))
+            p[np.arange(len(p)), head[at]] -= part[at]
+            out += y[at].T @ p
+            dy[at] = p @ back
+        for late, place, at, q, picked in self.inside(y, target):
+            total, own = totals(q), part[late]
+            losses[late] -= picked - np.log(total)
+            q *= (own / total)[:, None]
+            q[np.arange(len(late)), at] -= own
+            sparse["tail"].append((place, q.T @ y[late]))
             dy[late] += q @ w["tail"][place, :-1]
-        loss = float((losses * part).sum())
-        g["down"] = f["u"].T @ dy
-        du = (dy @ w["down"].T) * (f["u"] > 0)
-        g["up"], g["up0"] = f["h"].T @ du, du.sum(0)
-        dh = np.zeros_like(f["new"])
-        dh[want] = dy + du @ w["up"].T
-        flat = lambda t: t.reshape(-1, t.shape[-1])
-        g["mix"] = flat(f["o"]).T @ flat(dh)
-        do = dh @ w["mix"].T
-        da = do @ f["v"].transpose(0, 2, 1)
-        dv = f["a"].transpose(0, 2, 1) @ do
-        ds = f["a"] * (da - (da * f["a"]).sum(2, keepdims=True)) * scale
-        dq, dk = ds @ f["k"], ds.transpose(0, 2, 1) @ f["q"]
-        g["query"], g["key"], g["value"] = flat(f["new"]).T @ flat(dq), flat(f["x"]).T @ flat(dk), flat(f["x"]).T @ flat(dv)
-        dx = dk @ w["key"].T + dv @ w["value"].T
-        dx[:, context:] += dh + dq @ w["query"].T
+        g: dict = {"out": out[:-1], "out0": out[-1]}
+        to, on = self.meeting(), w["value"] @ w["mix"]
+        sums = {"down": 0, "up": 0, "up0": 0, "on": 0, "to": 0, kind: 0}
+        inputs, low = [], 0
+        for f in found:
+            own, low = dy[low : low + len(f["at"])], low + len(f["at"])
+            sums["down"] += f["u"].T @ own
+            du = (own @ w["down"].T) * (f["u"] > 0)
+            sums["up"] += f["h"].T @ du
+            sums["up0"] += du.sum(0)
+            dh = own + du @ w["up"].T
+            sums["on"] += f["c"].T @ dh
+            dc = (dh @ on.T) * f["r"]
+            new, x = f["new"], f["x1"][..., :d]
+            d1 = np.zeros((new.shape[0] * new.shape[1], d + 1), y.dtype)
+            d1[f["at"], :d], d1[f["at"], d] = dc, -np.einsum("ij,ij->i", dc, f["c"])
+            d1 = d1.reshape(*new.shape[:2], d + 1)
+            ds = d1 @ f["x1"].transpose(0, 2, 1)
+            ds *= f["e"]
+            dq = flat(ds @ x)
+            sums["to"] += flat(new).T @ dq
+            dx = ds.transpose(0, 2, 1) @ f["q"]
+            dx += f["e"].transpose(0, 2, 1) @ d1[..., :d]
+            more = dq @ to.T
+            more[f["at"]] += dh
+            dx[:, context:] += more.reshape(new.shape)
+            sums[kind] += dx.sum(0)
+            inputs.append(flat(dx))
+        g |= {k: sums[k] for k in ("down", "up", "up0")}
+        g["query"], g["key"] = sums["to"] @ w["key"] * scale, sums["to"].T @ w["query"] * scale
+        g["value"], g["mix"] = sums["on"] @ w["mix"].T, w["value"].T @ sums["on"]
         g[kind] = np.zeros_like(w[kind])
-        g[kind][-dx.shape[1] :] = dx.sum(0)
+        g[kind][-size:] = sums[kind]
+        if len(w["embed"]) <= 1 << 16:
+            ids = ids.astype(np.uint16)
         order = np.argsort(ids, axis=None, kind="stable")
-        found, first = np.unique(ids.reshape(-1)[order], return_index=True)
-        sparse["embed"] = [(found, np.add.reduceat(flat(dx)[order], first))]
-        return g, sparse, loss
+        ids = ids.reshape(-1)[order]
+        first = np.r_[0, np.flatnonzero(ids[1:] != ids[:-1]) + 1]
+        sparse["embed"] = [(ids[first].astype(np.int64), np.add.reduceat(np.concatenate(inputs).take(order, 0), first))]
+        return g, sparse, float((losses * part).sum())
 
 
 def windows(sizes: np.ndarray, ids: np.ndarray, context: int, new: int, empty: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -309,6 +424,43 @@ def ids_of_word(encoder: Encoder, word: bytes) -> list[int]:
     return encoder.bpe.encode_ordinary(" " + word.decode("utf-8", "replace"))
 
 
+class WordIds:
+    """`ids_of_word` of many words at a time.
+
+    Words without white space beyond ASCII go through the encoder as one text: a word's first id alone starts with a space,
+    and nothing joins across words.
+    """
+
+    def __init__(self, content: str) -> None:
+        self.encoder = Encoder(content)
+        space, vocabulary = byte_letters()[32], json.loads(content)["model"]["vocab"]
+        self.opens = np.zeros(1 + max(vocabulary.values()), bool)
+        self.opens[[i for s, i in vocabulary.items() if s.startswith(space)]] = True
+
+    def __call__(self, words: list[bytes], some: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+        """The ids end to end, and how many each word has."""
+        found = [self.few(words[low : low + some]) for low in range(0, len(words), some)] or [(np.zeros(0, np.int64),) * 2]
+        return np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
+
+    def few(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        texts = b"\n".join(words).decode("utf-8", "replace").split("\n")
+        odd = [k for k, text in enumerate(texts) if not text.isascii() and WHITE.search(text)]
+        others = [ids_of_word(self.encoder, words[k]) for k in odd]
+        for k in reversed(odd):
+            del texts[k]
+        ids = np.array(self.encoder.bpe.encode_ordinary(" " + " ".join(texts)) if texts else [], np.int64)
+        plain = np.ones(len(words), bool)
+        plain[odd] = False
+        lengths = np.zeros(len(words), np.int64)
+        lengths[plain] = np.diff(np.r_[np.flatnonzero(self.opens[ids]), len(ids)])
+        if not others:
+            return ids, lengths
+        lengths[~plain] = [len(x) for x in others]
+        out, of_plain = np.empty(lengths.sum(), np.int64), np.repeat(plain, lengths)
+        out[of_plain], out[~of_plain] = ids, [i for x in others for i in x]
+        return out, lengths
+
+
 def word_counts(docs: DataFrame, limit: int = 300_000) -> DataFrame:
     """(word, c) over all rows, the end of a text as the empty word; counted in the workers before anything moves."""
 
@@ -320,12 +472,13 @@ def word_counts(docs: DataFrame, limit: int = 300_000) -> DataFrame:
             counts.clear()
             return pa.RecordBatch.from_arrays(columns, ["word", "c"])
 
-        for batch in batches:
-            for text in batch.column("text"):
-                counts.update(tokens_of(text.as_py() or ""))
-                counts[END_WORD] += 1
-                if len(counts) > limit:
-                    yield out()
+        for rows, words, _ in word_pieces(batches, 4 << 20):
+            found = words.value_counts()
+            for word, c in zip(found.field("values").to_numpy(zero_copy_only=False), found.field("counts").to_pylist(), strict=True):
+                counts[word] += c
+            counts[END_WORD] += rows.num_rows
+            if len(counts) > limit:
+                yield out()
         yield out()
 
     parts = docs.select("text").mapInArrow(run, "word binary, c bigint")
@@ -338,12 +491,14 @@ def id_counts(words: DataFrame, vocabulary: str, size: int) -> tuple[np.ndarray,
     sha1 = hashlib.sha1(vocabulary.encode()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = per_process("lm_ids", lambda: Encoder(content.value), sha1)
+        encoded = per_process("lm_ids", lambda: WordIds(content.value), sha1)
         counts = np.zeros((2, size), np.int64)
         for batch in batches:
-            for word, c in zip(batch.column("word").to_pylist(), batch.column("c").to_pylist(), strict=True):
-                for place, i in enumerate(ids_of_word(encoder, word) if word else ()):
-                    counts[min(place, 1), i] += c
+            some = batch.filter(pc.greater(pc.binary_length(batch.column("word")), 0))
+            ids, lengths = encoded(some.column("word").to_numpy(zero_copy_only=False).tolist())
+            place = np.ones(len(ids), np.int64)
+            place[np.cumsum(lengths) - lengths] = 0
+            np.add.at(counts, (place, ids), np.repeat(some.column("c").to_numpy(), lengths))
         kind, i = np.nonzero(counts)
         columns = [pa.array(kind.astype(np.int32)), pa.array(i.astype(np.int32)), pa.array(counts[kind, i])]
         yield pa.RecordBatch.from_arrays(columns, ["kind", "id", "c"])
@@ -412,26 +567,24 @@ def by_context(kind: str, ids, ok, want, goal, weights, context: int) -> list[tu
     return [x for x in [*out, (kind, *(v[~bare] for v in (ids, ok, want, goal, weights)))] if len(x[1])]
 
 
-def train_on(stepper: Steps, lines: list[np.ndarray], words: list[np.ndarray], counts: list[int], passes: int, rng: np.random.Generator) -> None:
-    """`passes` passes over all windows of `lines` (first ids of texts) and of `words`, which count as often as they came."""
+def train_on(
+    stepper: Steps, lines: np.ndarray, line_lengths: np.ndarray, words: np.ndarray, word_lengths: np.ndarray, counts: np.ndarray, passes: int, rng: np.random.Generator
+) -> None:
+    """`passes` passes over all windows of `lines` (first ids of texts, end to end) and of `words`, which count as often as they came."""
     shape, begin = stepper.shape, len(stepper.network.w["embed"]) - 1
     sets = []
-    if lines:
-        lengths = np.array([len(x) + 1 for x in lines])
-        ends = np.cumsum(lengths)
-        inputs, targets = np.full(ends[-1], begin), np.full(ends[-1], Model.END)
-        rest = np.ones(ends[-1], bool)
-        rest[ends - 1] = False
-        targets[rest] = np.concatenate(lines)
-        inputs[1:][rest[:-1]] = targets[rest]
+    if len(line_lengths):
+        lengths, rest = inserted(line_lengths)
+        inputs, targets = np.full(len(rest), begin), np.full(len(rest), Model.END)
+        targets[rest] = lines
+        inputs[1:][rest[:-1]] = lines
         found = sequences(inputs, targets, lengths, shape.starts, begin)
         sets += by_context("starts", *found, np.ones(len(found[0]), np.float32), shape.starts[0])
-    if words:
-        lengths, inputs = np.array([len(x) for x in words]), np.concatenate(words)
-        targets = np.r_[inputs[1:], Model.EOW]
-        targets[np.cumsum(lengths) - 1] = Model.EOW
-        found = sequences(inputs, targets, lengths, shape.words, begin)
-        each = np.repeat(np.array(counts, np.float32), -(-lengths // shape.words[1]))
+    if len(word_lengths):
+        targets = np.r_[words[1:], Model.EOW]
+        targets[np.cumsum(word_lengths) - 1] = Model.EOW
+        found = sequences(words, targets, word_lengths, shape.words, begin)
+        each = np.repeat(counts.astype(np.float32), -(-word_lengths // shape.words[1]))
         sets += by_context("words", *found, each, shape.words[0])
     sizes = {"starts": shape.batch, "words": 4 * shape.batch}
     for _ in range(passes):
@@ -474,27 +627,30 @@ TRAINING = "part int, line binary, c bigint"
 def training_rows(docs: DataFrame, words: DataFrame, vocabulary: str, classes: np.ndarray, shape: Shape, tasks: int) -> DataFrame:
     """Classes of the first ids of every text (c null) and of the ids of every word with its count, mixed over `tasks` tasks."""
     content = docs.sparkSession.sparkContext.broadcast((vocabulary, classes))
-    key = uuid.uuid4().hex
+    key, sha1 = uuid.uuid4().hex, hashlib.sha1(vocabulary.encode()).hexdigest()
 
-    def rows_of(lines: list[np.ndarray], c: list, at: int) -> pa.RecordBatch:
-        part = (at + np.arange(len(lines))) % shape.rounds
-        columns = [pa.array(part.astype(np.int32)), pa.array([x.astype("<u4").tobytes() for x in lines], pa.binary()), pa.array(c, pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, ["part", "line", "c"])
+    def rows_of(values: np.ndarray, lengths: np.ndarray, c: pa.Array, at: int) -> pa.RecordBatch:
+        part = (at + np.arange(len(lengths))) % shape.rounds
+        return pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), binary_rows(values, lengths), c], ["part", "line", "c"])
+
+    def ids_here() -> WordIds:
+        return per_process("lm_ids", lambda: WordIds(content.value[0]), sha1)
 
     def of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, at = per_process("lm_lines", lambda: Encoder(content.value[0]), key), 0
-        first = per_process("lm_first", lambda: Bounded(lambda w: int(content.value[1][ids_of_word(encoder, w)[0]])), key)
-        for batch in batches:
-            lines = [np.array([first[w] for w in tokens_of(t or "")], np.int64) for t in batch.column("text").to_pylist()]
-            yield rows_of(lines, [None] * len(lines), at)
-            at += len(lines)
+        encoded, at = ids_here(), 0
+        first = per_process("lm_first", lambda: Bounded(lambda w: int(content.value[1][ids_of_word(encoded.encoder, w)[0]])), key)
+        for rows, words, lengths in word_pieces(batches, 1 << 20):
+            distinct, spots = indexed(words)
+            own = np.fromiter(map(first.__getitem__, distinct), np.int64, len(distinct))
+            yield rows_of(own[spots], lengths, pa.nulls(rows.num_rows, pa.int64()), at)
+            at += rows.num_rows
 
     def of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, at = per_process("lm_lines", lambda: Encoder(content.value[0]), key), 0
+        encoded, at = ids_here(), 0
         for batch in batches:
-            lines = [content.value[1][ids_of_word(encoder, w)] for w in batch.column("word").to_pylist()]
-            yield rows_of(lines, batch.column("c").to_pylist(), at)
-            at += len(lines)
+            ids, lengths = encoded(batch.column("word").to_numpy(zero_copy_only=False).tolist())
+            yield rows_of(content.value[1][ids], lengths, batch.column("c"), at)
+            at += batch.num_rows
 
     own = words.filter(F.octet_length("word") > 0).select("word", "c").mapInArrow(of_words, TRAINING)
     return staged(docs.select("text").mapInArrow(of_texts, TRAINING).unionByName(own).repartition(tasks), "training")
@@ -511,21 +667,32 @@ def fit(network: Network, rows: DataFrame, shape: Shape, slices: int = 16) -> No
             own = pickle.loads(pickle.dumps(sent.value))  # noqa: B023
             task = TaskContext.get().partitionId()
             stepper, rng = Steps(own, shape, rate), np.random.default_rng((shape.seed, round_, task))  # noqa: B023
-            lines, words, counts, size = [], [], [], 0
+            held, n, size = [], 0, 0
+
+            def use() -> None:
+                values, lengths = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
+                counts, texts = np.concatenate([x[2] for x in held]), np.concatenate([x[3] for x in held])
+                of_texts = np.repeat(texts, lengths)
+                train_on(stepper, values[of_texts], lengths[texts], values[~of_texts], lengths[~texts], counts[~texts], passes, rng)
+
             for batch in batches:
-                for line, c in zip(batch.column("line").to_pylist(), batch.column("c").to_pylist(), strict=True):
-                    line = np.frombuffer(line, "<u4").astype(np.int64)
-                    if c is None:
-                        lines.append(line)
-                    else:
-                        words.append(line)
-                        counts.append(c)
-                    size += len(line)
-                    if len(lines) >= shape.sample or size >= 250_000:
-                        train_on(stepper, lines, words, counts, passes, rng)
-                        lines, words, counts, size = [], [], [], 0
-            if lines or words:
-                train_on(stepper, lines, words, counts, passes, rng)
+                values, lengths = numbers_of(batch.column("line"))
+                texts = batch.column("c").is_null().to_numpy(zero_copy_only=False)
+                counts = pc.fill_null(batch.column("c"), 0).to_numpy()
+                ends, ranks = np.cumsum(lengths), np.cumsum(texts)
+                low = 0
+                while low < len(lengths):
+                    sizes, ranked = (v - (v[low - 1] if low else 0) for v in (ends, ranks))
+                    high = 1 + min(np.searchsorted(sizes, 250_000 - size), np.searchsorted(ranked, shape.sample - n))
+                    high = max(low + 1, min(int(high), len(lengths)))
+                    own = slice(low, high)
+                    held.append((values[ends[low] - lengths[low] : ends[high - 1]], lengths[own], counts[own], texts[own]))
+                    n, size, low = n + int(texts[own].sum()), size + int(lengths[own].sum()), high
+                    if n >= shape.sample or size >= 250_000:
+                        use()
+                        held, n, size = [], 0, 0
+            if held:
+                use()
             if stepper.step:
                 parts = [x.tobytes() for x in np.array_split(packed(sent.value.w, stepper), slices)]  # noqa: B023
                 columns = [pa.array(range(slices), pa.int32()), pa.array([task % 16] * slices, pa.int32()), pa.array(parts, pa.binary())]
@@ -622,7 +789,7 @@ class Scorer:
 
     def __init__(self, model: Model, limit: int = 400_000) -> None:
         self.model, self.limit = model, limit
-        self.encoder = Encoder(model.vocabulary)
+        self.encoded = WordIds(model.vocabulary)
         self.fresh()
 
     def fresh(self) -> None:
@@ -633,20 +800,18 @@ class Scorer:
     def learn(self, words: list[bytes]) -> None:
         """Class of the first id, log probability of all else inside the word, and count (-1: not frequent)."""
         m = self.model
-        ids = [ids_of_word(self.encoder, w) for w in words]
-        lengths = np.array([len(x) for x in ids])
-        flat = np.fromiter((i for x in ids for i in x), np.int64, lengths.sum())
+        ids, lengths = self.encoded(words)
         begins = np.cumsum(lengths) - lengths
-        inputs = m.classes[flat]
+        inputs = m.classes[ids]
         # What follows an id: the next one of the word, or the end mark.
         target = np.r_[inputs[1:], 0]
-        rest = np.r_[m.later_rest[flat[1:]], 0.0]
+        rest = np.r_[m.later_rest[ids[1:]], 0.0]
         last = begins + lengths - 1
         target[last], rest[last] = Model.EOW, 0.0
         gained = self.logs("words", m.shape.words, lengths, inputs, target) + rest
         self.first = np.r_[self.first, inputs[begins]]
-        self.inside = np.r_[self.inside, np.add.reduceat(gained, begins) + m.first_rest[flat[begins]]]
-        self.count = np.r_[self.count, [m.counts.get(w, -1) for w in words]]
+        self.inside = np.r_[self.inside, np.add.reduceat(gained, begins) + m.first_rest[ids[begins]]]
+        self.count = np.r_[self.count, np.fromiter(map(m.counts.get, words, repeat(-1)), float, len(words))]
 
     def logs(self, kind: str, sizes: tuple[int, int], lengths, inputs, targets, rows: int = 16_384) -> np.ndarray:
         """Log probability of every target, window by window in batches of bounded size."""
@@ -656,67 +821,64 @@ class Scorer:
         for low in range(0, len(ids), rows):
             part = slice(low, low + rows)
             n = int(want[part].sum())
-            out[at : at + n] = self.model.network.log_probability(kind, context, ids[part], ok[part], want[part], targets[at : at + n], 8192 // new)
+            out[at : at + n] = self.model.network.log_probability(kind, context, ids[part], ok[part], want[part], targets[at : at + n], 2048 // new)
             at += n
         return out
 
-    def score(self, texts: list[list[bytes]]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-        """Per text the places of its words in the index; log probability of all tokens end to end; their sizes."""
+    def score(self, words: pa.Array, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of texts with `lengths` words: of all tokens end to end the places in the index (-1: end) and the log probabilities; sizes; which are no ends."""
         if len(self.index) > self.limit:
             self.fresh()
-        unknown: dict[bytes, int] = {}
-        n = len(self.index)
-        for text in texts:
-            for word in set(text).difference(self.index):
-                unknown.setdefault(word, n + len(unknown))
-        if unknown:
-            self.learn(list(unknown))
-            self.index |= unknown
-        spots = [np.fromiter(map(self.index.__getitem__, text), np.int64, len(text)) for text in texts]
-        begin = self.model.begin
-        inputs = np.concatenate([np.r_[begin, self.first[s]] for s in spots])
-        targets = np.concatenate([np.r_[self.first[s], Model.END] for s in spots])
-        rest = np.concatenate([np.r_[self.inside[s], 0.0] for s in spots])
-        lengths = np.array([len(s) + 1 for s in spots])
-        return spots, self.logs("starts", self.model.shape.starts, lengths, inputs, targets) + rest, lengths
+        distinct, at = indexed(words)
+        found = np.fromiter(map(self.index.get, distinct, repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            unknown = [distinct[k] for k in new.tolist()]
+            self.learn(unknown)
+            found[new] = len(self.index) + np.arange(len(new))
+            self.index.update(zip(unknown, found[new].tolist(), strict=True))
+        spots = found[at]
+        sizes, rest = inserted(lengths)
+        places, more = np.full(len(rest), -1), np.zeros(len(rest))
+        inputs, targets = np.full(len(rest), self.model.begin), np.full(len(rest), Model.END)
+        places[rest], targets[rest], more[rest] = spots, self.first[spots], self.inside[spots]
+        inputs[1:][rest[:-1]] = targets[rest]
+        return places, self.logs("starts", self.model.shape.starts, sizes, inputs, targets) + more, sizes, rest
 
 
 PART = "row bigint, doc_id bigint, word binary, lp double, n_tokens bigint, n_known bigint, base double, score double"
 
 
-def parts(docs: DataFrame, model: Model, chunk_words: int = 60_000) -> DataFrame:
+def parts(docs: DataFrame, model: Model, chunk: int = 1 << 20) -> DataFrame:
     """A row per document with the sums over its frequent words and its end, and one per occurrence of another word.
 
-    The row of a document has a key in place of the word that no word can equal: it starts with a space.
+    The row of a document has a key in place of the word that no word can equal: it starts with a space. Texts are scored
+    together up to about `chunk` bytes.
     """
     sent, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
     mixed, floor = model.mixed, model.total + 0.5 * (model.distinct + 1)
+    end = pa.array([END_WORD], pa.binary())
 
-    def described(scorer: Scorer, ids: list, rows: list[int], texts: list[list[bytes]]) -> pa.RecordBatch:
-        spots, logs, lengths = scorer.score(texts)
-        ends = np.cumsum(lengths)
-        spot = np.concatenate([np.r_[s, -1] for s in spots])
-        owner = np.repeat(np.arange(len(texts)), lengths)
-        count = np.where(spot >= 0, np.r_[scorer.count, 0.0][spot], float(model.ends))
+    def described(scorer: Scorer, ids: pa.Array, row: np.ndarray, words: pa.Array, n_words: np.ndarray) -> pa.RecordBatch:
+        spot, logs, lengths, rest = scorer.score(words, n_words)
+        owner = np.repeat(np.arange(len(row)), lengths)
+        count = np.r_[scorer.count, float(model.ends)][spot]
         settled = count >= 0
         share = (count.clip(0) + 0.5) / floor
         score = np.log10(mixed * share + (1 - mixed) * np.exp(logs))
         base = np.log10(share)
-        add = lambda v: np.bincount(owner[settled], v[settled], len(texts))
-        known = add((count > 0).astype(float)).astype(np.int64)
-        names = [b" %d" % r for r in rows]
+        add = lambda v: np.bincount(owner, np.where(settled, v, 0.0), len(row))
+        known = add(count > 0).astype(np.int64)
         late = np.flatnonzero(~settled)
-        who = owner[late]
-        place = late - (ends - lengths)[who]
-        rare = [texts[i][k] if k < len(texts[i]) else END_WORD for i, k in zip(who.tolist(), place.tolist(), strict=True)]
-        none, row = [None] * len(rare), np.array(rows, np.int64)
-        zeros = np.zeros(len(rare))
+        place = np.where(rest, np.cumsum(rest) - 1, len(words))[late]
+        zeros = np.zeros(len(late))
+        names = pa.array([b" %d" % r for r in row.tolist()], pa.binary())
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.r_[row, row[who]]),
-                pa.array(ids + none, pa.int64()),
-                pa.array(names + rare, pa.binary()),
-                pa.array([None] * len(texts) + logs[late].tolist(), pa.float64()),
+                pa.array(np.r_[row, row[owner[late]]]),
+                pa.concat_arrays([ids, pa.nulls(len(late), pa.int64())]),
+                pa.concat_arrays([names, pa.concat_arrays([words, end]).take(pa.array(place))]),
+                pa.concat_arrays([pa.nulls(len(row), pa.float64()), pa.array(logs[late])]),
                 pa.array(np.r_[lengths, zeros].astype(np.int64)),
                 pa.array(np.r_[known, zeros].astype(np.int64)),
                 pa.array(np.r_[add(base), zeros]),
@@ -728,19 +890,9 @@ def parts(docs: DataFrame, model: Model, chunk_words: int = 60_000) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = per_process("lm", lambda: Scorer(sent.value), key)
         row = TaskContext.get().partitionId() << 33
-        ids, rows, texts, size = [], [], [], 0
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                ids.append(doc_id.as_py())
-                texts.append(tokens_of(text.as_py() or ""))
-                rows.append(row)
-                row += 1
-                size += len(texts[-1]) + 1
-                if size >= chunk_words:
-                    yield described(scorer, ids, rows, texts)
-                    ids, rows, texts, size = [], [], [], 0
-        if ids:
-            yield described(scorer, ids, rows, texts)
+        for rows, words, n_words in word_pieces(batches, chunk):
+            yield described(scorer, rows.column("doc_id"), row + np.arange(rows.num_rows), words, n_words)
+            row += rows.num_rows
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, PART)
 
