@@ -27,7 +27,7 @@ import pickle
 import re
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 from itertools import repeat
 
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.bpe import byte_letters
-from tidewatch.llm.common import Bounded, per_process, read_local, staged
+from tidewatch.llm.common import per_process, read_local, staged
 from tidewatch.llm.packing import Encoder
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -124,6 +124,36 @@ def numbers_of(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return held.view("<u4").astype(np.int64), lengths
 
 
+class Recent:
+    """A number of 0 and more for each key, computed for all unknown keys of a call together.
+
+    Once more than `limit` are held, it starts anew and keeps the ones before for one more round; keys longer than `longest` are
+    computed each time.
+    """
+
+    def __init__(self, compute: Callable[[list[bytes]], np.ndarray], limit: int = 250_000, longest: int = 48) -> None:
+        self.compute, self.limit, self.longest, self.held, self.before = compute, limit, longest, {}, {}
+
+    def __call__(self, keys: list[bytes]) -> np.ndarray:
+        if len(self.held) > self.limit:
+            self.before, self.held = self.held, {}
+        out = np.fromiter(map(self.held.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            asked = [keys[k] for k in new.tolist()]
+            known = np.fromiter(map(self.before.get, asked, repeat(-1)), np.int64, len(asked))
+            rest = np.flatnonzero(known < 0)
+            if len(rest):
+                known[rest] = self.compute([asked[k] for k in rest.tolist()])
+            out[new] = known
+            self.held.update((k, v) for k, v in zip(asked, known.tolist(), strict=True) if len(k) <= self.longest)
+        return out
+
+
+def first_ids(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    return ids[np.cumsum(lengths) - lengths]
+
+
 def inserted(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lengths with an end each, and which places of the rows end to end are no end."""
     longer = lengths + 1
@@ -231,35 +261,45 @@ class Network:
         if not whole:
             e *= ok[:, None, :].astype(kept)
         c = e @ x1
-        at = np.flatnonzero(want)
+        at = slice(None) if want.all() else np.flatnonzero(want)
         c = flat(c)[at]
         # Slots that see nothing are not wanted.
         r = 1 / c[:, d:]
         c = c[:, :d] * r
-        h = flat(new)[at] + c @ (w["value"] @ w["mix"])
-        u = np.maximum(h @ w["up"] + w["up0"], 0)
-        y = np.ones((len(at), d + 1), kept)
-        np.add(h, u @ w["down"], out=y[:, :d])
+        h = np.ones((len(c), d + 1), kept)
+        np.add(flat(new)[at], c @ (w["value"] @ w["mix"]), out=h[:, :d])
+        u = h @ np.concatenate([w["up"], w["up0"][None]])
+        np.maximum(u, 0, out=u)
+        y = np.ones((len(c), d + 1), kept)
+        np.add(h[:, :d], u @ w["down"], out=y[:, :d])
         return {"x1": x1, "new": new, "q": q, "e": e, "at": at, "r": r, "c": c, "h": h, "u": u, "y": y}
 
     def meeting(self) -> np.ndarray:
         return self.w["query"] @ self.w["key"].T * self.w["query"].dtype.type(len(self.w["query"]) ** -0.5)
 
     def log_probability(self, kind: str, context: int, ids, ok, want, target, rows: int = 64) -> np.ndarray:
-        """Natural logarithm of the probability of each wanted slot's target; `rows` windows at a time up to the outputs."""
-        return self.target_logs(self.reach(kind, context, ids, ok, want, rows), target)
+        """Natural logarithm of the probability of each wanted slot's target; `rows` windows at a time up to the outputs.
 
-    def reach(self, kind: str, context: int, ids, ok, want, rows: int = 64) -> np.ndarray:
-        """The last layer below the outputs for every wanted slot, and a column of ones; windows without context go through without its slots."""
+        Windows without context go through without its slots. Full windows, which need no mask but the order, go together.
+        """
+        sizes = want.sum(1)
         bare = ~ok[:, :context].any(1)
-        owner = np.repeat(bare, want.sum(1))
-        out = np.empty((len(owner), len(self.w["out"]) + 1), self.w["out"].dtype)
-        for alone, cut in ((True, context), (False, 0)):
-            at = np.flatnonzero(bare == alone)
-            parts = [at[low : low + rows] for low in range(0, len(at), rows)]
-            if parts:
-                found = [self.forward(kind, context - cut, ids[p, cut:], ok[p, cut:], want[p])["y"] for p in parts]
-                out[owner == alone] = np.concatenate(found)
+        full = want.all(1) & (bare | ok.all(1))
+        sort = bare * 2 + full
+        order = np.argsort(sort, kind="stable")
+        sort, sizes, starts = sort[order], sizes[order], (np.cumsum(sizes) - sizes)[order]
+        ends = np.cumsum(sizes)
+        slots = np.repeat(starts - (ends - sizes), sizes) + np.arange(sizes.sum())
+        y = np.empty((len(slots), len(self.w["out"]) + 1), self.w["out"].dtype)
+        borders = [0, *(np.flatnonzero(np.diff(sort)) + 1).tolist(), len(order)]
+        for first, last in zip(borders, borders[1:], strict=False):
+            for low in range(first, last, rows):
+                high = min(low + rows, last)
+                at, cut = order[low:high], context if sort[low] > 1 else 0
+                found = self.forward(kind, context - cut, ids[at, cut:], ok[at, cut:], want[at])["y"]
+                y[ends[low] - sizes[low] : ends[high - 1]] = found
+        out = np.empty(len(slots), y.dtype)
+        out[slots] = self.target_logs(y, target[slots])
         return out
 
     def direct_outputs(self) -> np.ndarray:
@@ -300,27 +340,28 @@ class Network:
             p, picked = powers(y[at] @ weights, head[at])
             total = totals(p)
             losses[at] = np.log(total) - picked
-            p *= (part[at] / total)[:, None]
-            p[np.arange(len(p)), head[at]] -= part[at]
-            out += y[at].T @ p
-            dy[at] = p @ back
+            # Powers over `total` are probabilities; the narrow sides are divided, not all outputs.
+            p[np.arange(len(p)), head[at]] -= total
+            by = (part[at] / total)[:, None]
+            out += (y[at] * by).T @ p
+            dy[at] = (p @ back) * by
         for late, place, at, q, picked in self.inside(y, target):
             total, own = totals(q), part[late]
             losses[late] -= picked - np.log(total)
-            q *= (own / total)[:, None]
-            q[np.arange(len(late)), at] -= own
-            sparse["tail"].append((place, q.T @ y[late]))
-            dy[late] += q @ w["tail"][place, :-1]
+            q[np.arange(len(late)), at] -= total
+            by = (own / total)[:, None]
+            sparse["tail"].append((place, q.T @ (y[late] * by)))
+            dy[late] += (q @ w["tail"][place, :-1]) * by
         g: dict = {"out": out[:-1], "out0": out[-1]}
         to, on = self.meeting(), w["value"] @ w["mix"]
-        sums = {"down": 0, "up": 0, "up0": 0, "on": 0, "to": 0, kind: 0}
+        sums = {"down": 0, "up": 0, "on": 0, "to": 0, kind: 0}
         inputs, low = [], 0
         for f in found:
-            own, low = dy[low : low + len(f["at"])], low + len(f["at"])
+            own, low = dy[low : low + len(f["y"])], low + len(f["y"])
             sums["down"] += f["u"].T @ own
-            du = (own @ w["down"].T) * (f["u"] > 0)
+            du = own @ w["down"].T
+            du *= f["u"] > 0
             sums["up"] += f["h"].T @ du
-            sums["up0"] += du.sum(0)
             dh = own + du @ w["up"].T
             sums["on"] += f["c"].T @ dh
             dc = (dh @ on.T) * f["r"]
@@ -339,7 +380,7 @@ class Network:
             dx[:, context:] += more.reshape(new.shape)
             sums[kind] += dx.sum(0)
             inputs.append(flat(dx))
-        g |= {k: sums[k] for k in ("down", "up", "up0")}
+        g |= {"down": sums["down"], "up": sums["up"][:-1], "up0": sums["up"][-1]}
         g["query"], g["key"] = sums["to"] @ w["key"] * scale, sums["to"].T @ w["query"] * scale
         g["value"], g["mix"] = sums["on"] @ w["mix"].T, w["value"].T @ sums["on"]
         g[kind] = np.zeros_like(w[kind])
@@ -465,21 +506,24 @@ def word_counts(docs: DataFrame, limit: int = 300_000) -> DataFrame:
     """(word, c) over all rows, the end of a text as the empty word; counted in the workers before anything moves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        held, waiting, texts = [], 0, 0
 
-        def out() -> pa.RecordBatch:
-            columns = [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())]
-            counts.clear()
-            return pa.RecordBatch.from_arrays(columns, ["word", "c"])
+        def joined() -> pa.Table:
+            found = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("c", "sum")])
+            return found.select(["word", "c_sum"]).rename_columns(["word", "c"])
 
         for rows, words, _ in word_pieces(batches, 4 << 20):
             found = words.value_counts()
-            for word, c in zip(found.field("values").to_numpy(zero_copy_only=False), found.field("counts").to_pylist(), strict=True):
-                counts[word] += c
-            counts[END_WORD] += rows.num_rows
-            if len(counts) > limit:
-                yield out()
-        yield out()
+            held.append(pa.table([found.field("values"), found.field("counts")], ["word", "c"]))
+            waiting, texts = waiting + len(found), texts + rows.num_rows
+            if waiting > 3 * limit:
+                held = [joined()]
+                waiting = len(held[0])
+                if waiting > limit:
+                    yield from held.pop().to_batches()
+                    waiting = 0
+        held.append(pa.table([pa.array([END_WORD], pa.binary()), pa.array([texts], pa.int64())], ["word", "c"]))
+        yield from joined().filter(pc.greater(pc.field("c"), 0)).to_batches()
 
     parts = docs.select("text").mapInArrow(run, "word binary, c bigint")
     return staged(parts.groupBy("word").agg(F.sum("c").alias("c")), "words")
@@ -638,11 +682,10 @@ def training_rows(docs: DataFrame, words: DataFrame, vocabulary: str, classes: n
 
     def of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoded, at = ids_here(), 0
-        first = per_process("lm_first", lambda: Bounded(lambda w: int(content.value[1][ids_of_word(encoded.encoder, w)[0]])), key)
+        first = per_process("lm_first", lambda: Recent(lambda words: content.value[1][first_ids(*encoded(words))]), key)
         for rows, words, lengths in word_pieces(batches, 1 << 20):
             distinct, spots = indexed(words)
-            own = np.fromiter(map(first.__getitem__, distinct), np.int64, len(distinct))
-            yield rows_of(own[spots], lengths, pa.nulls(rows.num_rows, pa.int64()), at)
+            yield rows_of(first(distinct)[spots], lengths, pa.nulls(rows.num_rows, pa.int64()), at)
             at += rows.num_rows
 
     def of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -785,9 +828,9 @@ def sequences(inputs: np.ndarray, targets: np.ndarray, lengths: np.ndarray, size
 
 
 class Scorer:
-    """Scores in one worker. What depends on a word alone is kept until `limit` words are known."""
+    """Scores in one worker. What depends on a word alone is kept until `limit` words besides the frequent ones are known."""
 
-    def __init__(self, model: Model, limit: int = 400_000) -> None:
+    def __init__(self, model: Model, limit: int = 300_000) -> None:
         self.model, self.limit = model, limit
         self.encoded = WordIds(model.vocabulary)
         self.fresh()
@@ -797,6 +840,14 @@ class Scorer:
         self.first = np.zeros(0, np.int64)
         self.inside, self.count = np.zeros(0), np.zeros(0)
 
+    def shrink(self) -> None:
+        """Frequent words stay."""
+        kept = self.count >= 0
+        words = [w for w, k in self.index.items() if kept[k]]
+        places = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        self.first, self.inside, self.count = self.first[places], self.inside[places], self.count[places]
+        self.index = dict(zip(words, range(len(words)), strict=True))
+
     def learn(self, words: list[bytes]) -> None:
         """Class of the first id, log probability of all else inside the word, and count (-1: not frequent)."""
         m = self.model
@@ -827,8 +878,8 @@ class Scorer:
 
     def score(self, words: pa.Array, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of texts with `lengths` words: of all tokens end to end the places in the index (-1: end) and the log probabilities; sizes; which are no ends."""
-        if len(self.index) > self.limit:
-            self.fresh()
+        if len(self.index) > self.limit + len(self.model.counts):
+            self.shrink()
         distinct, at = indexed(words)
         found = np.fromiter(map(self.index.get, distinct, repeat(-1)), np.int64, len(distinct))
         new = np.flatnonzero(found < 0)
@@ -906,7 +957,8 @@ def score_documents(docs: DataFrame, vocabulary: str, shape: Shape = Shape(), fo
     model = train(learned, words, read_local(vocabulary), shape)
     floor = model.total + 0.5 * (model.distinct + 1)
     known = words.withColumnRenamed("word", "w")
-    both = parts(rows, model).join(known, F.col("word") == F.col("w"), "left")
+    # A partition of the counts holds a word once, so it is small and needs no order.
+    both = parts(rows, model).join(known.hint("shuffle_hash"), F.col("word") == F.col("w"), "left")
     rare, c = F.col("lp").isNotNull(), F.coalesce("c", F.lit(0)).cast("double")
     share = (c + 0.5) / floor
     mixed = model.mixed
