@@ -66,3 +66,29 @@ def test_large_logits_stay_finite():
     net.w = {k: v.astype(np.float64) for k, v in net.w.items()}
     assert got == pytest.approx(net.log_probability(*args), rel=1e-3, abs=1e-3) and np.isfinite(got).all()
     assert all(np.isfinite(v).all() for v in g[0].values()) and g[2] == pytest.approx(net.gradients(*args)[2], rel=1e-3)
+
+
+def test_unknown_keys_are_computed_together_and_kept():
+    calls = []
+    recent = lm.Recent(lambda keys: calls.append(keys) or np.array([len(k) for k in keys]), limit=3, longest=5)
+    assert recent([b"a", b"bb", b"longest"]).tolist() == [1, 2, 7]
+    assert recent([b"bb", b"ccc", b"dddd", b"longest"]).tolist() == [2, 3, 4, 7]
+    assert recent([b"a", b"ccc"]).tolist() == [1, 3]  # from the round before
+    assert calls == [[b"a", b"bb", b"longest"], [b"ccc", b"dddd", b"longest"]]
+
+
+def test_frequent_words_stay_in_the_scorer():
+    shape = lm.Shape(outputs=6, group=4, width=4, hidden=6)
+    size = 1 + max(lm.json.loads(VOCABULARY)["model"]["vocab"].values())
+    classes = np.arange(size) % 13 + 3
+    model = lm.Model(shape, VOCABULARY, lm.Network(shape, 17, 16), classes, np.zeros(size), np.zeros(size), {b"tea": 4, b"river": 2}, 3, 9, 4, 0.5)
+    words = [[b"tea", b"x1", b"river"], [b"y2", b"tea"], [b"x1", b"river", b"z3"]]
+    scorer, whole = lm.Scorer(model, limit=1), lm.Scorer(model)
+    learned, real = [], scorer.learn
+    scorer.learn = lambda some: learned.append(some) or real(some)
+    for text in words:
+        got, want = (s.score(pa.array(text, pa.binary()), np.array([len(text)])) for s in (scorer, whole))
+        assert got[1] == pytest.approx(want[1], rel=1e-5) and got[2].tolist() == [len(text) + 1]
+        count = np.r_[scorer.count, 3.0][got[0]]
+        assert count.tolist() == [model.counts.get(w, -1) for w in text] + [3]
+    assert learned == [[b"tea", b"x1", b"river"], [b"y2"], [b"x1", b"z3"]]

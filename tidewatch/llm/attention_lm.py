@@ -28,7 +28,7 @@ import re
 import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field
 from itertools import repeat
 
 import numpy as np
@@ -424,7 +424,7 @@ def windows(sizes: np.ndarray, ids: np.ndarray, context: int, new: int, empty: i
 
 @dataclass
 class Model:
-    """Weights, classes of ids and counts; made on the driver and sent to the workers."""
+    """Weights, classes of ids and counts; made on the driver and sent to the workers, which keep what they find under `key`."""
 
     shape: Shape
     vocabulary: str
@@ -437,6 +437,7 @@ class Model:
     total: int
     distinct: int
     mixed: float
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     OTHER, END, EOW = 0, 1, 2
 
@@ -805,11 +806,31 @@ def learned_weight(docs: DataFrame, words: DataFrame, model: Model, rounds: int
     The counts hold these documents, so one is taken from the count of each token. What the weight depends on is the
     ratio of both probabilities: a histogram of its logarithm is all that comes to the driver.
     """
-    floor = model.total + 0.5 * (model.distinct + 1)
-    every = parts(docs, replace(model, counts={}, ends=-1)).filter(F.col("lp").isNotNull())
+    sent, floor = docs.sparkSession.sparkContext.broadcast(model), model.total + 0.5 * (model.distinct + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = per_process("lm", lambda: Scorer(sent.value), sent.value.key)
+        known = np.zeros(801, np.int64)
+        for _, words, n_words in word_pieces(batches, 1 << 20):
+            spot, logs, _, rest = scorer.score(words, n_words)
+            count = np.r_[scorer.count, float(sent.value.ends)][spot]
+            ratio = logs - np.log(((count - 1).clip(0) + 0.5) / floor)
+            tenths = np.abs(ratio).clip(0, 40) * 10
+            level = np.sign(ratio) * np.floor(tenths + 0.5)
+            known += np.bincount(level[count >= 0].astype(np.int64) + 400, minlength=801)
+            late = np.flatnonzero(count < 0)
+            rare, n = words.take(pa.array((np.cumsum(rest) - 1)[late])), len(late)
+            yield pa.RecordBatch.from_arrays([rare, pa.array(logs[late]), pa.nulls(n, pa.int32()), pa.array(np.ones(n, np.int64))], ["word", "lp", "level", "n"])
+        at = np.flatnonzero(known)
+        n = len(at)
+        columns = [pa.nulls(n, pa.binary()), pa.nulls(n, pa.float64()), pa.array((at - 400).astype(np.int32)), pa.array(known[at])]
+        yield pa.RecordBatch.from_arrays(columns, ["word", "lp", "level", "n"])
+
+    every = docs.select("text").mapInArrow(run, "word binary, lp double, level int, n bigint")
     ratio = F.col("lp") - F.log((F.greatest(F.col("c") - 1, F.lit(0)) + 0.5) / floor)
     level = F.round(F.greatest(F.least(ratio, F.lit(40.0)), F.lit(-40.0)) * 10).cast("int")
-    bins = every.join(words.withColumnRenamed("word", "w"), F.col("word") == F.col("w")).groupBy(level).count().collect()
+    both = every.join(words.withColumnRenamed("word", "w").hint("shuffle_hash"), F.col("word") == F.col("w"), "left")
+    bins = both.groupBy(F.coalesce("level", level).alias("level")).agg(F.sum("n")).filter("level is not null").collect()
     if not bins:
         return model.mixed
     ratios, n = np.exp(np.array([b[0] for b in bins]) / 10), np.array([b[1] for b in bins], float)
@@ -897,7 +918,8 @@ class Scorer:
         return places, self.logs("starts", self.model.shape.starts, sizes, inputs, targets) + more, sizes, rest
 
 
-PART = "row bigint, doc_id bigint, word binary, lp double, n_tokens bigint, n_known bigint, base double, score double"
+DOC = pa.struct([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+PART = "row bigint, word binary, lp double, doc struct<doc_id bigint, n_tokens bigint, n_known bigint, base double, score double>"
 
 
 def parts(docs: DataFrame, model: Model, chunk: int = 1 << 20) -> DataFrame:
@@ -906,7 +928,7 @@ def parts(docs: DataFrame, model: Model, chunk: int = 1 << 20) -> DataFrame:
     The row of a document has a key in place of the word that no word can equal: it starts with a space. Texts are scored
     together up to about `chunk` bytes.
     """
-    sent, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    sent, key = docs.sparkSession.sparkContext.broadcast(model), model.key
     mixed, floor = model.mixed, model.total + 0.5 * (model.distinct + 1)
     end = pa.array([END_WORD], pa.binary())
 
@@ -922,20 +944,16 @@ def parts(docs: DataFrame, model: Model, chunk: int = 1 << 20) -> DataFrame:
         known = add(count > 0).astype(np.int64)
         late = np.flatnonzero(~settled)
         place = np.where(rest, np.cumsum(rest) - 1, len(words))[late]
-        zeros = np.zeros(len(late))
         names = pa.array([b" %d" % r for r in row.tolist()], pa.binary())
+        own = pa.StructArray.from_arrays([ids, pa.array(lengths), pa.array(known), pa.array(add(base)), pa.array(add(score))], fields=list(DOC))
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(np.r_[row, row[owner[late]]]),
-                pa.concat_arrays([ids, pa.nulls(len(late), pa.int64())]),
                 pa.concat_arrays([names, pa.concat_arrays([words, end]).take(pa.array(place))]),
                 pa.concat_arrays([pa.nulls(len(row), pa.float64()), pa.array(logs[late])]),
-                pa.array(np.r_[lengths, zeros].astype(np.int64)),
-                pa.array(np.r_[known, zeros].astype(np.int64)),
-                pa.array(np.r_[add(base), zeros]),
-                pa.array(np.r_[add(score), zeros]),
+                pa.concat_arrays([own, pa.nulls(len(late), DOC)]),
             ],
-            [f.split()[0] for f in PART.split(", ")],
+            ["row", "word", "lp", "doc"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -962,12 +980,12 @@ def score_documents(docs: DataFrame, vocabulary: str, shape: Shape = Shape(), fo
     rare, c = F.col("lp").isNotNull(), F.coalesce("c", F.lit(0)).cast("double")
     share = (c + 0.5) / floor
     mixed = model.mixed
-    base = F.when(rare, F.log10(share)).otherwise(F.col("base"))
-    score = F.when(rare, F.log10(share * mixed + F.exp("lp") * (1 - mixed))).otherwise(F.col("score"))
+    base = F.when(rare, F.log10(share)).otherwise(F.col("doc.base"))
+    score = F.when(rare, F.log10(share * mixed + F.exp("lp") * (1 - mixed))).otherwise(F.col("doc.score"))
     summed = both.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.col("n_known") + (rare & (c > 0)).cast("int")).alias("n_known"),
+        F.max("doc.doc_id").alias("doc_id"),
+        F.sum("doc.n_tokens").alias("n_tokens"),
+        F.sum(F.coalesce("doc.n_known", F.lit(0)) + (rare & (c > 0)).cast("int")).alias("n_known"),
         F.sum(base).alias("base_score"),
         F.sum(score).alias("score"),
     )
