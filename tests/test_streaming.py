@@ -1,10 +1,14 @@
 """Every stream against the batch operator on the same rows, in several micro-batches."""
 
+import dataclasses
 import datetime
+import pathlib
+import time
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidewatch.operators.drift import DriftRule, drift_flags
@@ -98,6 +102,61 @@ def test_lines_sent_twice_are_written_by_as_many_tasks_as_read_them(spark, tmp_p
     assert pick(got) == pick(want) and len(got) > 1
 
 
+KEYED = "id bigint, store_id string, product_id string, day date, y double"
+
+
+@pytest.mark.parametrize("dedup", [["id", "store_id", "product_id", "day", "y"], ["id", "day"], ["id"], []])
+def test_repeats_are_found_in_several_passes(spark, tmp_path, monkeypatch, dedup):
+    """Repeats inside an arrival and of earlier ones, null keys, an arrival without rows and one that comes again."""
+    monkeypatch.setattr(arrivals, "PASS_ROWS", 50, raising=False)
+    days = [range(0, 70), range(60, 130)]
+    first, second = ([(None if i % 97 == 0 else n * 1000 + i, *r) for i, r in enumerate(sales_rows(d, n))] for n, d in enumerate(days))
+    parts = [[], first + first[::3], second + first[::2] + second[::5], first + second]
+    config = dataclasses.replace(CONFIG, dedup=dedup)
+    out = arrivals.Outputs.below(str(tmp_path))
+    columns = ["id", "store_id", "product_id", "day", "y"]
+    key = lambda r: tuple(r[columns.index(c)] for c in dedup or columns)
+    batch = lambda r: (r[3] - START).days // 30
+    seen = {}
+    for n in (0, 1, 2, 2, 3):
+        got = [tuple(r) for r in arrivals._unseen(spark.createDataFrame(parts[n], KEYED), n, out, config).select(columns).collect()]
+        least = {}
+        for r in sorted(parts[n], key=lambda r: (r[1:], r[0] is not None, r[0] or 0)):
+            least.setdefault(key(r), r)
+        want = {(k, batch(r)): r for k, r in least.items() if seen.get((k, batch(r)), n) == n}
+        seen.update(dict.fromkeys(want, n))
+        assert sorted(got, key=str) == sorted(want.values(), key=str)
+    assert spark.read.parquet(out.keys).count() == len(seen)
+    assert len(arrivals._shares({b: 100 for b in range(1, 6)})) == 5
+    spark.createDataFrame([("0f", 1)], "_key string, _batch int").write.partitionBy("_batch").parquet(f"{tmp_path}/old/keys/arrival=0")
+    with pytest.raises(AnalysisException):
+        arrivals._unseen(spark.createDataFrame(first, KEYED), 1, arrivals.Outputs.below(f"{tmp_path}/old"), config)
+
+
+def test_dedup_of_arrivals_leaves_little_on_disk(spark, tmp_path, monkeypatch):
+    """First copies take less room than a digest in letters, and what a pass shuffled is gone before the next one."""
+    monkeypatch.setattr(arrivals, "PASS_ROWS", 10_000, raising=False)
+    rng = np.random.default_rng(3)
+    days = [START + datetime.timedelta(days=int(d)) for d in np.sort(rng.integers(0, 300, 30_000))]
+    rows = pd.DataFrame({"id": rng.permutation(30_000), "store_id": "S001", "product_id": "P001", "day": days, "y": rng.integers(1, 50, 30_000) * 1.0})
+    path = str(tmp_path / "sales")
+    spark.createDataFrame(rows, KEYED).write.parquet(path)
+    local = [str(d) for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda tops, like: {str(f): f.stat().st_size for top in tops for f in pathlib.Path(top).rglob(like)}
+    out = arrivals.Outputs.below(str(tmp_path / "out"))
+    config = dataclasses.replace(CONFIG, dedup=["id", "day"])
+    before = files(local, "shuffle_*.data")
+    for n in range(2):
+        assert arrivals._unseen(spark.read.parquet(path), n, out, config).count() == (0 if n else 30_000)
+    assert sum(files([out.keys], "*.parquet").values()) < 40 * 30_000
+    for _ in range(100):  # deleted by a thread of its own
+        left = sum(size for name, size in files(local, "shuffle_*.data").items() if name not in before)
+        if left < 100_000:
+            break
+        time.sleep(0.1)
+    assert left < 100_000
+
+
 def test_repeated_arrival_changes_nothing(spark, tmp_path):
     parts = [sales_rows(range(0, 60)), sales_rows(range(60, 120), 1)]
     out = arrivals.Outputs.below(str(tmp_path))

@@ -688,7 +688,7 @@ def stream_monitor_dedup(spark: SparkSession, sf: str) -> DataFrame:
     config = MonitorConfig(origin=ORIGIN, dedup=[*LINE, *SERIES, "day", "y"])
     for part in (~F.col("half"), F.col("half"), F.lit(True)):
         rows = sent.filter(part).drop("half")
-        rows.write.mode("append").parquet(base)
+        rows.write.mode("append").option("compression", "zstd").parquet(base)
         # What was sent since the stream ended is one micro-batch of the next run, in as many files as the scan had tasks.
         arriving = events.file_stream(spark, base, rows.schema)
         arrivals.monitor_stream(arriving, kept, config).awaitTermination()

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -21,6 +22,11 @@ HISTORY = (
     "store_id string, product_id string, day date, y double, batch_number int, arrival bigint"
 )
 
+#: An arrival without repeats is found in so many passes at most; fewer than so many rows need one.
+PASSES, PASS_ROWS = 8, 1 << 22
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 @dataclass(frozen=True)
 class Outputs:
@@ -62,30 +68,71 @@ def _previous_tail(spark: SparkSession, out: Outputs, arrival: int) -> DataFrame
     return tail.drop("arrival") if written_by and written_by[0] == arrival - 1 else None
 
 
+def _shares(sizes: dict[int, int]) -> list[list[int]]:
+    """Batches in order, in up to `PASSES` groups with about as many rows each; one empty group if there are none."""
+    total, before, groups = sum(sizes.values()), 0, {}
+    passes = min(PASSES, 1 + total // PASS_ROWS)
+    for batch, rows in sorted(sizes.items()):
+        groups.setdefault(before * passes // total, []).append(batch)
+        before += rows
+    return list(groups.values()) or [[]]
+
+
+@contextmanager
+def _released(spark: SparkSession) -> Iterator[None]:
+    """What a query in here shuffles is deleted when the query ends, not when the driver comes to collect its garbage."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def _unseen(sales: DataFrame, arrival: int, out: Outputs, config: MonitorConfig) -> DataFrame:
     """The rows of an arrival without repeats of each other or of rows that came before.
 
-    The keys of every arrival are kept by batch. A repeat has the day of its first copy, so only the keys of the
-    batches that the arrival touches are read.
+    First copies are kept by arrival and batch, with the columns that tell rows apart and those of a sale, and read back
+    from there. A repeat has the day of its first copy, so only the rows of the batches that the arrival touches are
+    compared, some batches at a time: the rows of one pass are in a shuffle, those of the others aren't. Where the day is
+    no part of the key, repeats inside the arrival may differ in it, so all batches are one pass.
     """
     spark = sales.sparkSession
-    once = dedup_rows(sales, config.dedup or None)
-    keys = config.dedup or once.columns
+    keys = config.dedup or sales.columns
+    rest = [c for c in sales.columns if c not in keys]
+    kept = [*keys, *[c for c in (*SERIES, "day", "y") if c in rest]]
     day = F.coalesce(F.col("day"), F.lit("1970-01-01").cast("date"))
     own = batch_number(day, F.lit(config.origin).cast("date"), config.batch_days)
-    marked = once.withColumns({"_batch": own, "_key": F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), 256)})
-    folder = f"{out.keys}/arrival={arrival}"
+    rows = (sales if "day" in keys else dedup_rows(sales, keys)).withColumn("_batch", own)
+    touched = dict(sales.groupBy(own).count().collect())
     try:
-        before = spark.read.schema("_key string, _batch int, arrival bigint").parquet(out.keys)
+        before = spark.read.parquet(out.keys)
     except AnalysisException:
         before = None
     if before is not None:
-        touched = sorted(r[0] for r in marked.select("_batch").distinct().collect())
-        known = before.filter((F.col("arrival") < arrival) & F.col("_batch").isin(touched)).select("_key", "_batch")
-        marked = marked.join(known, ["_key", "_batch"], "left_anti")
-    marked.select("_key", "_batch").write.mode("overwrite").partitionBy("_batch").parquet(folder)
-    new = spark.read.schema("_key string, _batch int").parquet(folder)
-    return marked.join(new, ["_key", "_batch"], "left_semi").drop("_key", "_batch")
+        mine = (F.col("_arrival").cast("bigint") < arrival) & F.col("_batch").cast("int").isin([*touched])
+        before = before.filter(mine).select(*keys, F.col("_batch").cast("int"))
+        for batch, n in before.groupBy("_batch").count().collect():
+            touched[batch] += n
+    folder = f"{out.keys}/_arrival={arrival}"
+    for share in _shares(touched) if "day" in keys else [[*touched]]:
+        here = F.col("_batch").isin(share)
+        came = rows.filter(here).select(*keys, "_batch", *[F.struct(*rest).alias("_rest")] * bool(rest), F.lit(False).alias("_known"))
+        if before is not None:
+            came = came.unionByName(before.filter(here).withColumn("_known", F.lit(True)), allowMissingColumns=True)
+        least = [F.min("_rest").alias("_rest")] if rest else []
+        first = came.groupBy(*keys, "_batch").agg(F.max("_known").alias("_known"), *least).filter(~F.col("_known"))
+        new = first.select(*[F.col(c) if c in keys else F.col(f"_rest.{c}").alias(c) for c in kept], "_batch")
+        new = new.sortWithinPartitions("_batch", *keys)  # like keys side by side take less room in a file
+        with _released(spark):
+            (
+                new.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .option("compression", "zstd")
+                .partitionBy("_batch")
+                .parquet(folder)
+            )
+    return spark.read.schema(sales.select(*kept).schema).parquet(folder)
 
 
 def process_arrival(
